@@ -91,6 +91,12 @@ def _lab_test_dt(spark: SparkSession, d: str) -> DataFrame:
     return dated.groupBy("patid", "test_dt").agg(F.count("*").alias("n"))
 
 
+def _delivery_grain(spark: SparkSession, d: str) -> DataFrame:
+    # Numbers as text: clients differ in how they show an integer column with nulls.
+    numbers = {c: F.col(c).cast("string") for c in ("birth_type", "age")}
+    return delivery_grain(table(spark, d, "mil")).withColumns(numbers)
+
+
 def _dispensing_in_window(spark: SparkSession, d: str) -> DataFrame:
     days = daily_counts(table(spark, d, "dispensing"), F.col("rxdate"))
     totals = totals_in_spans(days, _spans(spark, d), ["md"])
@@ -184,7 +190,7 @@ def queries() -> dict[str, Query]:
         ),
         "lab_test_dt": _lab_test_dt,
         "dispensing_in_window_md": _dispensing_in_window,
-        "delivery_grain": lambda spark, d: delivery_grain(table(spark, d, "mil")),
+        "delivery_grain": _delivery_grain,
         "demographic_duplicates": lambda spark, d: duplicate_keys(
             table(spark, d, "demographic_dirty"), "patid"
         ),
@@ -524,7 +530,9 @@ def oracle_sql() -> dict[str, str]:
               FROM (SELECT patid, {_LAB_DAY_SQL} AS test_dt FROM lab) GROUP BY patid, test_dt""",
         "dispensing_in_window_md": _with_spans("md", "dispensing")
         + _inside_sql("dispensing", "rxdate"),
-        "delivery_grain": duckdb_with("mil") + _GRAIN_SQL,
+        "delivery_grain": duckdb_with("mil", grain=_GRAIN_SQL)
+        + """SELECT mpatid, encounterid, enctype, CAST(birth_type AS VARCHAR) AS birth_type,
+                    CAST(age AS VARCHAR) AS age, adate, linked FROM grain""",
         "demographic_duplicates": duckdb_with("demographic_dirty")
         + "SELECT patid, count(*) AS n FROM demographic_dirty GROUP BY patid HAVING count(*) > 1",
         "delivery_conflicts": duckdb_with("mil_dirty") + _conflicts_sql(),

@@ -176,10 +176,10 @@ def write_snapshot(
         def write(item: tuple[str, DataFrame]) -> tuple[str, str]:
             name, rows = item
             keys = [column for column in rows.columns if column in SORT_COLUMNS]
-            return name, write_table(rows.orderBy(*keys), root, name, mode, partitions)
+            return name, write_table(rows, root, name, mode, partitions, keys)
 
         with ThreadPoolExecutor(writers) as pool:
-            return dict(pool.map(inheritable_thread_target(write), results.items()))
+            return dict(pool.map(inheritable_thread_target(spark)(write), results.items()))
 
 
 # The columns results are ordered by, those of each in its column order.
