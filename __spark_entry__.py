@@ -86,7 +86,7 @@ def _bridge(cohort: str) -> Query:
 
 def _lab_test_dt(spark: SparkSession, d: str) -> DataFrame:
     dated = table(spark, d, "lab").select(
-        "patid", first_date("lab_dt", "result_dt", "order_dt").alias("test_dt")
+        "patid", F.expr(first_date("lab_dt", "result_dt", "order_dt")).alias("test_dt")
     )
     return dated.groupBy("patid", "test_dt").agg(F.count("*").alias("n"))
 
@@ -98,7 +98,7 @@ def _delivery_grain(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _dispensing_in_window(spark: SparkSession, d: str) -> DataFrame:
-    days = daily_counts(table(spark, d, "dispensing"), F.col("rxdate"))
+    days = daily_counts(table(spark, d, "dispensing"), "rxdate")
     totals = totals_in_spans(days, _spans(spark, d), ["md"])
     return totals.select("patid", F.col("n").alias("total"))
 

@@ -12,13 +12,30 @@ DEMOGRAPHIC_EDGES = (0, 2, 5, 10, 15, 20, 25, 30, 35, 40, 45, 50, 55, 60, 65, 70
 MATERNAL_EDGES = (0, 2, 5, 10, 15, 20, 25, 30, 35, 40, 45, 50, 55)
 
 
-def age_band(age: Column, edges: Sequence[int]) -> Column:
-    """Label of the band an age falls into, ``MISSING`` for null, ``NEGATIVE`` below zero.
+def band_start(age: str, edges: Sequence[int]) -> str:
+    """SQL for the youngest age of the band of ``age``: -1 if negative, null if null.
 
     A band runs up to the next edge, so a fractional age belongs to the band of its whole
-    years (1.5 is in ``0-1 yrs``). Pass a plain column: it is compared once per band.
+    years (1.5 is in ``0-1 yrs``).
     """
-    band = F.when(age.isNull(), "MISSING").when(age < edges[0], "NEGATIVE")
-    for youngest, following in zip(edges, edges[1:]):
-        band = band.when(age < following, f"{youngest}-{following - 1} yrs")
-    return band.otherwise(f"{edges[-1]}+ yrs")
+    steps = "".join(f" WHEN {age} < {high} THEN {low}" for low, high in zip(edges, edges[1:]))
+    return (
+        f"CASE WHEN {age} IS NULL THEN NULL WHEN {age} < {edges[0]} THEN -1{steps}"
+        f" ELSE {edges[-1]} END"
+    )
+
+
+def band_label(start: str, edges: Sequence[int]) -> str:
+    """SQL for the label of a band given by ``band_start``."""
+    labels = "".join(
+        f" WHEN {low} THEN '{low}-{high - 1} yrs'" for low, high in zip(edges, edges[1:])
+    )
+    return (
+        f"CASE WHEN {start} IS NULL THEN 'MISSING' ELSE CASE {start} WHEN -1 THEN 'NEGATIVE'"
+        f"{labels} ELSE '{edges[-1]}+ yrs' END END"
+    )
+
+
+def age_band(age: str, edges: Sequence[int]) -> Column:
+    """Label of the band of an age column."""
+    return F.expr(band_label(f"({band_start(age, edges)})", edges))

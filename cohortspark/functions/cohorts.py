@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # The coverage flags every cohort asks for.
 COHORTS = {
@@ -13,8 +12,8 @@ COHORTS = {
 }
 
 
-def in_cohort(cohort: str) -> Column:
-    """Predicate on enrollment rows: every flag of the cohort is a yes in either case.
+def in_cohort(cohort: str) -> str:
+    """SQL predicate on enrollment rows: every flag of the cohort is a yes in either case.
 
     ``IN ('y', 'Y')`` accepts what ``lower(flag) = 'y'`` does, and unlike it reaches the
     Parquet scan as a pushed filter.
@@ -23,7 +22,9 @@ def in_cohort(cohort: str) -> Column:
         flags = COHORTS[cohort]
     except KeyError:
         raise ValueError(f"no cohort {cohort!r}; known: {', '.join(COHORTS)}") from None
-    wanted = F.lit(True)
-    for flag in flags:
-        wanted = wanted & F.col(flag).isin("y", "Y")
-    return wanted
+    return " AND ".join(f"{flag} IN ('y', 'Y')" for flag in flags)
+
+
+def cohort_rows(enrollment: DataFrame, cohort: str) -> DataFrame:
+    """The enrollment rows of one cohort."""
+    return enrollment.filter(in_cohort(cohort))

@@ -1,25 +1,22 @@
-"""Calendar arithmetic on date columns."""
+"""Calendar arithmetic, as SQL over the names of date columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def inclusive_days(start: Column, end: Column) -> Column:
+def inclusive_days(start: str, end: str) -> str:
     """Days of a closed date range; a range of one day has length 1."""
-    return F.datediff(end, start) + 1
+    return f"datediff({end}, {start}) + 1"
 
 
-def completed_years(born: Column, on: Column) -> Column:
+def completed_years(born: str, on: str) -> str:
     """Birthdays passed between two dates, negative when ``on`` lies before ``born``."""
-    return F.floor(F.months_between(on, born) / 12)
+    return f"floor(months_between({on}, {born}) / 12)"
 
 
-def first_date(*columns: str) -> Column:
+def first_date(*columns: str) -> str:
     """First of several columns that holds a date.
 
     Accepts dates, timestamps (their day in the session time zone) and text; text that is
     no date counts as absent, so the next column gets its turn.
     """
-    return F.coalesce(*[F.col(c).try_cast("date") for c in columns])
+    return f"coalesce({', '.join(f'try_cast({c} AS DATE)' for c in columns)})"

@@ -10,7 +10,7 @@ from cohortspark.operators.deliveries import DELIVERY_ATTRIBUTES, DELIVERY_KEY
 
 def duplicate_keys(rows: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur more than once, with their number of rows ``n``. Null is a key too."""
-    return rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+    return rows.groupBy(*keys).agg(F.expr("count(*) AS n")).filter("n > 1")
 
 
 def delivery_conflicts(grain: DataFrame) -> DataFrame:
@@ -19,17 +19,16 @@ def delivery_conflicts(grain: DataFrame) -> DataFrame:
     Takes the result of ``delivery_grain``, where such a delivery has several rows, and
     tells which attributes disagree.
     """
-    rows = F.count("*")
     disagreeing = [
-        ((F.min(a) != F.max(a)) | ~F.count(a).isin(0) & (F.count(a) != rows)).alias(a)
+        f"coalesce(min({a}) <> max({a}), false) OR count({a}) NOT IN (0, count(*))"
         for a in DELIVERY_ATTRIBUTES
     ]
     return (
         grain.groupBy(*DELIVERY_KEY)
-        .agg(rows.alias("versions"), *disagreeing)
-        .filter("versions > 1")
-        .select(
-            *DELIVERY_KEY,
-            *[F.coalesce(a, F.lit(False)).alias(f"{a}_differs") for a in DELIVERY_ATTRIBUTES],
+        .agg(
+            F.expr("count(*) AS versions"),
+            *[F.expr(f"{test} AS {a}_differs") for a, test in zip(DELIVERY_ATTRIBUTES, disagreeing)],
         )
+        .filter("versions > 1")
+        .drop("versions")
     )

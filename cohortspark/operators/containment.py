@@ -4,24 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def daily_counts(
-    events: DataFrame, day: Column, measures: Mapping[str, Column] | None = None
+    events: DataFrame, day: str, measures: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Events per patient and day as ``patid, day, n``; rows without patient or day drop out.
 
-    Counting ahead of the shuffle leaves a patient at most one row per calendar day.
-    ``measures`` replaces the plain count ``n`` by other additive aggregates.
+    ``day`` is a column or SQL expression. Counting ahead of the shuffle leaves a patient at
+    most one row per calendar day. ``measures`` replaces the count ``n`` by other additive
+    aggregates, SQL by name.
     """
-    measures = measures or {"n": F.count("*")}
+    measures = measures or {"n": "count(*)"}
     return (
-        events.withColumn("day", day)
-        .filter(F.col("patid").isNotNull() & F.col("day").isNotNull())
+        events.selectExpr("*", f"{day} AS day")
+        .filter("patid IS NOT NULL AND day IS NOT NULL")
         .groupBy("patid", "day")
-        .agg(*[total.alias(name) for name, total in measures.items()])
+        .agg(*[F.expr(f"{total} AS {name}") for name, total in measures.items()])
     )
 
 
@@ -44,59 +45,45 @@ def totals_in_spans(
     ``broadcast_rows`` allows a map-side join for small span tables: they are counted
     first, and the time line is used when there are more rows than that.
     """
-    spans = spans.filter(F.col("cohort").isin(*cohorts)).select(
-        "patid", "cohort", "span_start", "span_end"
-    )
+    spans = spans.filter(F.col("cohort").isin(*cohorts))
     if broadcast_rows and spans.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        inside = daily.join(F.broadcast(spans), "patid").filter(
-            F.col("day").between(F.col("span_start"), F.col("span_end"))
-        )
-        return inside.groupBy("patid", "cohort").agg(
-            *[F.sum(m).cast("long").alias(m) for m in measures]
+        small = F.broadcast(spans.select("patid", "cohort", "span_start", "span_end"))
+        return (
+            daily.join(small, "patid")
+            .filter("day BETWEEN span_start AND span_end")
+            .groupBy("patid", "cohort")
+            .agg(*[F.expr(f"CAST(sum({m}) AS LONG) AS {m}") for m in measures])
         )
 
-    ends = {c: f"{c}_end" for c in cohorts}
-    marks = spans.select(
+    marks = spans.selectExpr(
         "patid",
-        F.col("span_start").alias("day"),
-        *[F.when(F.col("cohort") == c, F.col("span_end")).alias(e) for c, e in ends.items()],
+        "span_start AS day",
+        *[f"CASE WHEN cohort = '{c}' THEN span_end END AS {c}_end" for c in cohorts],
     )
     timeline = marks.unionByName(
         daily.select("patid", "day", *measures), allowMissingColumns=True
     )
     # A range frame takes in the spans that start on the very day.
-    so_far = (
-        Window.partitionBy("patid")
-        .orderBy("day")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    reached = timeline.select(
-        "patid", "day", *measures, *[F.max(e).over(so_far).alias(e) for e in ends.values()]
-    ).filter(F.col(measures[0]).isNotNull())
+    so_far = "PARTITION BY patid ORDER BY day RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    reached = timeline.selectExpr(
+        "patid", "day", *measures, *[f"max({c}_end) OVER ({so_far}) AS {c}_end" for c in cohorts]
+    ).filter(f"{measures[0]} IS NOT NULL")
     per_patient = reached.groupBy("patid").agg(
         *[
-            F.sum(F.when(F.col(ends[c]) >= F.col("day"), F.col(m))).cast("long").alias(f"{c}_{m}")
+            F.expr(f"CAST(sum({m}) FILTER (WHERE {c}_end >= day) AS LONG) AS {c}_{m}")
             for c in cohorts
             for m in measures
         ]
     )
-    by_cohort = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("cohort"), *[F.col(f"{c}_{m}").alias(m) for m in measures]
-                )
-                for c in cohorts
-            ]
-        )
-    )
-    return (
-        per_patient.select("patid", by_cohort.alias("total"))
-        .select("patid", "total.*")
-        .filter(F.col(measures[0]).isNotNull())
+    by_cohort = [
+        f"struct('{c}' AS cohort, {', '.join(f'{c}_{m} AS {m}' for m in measures)})"
+        for c in cohorts
+    ]
+    return per_patient.selectExpr("patid", f"inline(array({', '.join(by_cohort)}))").filter(
+        f"{measures[0]} IS NOT NULL"
     )
 
 
-def histogram(rows: DataFrame, *by: str | Column) -> DataFrame:
-    """Number of rows for every combination of ``by``, as ``count``."""
-    return rows.groupBy(*by).agg(F.count("*").alias("count"))
+def histogram(rows: DataFrame, *by: str) -> DataFrame:
+    """Number of rows for every combination of the SQL expressions ``by``, as ``count``."""
+    return rows.groupBy(*[F.expr(b) for b in by]).agg(F.expr("count(*) AS count"))

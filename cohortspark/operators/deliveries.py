@@ -17,9 +17,8 @@ def delivery_grain(mil: DataFrame) -> DataFrame:
     rows (see ``delivery_conflicts``). Rows without a mother are left out. A null encounter
     forms a delivery of its own that never counts as linked.
     """
-    infant = F.col("cpatid").isNotNull() & F.col("encounterid").isNotNull()
     return (
-        mil.filter(F.col("mpatid").isNotNull())
+        mil.filter("mpatid IS NOT NULL")
         .groupBy(*DELIVERY_KEY, *DELIVERY_ATTRIBUTES)
-        .agg(F.max(infant).alias("linked"))
+        .agg(F.expr("max(cpatid IS NOT NULL AND encounterid IS NOT NULL) AS linked"))
     )

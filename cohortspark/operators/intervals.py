@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.functions import COHORTS, in_cohort, inclusive_days
@@ -30,10 +30,9 @@ from cohortspark.functions import COHORTS, in_cohort, inclusive_days
 GAP_DAYS = 46
 
 
-def _valid(intervals: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    for column in (*keys, start, end):
-        intervals = intervals.filter(F.col(column).isNotNull())
-    return intervals.filter(F.col(end) >= F.col(start))
+def _valid(keys: Sequence[str], start: str, end: str) -> str:
+    present = " AND ".join(f"{column} IS NOT NULL" for column in (*keys, start, end))
+    return f"{present} AND {end} >= {start}"
 
 
 def clean_intervals(
@@ -43,7 +42,7 @@ def clean_intervals(
     end: str = "enr_end",
 ) -> DataFrame:
     """Distinct intervals without nulls and without an end before the start."""
-    return _valid(intervals, keys, start, end).select(*keys, start, end).distinct()
+    return intervals.filter(_valid(keys, start, end)).select(*keys, start, end).distinct()
 
 
 def bridge_intervals(
@@ -60,7 +59,7 @@ def bridge_intervals(
     calendar day however many rows it came with, so sorting a key in one task is safe.
     """
     longest = (
-        _valid(intervals, keys, start, end)
+        intervals.filter(_valid(keys, start, end))
         .groupBy(*keys, start)
         .agg(F.max(end).alias(end))
     )
@@ -79,17 +78,15 @@ def cohort_spans(
     ``patid`` alone, which the per-patient joins and sums of the consumers can reuse; an
     exploded array keeps it, where an unpivot would not.
     """
-    members = F.lit(False)
-    for cohort in cohorts:
-        members = members | in_cohort(cohort)
-    ends = [F.struct(F.lit(c).alias("cohort"), F.col(c).alias("enr_end")) for c in cohorts]
+    members = " OR ".join(f"({in_cohort(c)})" for c in cohorts)
+    fan_out = ", ".join(f"struct('{c}' AS cohort, {c} AS enr_end)" for c in cohorts)
     longest = (
-        _valid(enrollment.filter(members), ["patid"], "enr_start", "enr_end")
+        enrollment.filter(f"({members}) AND {_valid(['patid'], 'enr_start', 'enr_end')}")
         .groupBy("patid", "enr_start")
-        .agg(*[F.max(F.when(in_cohort(c), F.col("enr_end"))).alias(c) for c in cohorts])
+        .agg(*[F.expr(f"max(enr_end) FILTER (WHERE {in_cohort(c)}) AS {c}") for c in cohorts])
         .repartition("patid")
-        .select("patid", "enr_start", F.inline(F.array(*ends)))
-        .filter(F.col("enr_end").isNotNull())
+        .selectExpr("patid", "enr_start", f"inline(array({fan_out}))")
+        .filter("enr_end IS NOT NULL")
     )
     return _merge(longest, ["patid", "cohort"], "enr_start", "enr_end", gap_days)
 
@@ -101,48 +98,33 @@ def _merge(
 
     Only the intervals that open a span are kept. The days covered before such an interval
     end where the previous span ends, so a span's own end is read from the next opening
-    row, and for the last span from the whole group. Both windows run on one sort.
+    row, and for the last span from the whole group. All windows run on one sort.
     """
-    calendar = Window.partitionBy(*keys).orderBy(start)
-    before = calendar.rowsBetween(Window.unboundedPreceding, -1)
-    whole = calendar.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    opening = longest.select(
+    calendar = f"PARTITION BY {', '.join(keys)} ORDER BY {start}"
+    bounds = "UNBOUNDED PRECEDING AND"
+    opening = longest.selectExpr(
         *keys,
         start,
-        F.max(end).over(before).alias("prior_end"),
-        F.max(end).over(whole).alias("final_end"),
-    ).filter(
-        F.col("prior_end").isNull() | (F.datediff(F.col(start), F.col("prior_end")) > gap_days)
-    )
-    bounded = opening.select(
+        f"max({end}) OVER ({calendar} ROWS BETWEEN {bounds} 1 PRECEDING) AS prior_end",
+        f"max({end}) OVER ({calendar} ROWS BETWEEN {bounds} UNBOUNDED FOLLOWING) AS final_end",
+    ).filter(f"prior_end IS NULL OR datediff({start}, prior_end) > {gap_days}")
+    spans = opening.selectExpr(
         *keys,
-        F.row_number().over(calendar).cast("long").alias("span_id"),
-        F.col(start).alias("span_start"),
-        F.lead("prior_end").over(calendar).alias("next_prior_end"),
+        f"row_number() OVER ({calendar}) AS place",
+        start,
         "prior_end",
+        f"lead(prior_end) OVER ({calendar}) AS known_end",
         "final_end",
-    ).select(
-        *keys,
-        "span_id",
-        "span_start",
-        F.coalesce("next_prior_end", "final_end").alias("span_end"),
-        "prior_end",
-        F.col("next_prior_end").isNull().alias("is_latest"),
-    )
-    so_far = (
-        Window.partitionBy(*keys)
-        .orderBy("span_start")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    days = inclusive_days(F.col("span_start"), F.col("span_end"))
-    return bounded.select(
+    days = inclusive_days(start, "coalesce(known_end, final_end)")
+    return spans.selectExpr(
         *keys,
-        "span_id",
-        "span_start",
-        "span_end",
+        "CAST(place AS LONG) AS span_id",
+        f"{start} AS span_start",
+        "coalesce(known_end, final_end) AS span_end",
         "prior_end",
-        F.sum(days).over(so_far).alias("covered_days"),
-        "is_latest",
+        f"sum({days}) OVER ({calendar} ROWS BETWEEN {bounds} CURRENT ROW) AS covered_days",
+        "known_end IS NULL AS is_latest",
     )
 
 
@@ -156,13 +138,15 @@ def year_runs(spans: DataFrame) -> DataFrame:
 
     The runs of one key are disjoint; a span that adds no year has no row.
     """
-    first = F.greatest(F.year("span_start"), F.year("prior_end") + 1)
-    return spans.withColumns(
-        {"first_year": first, "last_year": F.year("span_end")}
+    return spans.selectExpr(
+        "*",
+        "greatest(year(span_start), year(prior_end) + 1) AS first_year",
+        "year(span_end) AS last_year",
     ).filter("first_year <= last_year")
 
 
 def covered_years(spans: DataFrame, keys: Sequence[str] = ("patid",)) -> DataFrame:
     """One row per key and calendar year with at least one covered day."""
-    years = F.explode(F.sequence("first_year", "last_year"))
-    return year_runs(spans).select(*keys, years.alias("year"))
+    return year_runs(spans).selectExpr(
+        *keys, "explode(sequence(first_year, last_year)) AS year"
+    )

@@ -8,13 +8,18 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.operators.containment import histogram
 from cohortspark.operators.intervals import latest_spans, year_runs
 
 
+def labelled(rows: DataFrame, dp: str, *columns: str | Column) -> DataFrame:
+    """Put the request id in front of the columns."""
+    return rows.select(F.lit(dp).alias("dp"), *columns)
+
+
 def of_cohort(spans: DataFrame, cohort: str) -> DataFrame:
     """Spans of one cohort."""
     return spans.filter(F.col("cohort") == cohort)
@@ -22,28 +27,30 @@ def of_cohort(spans: DataFrame, cohort: str) -> DataFrame:
 
 def covered_days(spans: DataFrame, dp: str, cohort: str) -> DataFrame:
     """How many patients have how many covered days in all."""
-    patients = latest_spans(of_cohort(spans, cohort))
-    return histogram(
-        patients, F.lit(dp).alias("dp"), F.col("covered_days").alias("total_length")
-    )
+    totals = histogram(latest_spans(of_cohort(spans, cohort)), "covered_days AS total_length")
+    return labelled(totals, dp, "total_length", "count")
 
 
 def patients(spans: DataFrame, dp: str, cohort: str) -> DataFrame:
     """Number of patients with a span; no row if there is none."""
-    return histogram(latest_spans(of_cohort(spans, cohort)), F.lit(dp).alias("dp"))
+    return labelled(_total(latest_spans(of_cohort(spans, cohort))), dp, "count")
 
 
 def active_patients(spans: DataFrame, dp: str, cohort: str, dp_max_date: date) -> DataFrame:
     """Number of patients with any span that ends on or after a day."""
     # The latest span ends last, so it decides for all of a patient's spans.
     active = latest_spans(of_cohort(spans, cohort)).filter(F.col("span_end") >= F.lit(dp_max_date))
-    return histogram(active, F.lit(dp).alias("dp"))
+    return labelled(_total(active), dp, "count")
+
+
+def _total(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.expr("count(*) AS count")).filter("count > 0")
 
 
 def span_counts(spans: DataFrame, dp: str, cohort: str) -> DataFrame:
     """How many patients have how many spans."""
-    patients = latest_spans(of_cohort(spans, cohort))
-    return histogram(patients, F.lit(dp).alias("dp"), F.col("span_id").alias("enr_count"))
+    counts = histogram(latest_spans(of_cohort(spans, cohort)), "span_id AS enr_count")
+    return labelled(counts, dp, "enr_count", "count")
 
 
 def patients_by_year(spans: DataFrame, dp: str, cohort: str) -> DataFrame:
@@ -53,23 +60,19 @@ def patients_by_year(spans: DataFrame, dp: str, cohort: str) -> DataFrame:
     coverage without an end (9999-12-31) costs no more than any other. Behind the first
     aggregation there is one row per year at most.
     """
-    runs = year_runs(of_cohort(spans, cohort))
-    turns = F.explode(
-        F.array(
-            F.struct(F.col("first_year").alias("year"), F.lit(1).alias("change")),
-            F.struct((F.col("last_year") + 1).alias("year"), F.lit(-1).alias("change")),
-        )
+    turns = year_runs(of_cohort(spans, cohort)).selectExpr(
+        "inline(array(struct(first_year AS year, 1 AS change),"
+        " struct(last_year + 1 AS year, -1 AS change)))"
     )
-    changes = (
-        runs.select(turns.alias("turn"))
-        .groupBy("turn.year")
-        .agg(F.sum("turn.change").alias("change"))
+    levels = (
+        turns.groupBy("year")
+        .agg(F.sum("change").alias("change"))
+        .selectExpr(
+            "year",
+            "lead(year) OVER (ORDER BY year) AS following",
+            "sum(change) OVER (ORDER BY year) AS count",
+        )
+        .filter("count > 0")
     )
-    in_order = Window.partitionBy(F.lit(dp)).orderBy("year")
-    levels = changes.select(
-        "year",
-        F.lead("year").over(in_order).alias("following"),
-        F.sum("change").over(in_order).alias("count"),
-    ).filter("count > 0")
-    years = F.explode(F.sequence("year", F.col("following") - 1))
-    return levels.select(F.lit(dp).alias("dp"), years.alias("year"), "count")
+    years = levels.selectExpr("explode(sequence(year, following - 1)) AS year", "count")
+    return labelled(years, dp, "year", "count")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.functions import first_date
 from cohortspark.operators.containment import daily_counts, histogram, totals_in_spans
+from cohortspark.plans.coverage import labelled, of_cohort
 
 # Label of every vital sign and the column that holds it, in report order.
 VITAL_SIGNS = {"HGT": "ht", "WGT": "wt", "DIA": "diastolic", "SYS": "systolic"}
@@ -16,12 +17,12 @@ VITAL_SIGNS = {"HGT": "ht", "WGT": "wt", "DIA": "diastolic", "SYS": "systolic"}
 
 def dispensing_days(dispensing: DataFrame) -> DataFrame:
     """Dispensings per patient and day."""
-    return daily_counts(dispensing, F.col("rxdate"))
+    return daily_counts(dispensing, "rxdate")
 
 
 def encounter_days(encounter: DataFrame) -> DataFrame:
     """Encounters per patient and day."""
-    return daily_counts(encounter, F.col("adate"))
+    return daily_counts(encounter, "adate")
 
 
 def lab_days(lab: DataFrame) -> DataFrame:
@@ -40,9 +41,7 @@ def event_histogram(daily: DataFrame, spans: DataFrame, cohorts: Sequence[str])
 
 def event_counts(counts: DataFrame, dp: str, cohort: str, column: str) -> DataFrame:
     """One cohort's rows of ``event_histogram`` with the number of events named ``column``."""
-    return counts.filter(F.col("cohort") == cohort).select(
-        F.lit(dp).alias("dp"), F.col("n").alias(column), "count"
-    )
+    return labelled(of_cohort(counts, cohort), dp, F.col("n").alias(column), "count")
 
 
 def vital_sign_counts(vitals: DataFrame, spans: DataFrame, dp: str, cohort: str) -> DataFrame:
@@ -50,16 +49,13 @@ def vital_sign_counts(vitals: DataFrame, spans: DataFrame, dp: str, cohort: str)
 
     The four signs are counted side by side and turned into rows at the very end.
     """
-    signs = {label: F.count(column) for label, column in VITAL_SIGNS.items()}
-    daily = daily_counts(vitals, F.col("measure_date"), signs)
+    signs = {label: f"count({column})" for label, column in VITAL_SIGNS.items()}
+    daily = daily_counts(vitals, "measure_date", signs)
     inside = totals_in_spans(daily, spans, [cohort], list(signs))
-    labelled = [
-        F.struct(F.lit(i).alias("place"), F.lit(s).alias("vs_type"), F.sum(s).alias("count"))
-        for i, s in enumerate(signs)
-    ]
-    return (
-        inside.agg(F.explode(F.array(*labelled)).alias("sign"))
-        .filter("sign.count > 0")
-        .orderBy("sign.place")
-        .select(F.lit(dp).alias("dp"), "sign.vs_type", "sign.count")
+    counts = inside.agg(*[F.sum(sign).alias(sign) for sign in signs])
+    rows = ", ".join(
+        f"struct({i} AS place, '{sign}' AS vs_type, {sign} AS count)"
+        for i, sign in enumerate(signs)
     )
+    by_sign = counts.selectExpr(f"inline(array({rows}))").filter("count > 0").orderBy("place")
+    return labelled(by_sign, dp, "vs_type", "count")

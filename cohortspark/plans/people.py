@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortspark.functions import DEMOGRAPHIC_EDGES, age_band, completed_years
 from cohortspark.operators.containment import histogram
 from cohortspark.operators.intervals import latest_spans
-from cohortspark.plans.coverage import of_cohort
+from cohortspark.plans.coverage import labelled, of_cohort
 
 CATEGORIES = ["sex", "race", "hispanic"]
 
@@ -22,12 +22,13 @@ def age_categories(spans: DataFrame, demographic: DataFrame, cohort: str) -> Dat
     """
     aged = (
         latest_spans(of_cohort(spans, cohort))
+        .select("patid", "span_start", "span_end")
         .join(demographic.select("patid", "birth_date"), "patid")
-        .withColumn("age", completed_years(F.col("birth_date"), F.col("span_start")))
+        .selectExpr("*", f"{completed_years('birth_date', 'span_start')} AS age")
     )
     return aged.select(
         "patid",
-        age_band(F.col("age"), DEMOGRAPHIC_EDGES).alias("age_category"),
+        age_band("age", DEMOGRAPHIC_EDGES).alias("age_category"),
         "span_start",
         "span_end",
         "birth_date",
@@ -36,8 +37,8 @@ def age_categories(spans: DataFrame, demographic: DataFrame, cohort: str) -> Dat
 
 def age_counts(spans: DataFrame, demographic: DataFrame, dp: str, cohort: str) -> DataFrame:
     """Patients by age band at the start of the latest span."""
-    aged = age_categories(spans, demographic, cohort)
-    return histogram(aged, F.lit(dp).alias("dp"), "age_category")
+    counts = histogram(age_categories(spans, demographic, cohort), "age_category")
+    return labelled(counts, dp, "age_category", "count")
 
 
 def active_age_counts(
@@ -55,9 +56,10 @@ def category_counts(spans: DataFrame, demographic: DataFrame, dp: str, cohort: s
         demographic.select("patid", *CATEGORIES)
         .join(members, "patid", "left_semi")
         .unpivot([], CATEGORIES, "variable", "value")
-        .filter(F.col("value").isNotNull())
+        .filter("value IS NOT NULL")
     )
-    return histogram(values, F.lit(dp).alias("dp"), "variable", "value")
+    counts = histogram(values, "variable", "value")
+    return labelled(counts, dp, "variable", "value", "count")
 
 
 def death_counts(spans: DataFrame, death: DataFrame) -> DataFrame:
@@ -66,11 +68,11 @@ def death_counts(spans: DataFrame, death: DataFrame) -> DataFrame:
     All rows count, also several of one patient; they are added up before they meet the
     patients, so a patient with many rows weighs as little in the join as any other.
     """
-    per_patient = histogram(death.filter(F.col("patid").isNotNull()), "patid")
+    per_patient = histogram(death.filter("patid IS NOT NULL"), "patid")
     members = latest_spans(spans).select("patid", "cohort")
     return members.join(per_patient, "patid").groupBy("cohort").agg(F.sum("count").alias("count"))
 
 
 def deaths(counts: DataFrame, dp: str, cohort: str) -> DataFrame:
     """One cohort's row of ``death_counts``; no row if nobody died."""
-    return counts.filter(F.col("cohort") == cohort).select(F.lit(dp).alias("dp"), "count")
+    return labelled(of_cohort(counts, cohort), dp, "count")
