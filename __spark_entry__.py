@@ -51,10 +51,13 @@ def _from_spans(result: Callable[..., DataFrame], *args: object) -> Query:
     return lambda spark, d: result(_spans(spark, d), DP, "md", *args)
 
 
-def _from_people(result: Callable[..., DataFrame], *args: object) -> Query:
-    return lambda spark, d: result(
-        _spans(spark, d), table(spark, d, "demographic"), DP, "md", *args
-    )
+def _from_people(result: Callable[..., DataFrame], *categories: str) -> Query:
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        demographic = table(spark, d, "demographic")
+        tally = people.patient_tally(_spans(spark, d), demographic, "md", DP_MAX_DATE, categories)
+        return result(tally, DP)
+
+    return query
 
 
 def _from_events(name: str, days: Callable[[DataFrame], DataFrame], cohort: str, column: str):
@@ -165,8 +168,8 @@ def queries() -> dict[str, Query]:
         "enr_pat_enrcount_md": _from_spans(coverage.span_counts),
         "enr_active_patid_ct_md": _from_spans(coverage.active_patients, DP_MAX_DATE),
         "dem_pat_lstagecount_md": _from_people(people.age_counts),
-        "dem_pat_actagect_md": _from_people(people.active_age_counts, DP_MAX_DATE),
-        "dem_catvars_md": _from_people(people.category_counts),
+        "dem_pat_actagect_md": _from_people(people.active_age_counts),
+        "dem_catvars_md": _from_people(people.category_counts, *people.CATEGORIES),
         "dis_pat_rx_md": _from_events("dispensing", events.dispensing_days, "md", "rx_count"),
         "dis_pat_rx_d": _from_events("dispensing", events.dispensing_days, "d", "rx_count"),
         "enc_pat_enccount_md": _from_events("encounter", events.encounter_days, "md", "enc_count"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -12,18 +13,21 @@ from cohortspark.operators.containment import histogram
 from cohortspark.operators.intervals import latest_spans
 from cohortspark.plans.coverage import labelled, of_cohort
 
-CATEGORIES = ["sex", "race", "hispanic"]
+# The demographic columns whose values are counted.
+CATEGORIES = ("sex", "race", "hispanic")
 
 
-def age_categories(spans: DataFrame, demographic: DataFrame, cohort: str) -> DataFrame:
-    """Age band of every patient at the start of the latest span.
+def age_categories(
+    spans: DataFrame, demographic: DataFrame, cohort: str, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Age band of every patient at the start of the latest span, with columns to ``keep``.
 
     ``demographic`` has one row per patient; ``duplicate_keys`` finds breaches of that.
     """
     aged = (
         latest_spans(of_cohort(spans, cohort))
         .select("patid", "span_start", "span_end")
-        .join(demographic.select("patid", "birth_date"), "patid")
+        .join(demographic.select("patid", "birth_date", *keep), "patid")
         .selectExpr("*", f"{completed_years('birth_date', 'span_start')} AS age")
     )
     return aged.select(
@@ -32,34 +36,48 @@ def age_categories(spans: DataFrame, demographic: DataFrame, cohort: str) -> Dat
         "span_start",
         "span_end",
         "birth_date",
+        *keep,
     )
 
 
-def age_counts(spans: DataFrame, demographic: DataFrame, dp: str, cohort: str) -> DataFrame:
-    """Patients by age band at the start of the latest span."""
-    counts = histogram(age_categories(spans, demographic, cohort), "age_category")
-    return labelled(counts, dp, "age_category", "count")
-
-
-def active_age_counts(
-    spans: DataFrame, demographic: DataFrame, dp: str, cohort: str, dp_max_date: date
+def patient_tally(
+    spans: DataFrame,
+    demographic: DataFrame,
+    cohort: str,
+    dp_max_date: date,
+    categories: Sequence[str] = CATEGORIES,
 ) -> DataFrame:
-    """As ``age_counts``, for patients whose latest span ends on or after a day."""
-    active = spans.filter(F.col("span_end") >= F.lit(dp_max_date))
-    return age_counts(active, demographic, dp, cohort)
-
-
-def category_counts(spans: DataFrame, demographic: DataFrame, dp: str, cohort: str) -> DataFrame:
-    """Patients by value of sex, race and hispanic; null values are left out."""
-    members = latest_spans(of_cohort(spans, cohort)).select("patid")
-    values = (
-        demographic.select("patid", *CATEGORIES)
-        .join(members, "patid", "left_semi")
-        .unpivot([], CATEGORIES, "variable", "value")
-        .filter("value IS NOT NULL")
+    """Patients by ``variable, value`` and by ``active``: ends the latest span late enough?
+
+    The variables are ``age_category`` and the categories. One join serves all of them;
+    ahead of the only further shuffle the rows are down to one per value.
+    """
+    aged = age_categories(spans, demographic, cohort, categories).withColumn(
+        "active", F.col("span_end") >= F.lit(dp_max_date)
     )
-    counts = histogram(values, "variable", "value")
-    return labelled(counts, dp, "variable", "value", "count")
+    values = aged.unpivot(["active"], ["age_category", *categories], "variable", "value")
+    return histogram(values, "variable", "value", "active")
+
+
+def age_counts(tally: DataFrame, dp: str) -> DataFrame:
+    """Patients of a ``patient_tally`` by age band at the start of the latest span."""
+    ages = tally.filter("variable = 'age_category'").withColumnRenamed("value", "age_category")
+    return labelled(_summed(ages, "age_category"), dp, "age_category", "count")
+
+
+def active_age_counts(tally: DataFrame, dp: str) -> DataFrame:
+    """As ``age_counts``, for the active patients."""
+    return age_counts(tally.filter("active"), dp)
+
+
+def category_counts(tally: DataFrame, dp: str) -> DataFrame:
+    """Patients by value of each category; null values are left out."""
+    values = tally.filter("variable <> 'age_category' AND value IS NOT NULL")
+    return labelled(_summed(values, "variable", "value"), dp, "variable", "value", "count")
+
+
+def _summed(counts: DataFrame, *by: str) -> DataFrame:
+    return counts.groupBy(*by).agg(F.sum("count").alias("count"))
 
 
 def death_counts(spans: DataFrame, death: DataFrame) -> DataFrame:
@@ -70,7 +88,7 @@ def death_counts(spans: DataFrame, death: DataFrame) -> DataFrame:
     """
     per_patient = histogram(death.filter("patid IS NOT NULL"), "patid")
     members = latest_spans(spans).select("patid", "cohort")
-    return members.join(per_patient, "patid").groupBy("cohort").agg(F.sum("count").alias("count"))
+    return _summed(members.join(per_patient, "patid"), "cohort")
 
 
 def deaths(counts: DataFrame, dp: str, cohort: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from cohortspark.operators.checks import delivery_conflicts, duplicate_keys
 from cohortspark.operators.deliveries import delivery_grain
@@ -17,6 +18,8 @@ from cohortspark.sources.contracts import CONTRACTS
 from cohortspark.sources.scratch import Scratch
 from cohortspark.sources.tables import write_table
 
+T = TypeVar("T")
+
 DP_MAX_DATE = date(2023, 6, 30)
 
 # Domain -> its result tables, and the cohorts a domain needs spans of.
@@ -73,22 +76,29 @@ def result_names(domains: Iterable[str] | None = None) -> list[str]:
     return [name for domain in needed_domains(domains) for name in RESULTS[domain]]
 
 
-def check_inputs(tables: Mapping[str, DataFrame], domains: Collection[str], scratch: Scratch):
-    """Raise ``DataError`` on duplicate patients or conflicting deliveries.
+def check_patients(demographic: DataFrame) -> None:
+    """Raise ``DataError`` if a patient has several demographic rows."""
+    repeated = duplicate_keys(demographic, "patid").count()
+    if repeated:
+        raise DataError(f"{repeated} patients have several demographic rows")
 
-    Returns the stored delivery grain, or None without mil.
-    """
-    if "demographic" in domains:
-        repeated = duplicate_keys(tables["demographic"], "patid").count()
-        if repeated:
-            raise DataError(f"{repeated} patients have several demographic rows")
-    if "mil" not in domains:
-        return None
-    grain = scratch.save("delivery_grain", delivery_grain(tables["mil"]))
+
+def check_deliveries(grain: DataFrame) -> None:
+    """Raise ``DataError`` if the rows of a delivery disagree about its attributes."""
     conflicting = delivery_conflicts(grain).count()
     if conflicting:
         raise DataError(f"{conflicting} deliveries have conflicting attributes")
-    return grain
+
+
+def _side_by_side(
+    spark: SparkSession, threads: int, jobs: Mapping[str, Callable[[], T]]
+) -> dict[str, T]:
+    """Run independent jobs from several threads, which fills the short last stages of each."""
+    with ThreadPoolExecutor(threads) as pool:
+        running = {
+            name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()
+        }
+        return {name: job.result() for name, job in running.items()}
 
 
 def snapshot(
@@ -97,11 +107,12 @@ def snapshot(
     scratch: Scratch,
     dp_max_date: date = DP_MAX_DATE,
     domains: Iterable[str] | None = None,
+    threads: int = 4,
 ) -> dict[str, DataFrame]:
     """Check the inputs and build the result tables of the domains.
 
     What several results share is computed once and stored in ``scratch``: the spans of all
-    cohorts, the event and death tallies that cover two cohorts, and the delivery grain. The
+    cohorts, the delivery grain, and the tallies of patients, dispensings and deaths. The
     returned plans read those tables, so they have to be used before ``scratch`` is dropped.
     """
     if not dp.strip():
@@ -110,46 +121,76 @@ def snapshot(
     absent = [table for table in selected if table not in tables]
     if absent:
         raise ValueError(f"no table {', '.join(absent)}")
+    cohorts = sorted({c for domain in selected for c in COHORTS_OF[domain]})
 
-    grain = check_inputs(tables, selected, scratch)
-    results: dict[str, DataFrame] = {}
+    def store_grain() -> DataFrame:
+        grain = scratch.save("delivery_grain", delivery_grain(tables["mil"]))
+        check_deliveries(grain)
+        return grain
+
+    def store_spans() -> DataFrame:
+        return scratch.save("spans", cohort_spans(tables["enrollment"], cohorts), "cohort")
+
+    first: dict[str, Callable[[], DataFrame | None]] = {}
     if "enrollment" in selected:
-        cohorts = sorted({c for domain in selected for c in COHORTS_OF[domain]})
-        spans = scratch.save(
-            "spans", cohort_spans(tables["enrollment"], cohorts), partition_by="cohort"
+        first["spans"] = store_spans
+    if "mil" in selected:
+        first["grain"] = store_grain
+    if "demographic" in selected:
+        first["patients"] = lambda: check_patients(tables["demographic"])
+    stored = _side_by_side(scratch.spark, threads, first)
+    spans = stored.get("spans")
+
+    def store_dispensings() -> DataFrame:
+        days = events.dispensing_days(tables["dispensing"])
+        return scratch.save("dispensings", events.event_histogram(days, spans, ["md", "d"]))
+
+    def store_deaths() -> DataFrame:
+        members = spans.filter(spans.cohort.isin("md", "m"))
+        return scratch.save("deaths", people.death_counts(members, tables["death"]))
+
+    def store_patients() -> DataFrame:
+        return scratch.save(
+            "patients", people.patient_tally(spans, tables["demographic"], "md", dp_max_date)
         )
+
+    second = {
+        "dispensing": store_dispensings,
+        "demographic": store_patients,
+        "death": store_deaths,
+    }
+    tallies = _side_by_side(
+        scratch.spark, threads, {d: store for d, store in second.items() if d in selected}
+    )
+
+    results: dict[str, DataFrame] = {}
+    if "enrollment" in selected:
         results["enr_pat_covlength_md"] = coverage.covered_days(spans, dp, "md")
         results["enr_patid_ct_md"] = coverage.patients(spans, dp, "md")
         results["enr_pat_covyears_md"] = coverage.patients_by_year(spans, dp, "md")
         results["enr_pat_enrcount_md"] = coverage.span_counts(spans, dp, "md")
         results["enr_active_patid_ct_md"] = coverage.active_patients(spans, dp, "md", dp_max_date)
     if "demographic" in selected:
-        demographic = tables["demographic"]
-        results["dem_pat_lstagecount_md"] = people.age_counts(spans, demographic, dp, "md")
-        results["dem_pat_actagect_md"] = people.active_age_counts(
-            spans, demographic, dp, "md", dp_max_date
-        )
-        results["dem_catvars_md"] = people.category_counts(spans, demographic, dp, "md")
+        tally = tallies["demographic"]
+        results["dem_pat_lstagecount_md"] = people.age_counts(tally, dp)
+        results["dem_pat_actagect_md"] = people.active_age_counts(tally, dp)
+        results["dem_catvars_md"] = people.category_counts(tally, dp)
     if "dispensing" in selected:
-        days = events.dispensing_days(tables["dispensing"])
-        counts = scratch.save("dispensings", events.event_histogram(days, spans, ["md", "d"]))
-        results["dis_pat_rx_md"] = events.event_counts(counts, dp, "md", "rx_count")
-        results["dis_pat_rx_d"] = events.event_counts(counts, dp, "d", "rx_count")
+        tally = tallies["dispensing"]
+        results["dis_pat_rx_md"] = events.event_counts(tally, dp, "md", "rx_count")
+        results["dis_pat_rx_d"] = events.event_counts(tally, dp, "d", "rx_count")
     if "encounter" in selected:
-        days = events.encounter_days(tables["encounter"])
-        counts = events.event_histogram(days, spans, ["md"])
-        results["enc_pat_enccount_md"] = events.event_counts(counts, dp, "md", "enc_count")
+        tally = events.event_histogram(events.encounter_days(tables["encounter"]), spans, ["md"])
+        results["enc_pat_enccount_md"] = events.event_counts(tally, dp, "md", "enc_count")
     if "lab" in selected:
-        days = events.lab_days(tables["lab"])
-        counts = events.event_histogram(days, spans, ["md"])
-        results["lab_pat_testct_md"] = events.event_counts(counts, dp, "md", "lab_count")
+        tally = events.event_histogram(events.lab_days(tables["lab"]), spans, ["md"])
+        results["lab_pat_testct_md"] = events.event_counts(tally, dp, "md", "lab_count")
     if "death" in selected:
-        members = spans.filter(spans.cohort.isin("md", "m"))
-        counts = scratch.save("deaths", people.death_counts(members, tables["death"]))
-        results["dth_dthct_md"] = people.deaths(counts, dp, "md")
-        results["dth_dthct_m"] = people.deaths(counts, dp, "m")
+        tally = tallies["death"]
+        results["dth_dthct_md"] = people.deaths(tally, dp, "md")
+        results["dth_dthct_m"] = people.deaths(tally, dp, "m")
     if "mil" in selected:
-        results["mil_linkage_rates"] = linkage.linkage_rates(grain, tables["mil"], dp)
+        results["mil_linkage_rates"] = linkage.linkage_rates(stored["grain"], tables["mil"], dp)
     return results
 
 
@@ -161,25 +202,25 @@ def write_snapshot(
     domains: Iterable[str] | None = None,
     mode: str = "errorifexists",
     partitions: int = 0,
-    writers: int = 4,
+    threads: int = 4,
 ) -> dict[str, str]:
     """Write every result table to ``<root>/<name>/`` and return the paths by name.
 
-    Nothing is written before all checks have passed. Rows are ordered by their leading
-    columns. ``writers`` results are written side by side, so that the short final stages
-    of one do not leave the cluster idle.
+    No result is written before all checks have passed. Rows are ordered by the key columns
+    of their table. Up to ``threads`` results are written side by side.
     """
     spark = next(iter(tables.values())).sparkSession
     with Scratch(spark) as scratch:
-        results = snapshot(tables, dp, scratch, dp_max_date, domains)
+        results = snapshot(tables, dp, scratch, dp_max_date, domains, threads)
 
-        def write(item: tuple[str, DataFrame]) -> tuple[str, str]:
-            name, rows = item
+        def writer(name: str) -> Callable[[], str]:
+            rows = results[name]
             keys = [column for column in rows.columns if column in SORT_COLUMNS]
-            return name, write_table(rows, root, name, mode, partitions, keys)
+            return lambda: write_table(rows, root, name, mode, partitions, keys)
 
-        with ThreadPoolExecutor(writers) as pool:
-            return dict(pool.map(inheritable_thread_target(spark)(write), results.items()))
+        # The results at the end still have to read their events, so they go first.
+        written = _side_by_side(spark, threads, {name: writer(name) for name in reversed(results)})
+    return {name: written[name] for name in results}
 
 
 # The columns results are ordered by, those of each in its column order.
