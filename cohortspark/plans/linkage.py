@@ -22,8 +22,13 @@ def _by_dimension(rows: DataFrame, *measures: str) -> DataFrame:
     Grouping sets expand the rows into one copy per dimension inside the partial
     aggregation. The dimensions stay numbers there; labels are made of the few results.
     """
-    prepared = rows.selectExpr(
-        "*", f"{band_start('age', MATERNAL_EDGES)} AS age_category", "year(adate) AS year"
+    prepared = rows.withColumns(
+        {
+            "age_category": F.expr(band_start("age", MATERNAL_EDGES)),
+            # Null and the text MISSING are one value, also when infants are told apart.
+            "enctype": F.expr("coalesce(enctype, 'MISSING')"),
+            "year": F.expr("year(adate)"),
+        }
     )
     names = list(DIMENSIONS)
     tallied = prepared.groupingSets(

@@ -1,0 +1,246 @@
+"""The result tables on hand-made rows."""
+
+from datetime import date, datetime
+
+import pytest
+from helpers import enrollment, make, rows, typed
+from pyspark.sql import functions as F
+
+from cohortspark.functions import DEMOGRAPHIC_EDGES, MATERNAL_EDGES, age_band, first_date
+from cohortspark.operators import cohort_spans, totals_in_spans
+from cohortspark.plans import coverage, events, people
+
+DP = "DP1"
+MAX = date(2020, 6, 30)
+
+
+def spans_of(spark, *intervals, cohorts=("md",), **flags):
+    return cohort_spans(enrollment(spark, *intervals, **flags), cohorts)
+
+
+def one_patient(spark, *intervals):
+    return spans_of(spark, *[(1, *interval) for interval in intervals])
+
+
+def test_coverage_results(spark):
+    spans = spans_of(
+        spark,
+        (1, "2020-01-01", "2020-01-01"),
+        (2, "2019-01-01", "2019-01-10"),
+        (2, "2020-12-01", "2021-01-05"),
+        (3, "2018-05-05", "2018-05-05"),
+    )
+    assert rows(coverage.covered_days(spans, DP, "md")) == [(DP, 1, 2), (DP, 46, 1)]
+    assert rows(coverage.patients(spans, DP, "md")) == [(DP, 3)]
+    assert rows(coverage.span_counts(spans, DP, "md")) == [(DP, 1, 2), (DP, 2, 1)]
+    assert rows(coverage.active_patients(spans, DP, "md", MAX)) == [(DP, 1)]
+    assert rows(coverage.patients_by_year(spans, DP, "md")) == [
+        (DP, 2018, 1),
+        (DP, 2019, 1),
+        (DP, 2020, 2),
+        (DP, 2021, 1),
+    ]
+
+
+def test_years_nobody_is_covered_are_absent(spark):
+    spans = spans_of(spark, (1, "2001-01-01", "2001-01-10"), (2, "2005-01-01", "2006-01-10"))
+    assert rows(coverage.patients_by_year(spans, DP, "md")) == [
+        (DP, 2001, 1),
+        (DP, 2005, 1),
+        (DP, 2006, 1),
+    ]
+
+
+def test_open_ended_coverage(spark):
+    spans = spans_of(spark, (1, "2020-01-01", "9999-12-31"), (2, "2021-01-01", "2021-01-01"))
+    years = {r["year"]: r["count"] for r in coverage.patients_by_year(spans, DP, "md").collect()}
+    assert len(years) == 9999 - 2020 + 1
+    assert years[2020] == 1 and years[2021] == 2 and years[9999] == 1
+
+
+def test_any_span_may_be_active(spark):
+    spans = one_patient(spark, ("2019-01-01", "2019-02-01"), ("2020-01-01", "2020-06-30"))
+    assert rows(coverage.active_patients(spans, DP, "md", MAX)) == [(DP, 1)]
+    later = date(2020, 7, 1)
+    assert rows(coverage.active_patients(spans, DP, "md", later)) == []
+
+
+def test_no_input_no_row(spark):
+    spans = cohort_spans(enrollment(spark), ["md"])
+    demographic = make(spark, "demographic", (1, "1980-01-01", "F", "1", "N"))
+    tally = people.patient_tally(spans, demographic, "md", MAX)
+    death = make(spark, "death", (1, "2020-01-01"))
+    encounter = make(spark, "encounter", (1, "2020-01-01"))
+    counts = events.event_histogram(events.encounter_days(encounter), spans, ["md"])
+    for result in (
+        coverage.covered_days(spans, DP, "md"),
+        coverage.patients(spans, DP, "md"),
+        coverage.active_patients(spans, DP, "md", MAX),
+        coverage.patients_by_year(spans, DP, "md"),
+        people.age_counts(tally, DP),
+        people.category_counts(tally, DP),
+        people.deaths(people.death_counts(spans, death), DP, "md"),
+        events.event_counts(counts, DP, "md", "enc_count"),
+    ):
+        assert rows(result) == []
+
+
+@pytest.mark.parametrize(
+    ("start", "born", "band"),
+    [
+        ("2020-01-01", "1940-01-01", "80+ yrs"),
+        ("2020-01-01", "1940-01-02", "75-79 yrs"),
+        ("2020-01-01", None, "MISSING"),
+        ("2020-01-01", "2020-01-02", "NEGATIVE"),
+        ("2020-01-01", "2020-01-01", "0-1 yrs"),
+        ("2020-02-28", "2000-02-29", "15-19 yrs"),
+        ("2021-02-28", "2000-02-29", "20-24 yrs"),
+        ("2020-01-01", "2018-01-01", "2-4 yrs"),
+        ("2020-01-01", "2015-01-02", "2-4 yrs"),
+        ("2020-01-01", "2015-01-01", "5-9 yrs"),
+    ],
+)
+def test_age_at_the_latest_span(spark, start, born, band):
+    spans = one_patient(spark, ("2010-01-01", "2010-02-01"), (start, "2022-01-01"))
+    demographic = make(spark, "demographic", (1, born, "F", "1", "N"))
+    assert rows(people.age_categories(spans, demographic, "md"), "age_category") == [(band,)]
+
+
+def test_bands_have_no_holes(spark):
+    ages = spark.range(-2, 120).withColumn("age", F.col("id").cast("double") + 0.5)
+    labels = [r[0] for r in ages.orderBy("id").select(age_band("age", MATERNAL_EDGES)).collect()]
+    assert labels[:6] == ["NEGATIVE", "NEGATIVE", "0-1 yrs", "0-1 yrs", "2-4 yrs", "2-4 yrs"]
+    assert labels[2 + 54] == "50-54 yrs" and labels[2 + 55] == "55+ yrs" and labels[-1] == "55+ yrs"
+    demographic = [r[0] for r in ages.orderBy("id").select(age_band("id", DEMOGRAPHIC_EDGES)).collect()]
+    assert demographic[2 + 79] == "75-79 yrs" and demographic[2 + 80] == "80+ yrs"
+    assert len(set(demographic)) == 19
+    missing = spark.sql("SELECT CAST(NULL AS INT) AS age").select(age_band("age", MATERNAL_EDGES))
+    assert missing.first()[0] == "MISSING"
+
+
+def test_demographic_results(spark):
+    spans = spans_of(
+        spark,
+        (1, "2020-01-01", "2020-06-30"),
+        (2, "2020-01-01", "2020-06-29"),
+        (3, "2020-01-01", "2021-01-01"),
+        (9, "2020-01-01", "2021-01-01"),
+    )
+    demographic = make(
+        spark,
+        "demographic",
+        (1, "1980-05-05", "F", "1", None),
+        (2, "1980-05-05", "M", "1", "Y"),
+        (3, None, "F", None, "Y"),
+        (4, "1980-05-05", "F", "1", "Y"),
+    )
+    tally = people.patient_tally(spans, demographic, "md", MAX)
+    assert rows(people.age_counts(tally, DP)) == [(DP, "35-39 yrs", 2), (DP, "MISSING", 1)]
+    assert rows(people.active_age_counts(tally, DP)) == [(DP, "35-39 yrs", 1), (DP, "MISSING", 1)]
+    assert rows(people.category_counts(tally, DP)) == [
+        (DP, "hispanic", "Y", 2),
+        (DP, "race", "1", 2),
+        (DP, "sex", "F", 2),
+        (DP, "sex", "M", 1),
+    ]
+
+
+def test_deaths_count_rows_of_members(spark):
+    frame = enrollment(spark, (1, "2020-01-01", "2020-01-31"), (1, "2021-01-01", "2021-01-31"))
+    frame = frame.union(enrollment(spark, (2, "2020-01-01", "2020-01-31"), drugcov="N"))
+    death = make(
+        spark, "death", (1, "2022-01-01"), (1, "2022-01-01"), (2, None), (3, "2022-01-01"), (None, None)
+    )
+    counts = people.death_counts(cohort_spans(frame, ["m", "md"]), death)
+    assert rows(people.deaths(counts, DP, "md")) == [(DP, 2)]
+    assert rows(people.deaths(counts, DP, "m")) == [(DP, 3)]
+
+
+def event_rows(spark, spans, *dates, cohort="md", **how):
+    daily = events.dispensing_days(make(spark, "dispensing", *dates))
+    return rows(totals_in_spans(daily, spans, [cohort], **how))
+
+
+@pytest.mark.parametrize("how", [{}, {"broadcast_rows": 100}, {"broadcast_rows": 1}])
+def test_events_on_the_edges_of_spans(spark, how):
+    spans = spans_of(
+        spark,
+        (1, "2020-02-01", "2020-02-10"),
+        (1, "2020-06-01", "2020-06-30"),
+        (2, "2020-01-01", "2020-01-01"),
+    )
+    found = event_rows(
+        spark,
+        spans,
+        (1, "2020-01-31"),
+        (1, "2020-02-01"),
+        (1, "2020-02-10"),
+        (1, "2020-02-10"),
+        (1, "2020-02-11"),
+        (1, "2020-06-15"),
+        (1, None),
+        (2, "2020-01-02"),
+        (3, "2020-02-01"),
+        (None, "2020-02-01"),
+        **how,
+    )
+    assert found == [(1, "md", 4)]
+
+
+def test_events_of_several_cohorts_in_one_pass(spark):
+    frame = enrollment(spark, (1, "2020-01-01", "2020-01-31"))
+    frame = frame.union(enrollment(spark, (1, "2020-06-01", "2020-06-30"), medcov="N"))
+    spans = cohort_spans(frame)
+    dispensing = make(spark, "dispensing", (1, "2020-01-05"), (1, "2020-06-05"), (1, "2020-06-06"))
+    tally = events.event_histogram(events.dispensing_days(dispensing), spans, ["md", "d"])
+    assert rows(events.event_counts(tally, DP, "md", "rx_count")) == [(DP, 1, 1)]
+    assert rows(events.event_counts(tally, DP, "d", "rx_count")) == [(DP, 3, 1)]
+
+
+def test_lab_date_precedence(spark):
+    spans = one_patient(spark, ("2020-01-01", "2020-12-31"))
+    lab = make(
+        spark,
+        "lab",
+        (1, "2020-02-01", "2025-01-01", "2025-01-01"),
+        (1, None, "2020-03-01", "2025-01-01"),
+        (1, None, None, "2020-04-01"),
+        (1, None, None, None),
+        (1, "2025-01-01", "2020-03-01", "2020-04-01"),
+    )
+    tally = events.event_histogram(events.lab_days(lab), spans, ["md"])
+    assert rows(events.event_counts(tally, DP, "md", "lab_count")) == [(DP, 3, 1)]
+
+
+def test_lab_dates_as_text_and_timestamp(spark):
+    lab = spark.createDataFrame(
+        [
+            (1, "2020-03-15", None, None),
+            (2, "not-a-date", None, None),
+            (3, "bad", datetime(2020, 5, 1, 23, 30), date(2020, 6, 1)),
+            (4, None, None, date(2020, 6, 1)),
+        ],
+        "patid long, lab_dt string, result_dt timestamp, order_dt date",
+    )
+    dated = lab.selectExpr("patid", f"{first_date('lab_dt', 'result_dt', 'order_dt')} AS d")
+    assert rows(dated) == [(1, "2020-03-15"), (2, None), (3, "2020-05-01"), (4, "2020-06-01")]
+    assert dated.schema["d"].dataType.typeName() == "date"
+
+
+def test_vital_signs(spark):
+    spans = one_patient(spark, ("2020-01-01", "2020-12-31"))
+    vitals = typed(
+        spark,
+        "patid long, measure_date date, ht double, wt double, diastolic long, systolic long",
+        (1, "2020-02-01", 170.0, 70.0, 80, 120),
+        (1, "2020-02-01", 171.0, None, None, None),
+        (1, "2021-02-01", 170.0, 70.0, 80, 120),
+        (2, "2020-02-01", 170.0, 70.0, 80, 120),
+    )
+    result = events.vital_sign_counts(vitals, spans, DP, "md")
+    assert [tuple(r) for r in result.collect()] == [
+        (DP, "HGT", 2),
+        (DP, "WGT", 1),
+        (DP, "DIA", 1),
+        (DP, "SYS", 1),
+    ]

@@ -1,0 +1,138 @@
+"""Contracts, reading, writing and intermediate tables."""
+
+import os
+
+import pytest
+from helpers import SCHEMAS, make, rows, stored_scratch
+from pyspark.errors import AnalysisException
+from pyspark.sql.types import StructType
+
+from cohortspark.sources import (
+    CONTRACTS,
+    SchemaError,
+    Scratch,
+    missing_columns,
+    read_table,
+    read_tables,
+    require_schema,
+    unsuitable_columns,
+    write_table,
+)
+from cohortspark.sources import scratch as scratch_module
+
+
+@pytest.mark.parametrize("table", CONTRACTS)
+def test_contract_accepts_its_table(spark, table):
+    require_schema(table, spark.createDataFrame([], SCHEMAS[table]).schema)
+
+
+def schema(ddl):
+    return StructType.fromDDL(ddl)
+
+
+def test_both_integer_widths_are_ids():
+    require_schema("death", schema("patid int, deathdt date"))
+    require_schema("death", schema("patid long, deathdt date"))
+    assert unsuitable_columns("death", schema("patid string, deathdt date")) == [
+        "patid is string, expected integer or long"
+    ]
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "string"])
+def test_lab_dates_may_have_several_types(kind):
+    require_schema("lab", schema(f"patid long, lab_dt {kind}, result_dt {kind}, order_dt {kind}"))
+
+
+@pytest.mark.parametrize("kind", ["int", "long", "double", "decimal(5,2)"])
+def test_maternal_age_may_be_any_number(kind):
+    require_schema("mil", schema(SCHEMAS["mil"].replace("age int", f"age {kind}")))
+
+
+def test_dates_are_dates():
+    found = unsuitable_columns("dispensing", schema("patid long, rxdate double"))
+    assert found == ["rxdate is double, expected date"]
+
+
+def test_missing_columns():
+    assert missing_columns("lab", schema("patid long, result_dt date")) == ["lab_dt", "order_dt"]
+    with pytest.raises(SchemaError, match="lab_dt is missing; order_dt is missing"):
+        require_schema("lab", schema("patid long, result_dt date"))
+
+
+def test_names_match_in_any_case():
+    assert missing_columns("death", schema("PATID long, DeathDt date")) == []
+
+
+def test_unknown_table():
+    with pytest.raises(ValueError, match="vitals"):
+        missing_columns("vitals", schema("patid long"))
+
+
+def test_read_keeps_contract_columns(spark, tmp_path):
+    path = str(tmp_path / "death")
+    spark.sql("SELECT 1L AS PATID, DATE '2020-01-01' AS deathdt, 'x' AS extra").write.parquet(path)
+    frame = read_table(spark, "death", path)
+    assert frame.columns == ["patid", "deathdt"]
+    assert rows(frame) == [(1, "2020-01-01")]
+
+
+def test_read_checks_the_schema(spark, tmp_path):
+    path = str(tmp_path / "death")
+    spark.sql("SELECT 1L AS patid").write.parquet(path)
+    with pytest.raises(SchemaError):
+        read_table(spark, "death", path)
+
+
+def test_read_several(spark, tmp_path):
+    path = str(tmp_path / "death")
+    make(spark, "death", (1, "2020-01-01")).write.parquet(path)
+    assert list(read_tables(spark, ["death"], {"death": path, "mil": None})) == ["death"]
+    with pytest.raises(ValueError, match="no path for table mil"):
+        read_tables(spark, ["death", "mil"], {"death": path})
+
+
+def test_write_modes(spark, tmp_path):
+    root = str(tmp_path)
+    one, two = make(spark, "death", (1, None)), make(spark, "death", (2, None))
+    path = write_table(one, root, "t")
+    assert path == f"{root}/t"
+    with pytest.raises(AnalysisException):
+        write_table(two, root, "t")
+    write_table(two, root, "t", "ignore")
+    assert rows(spark.read.parquet(path)) == [(1, None)]
+    write_table(two, root, "t", "overwrite")
+    assert rows(spark.read.parquet(path)) == [(2, None)]
+    for wrong in ({"mode": "append"}, {"partitions": -1}):
+        with pytest.raises(ValueError):
+            write_table(two, root, "t", **wrong)
+
+
+@pytest.mark.parametrize("order_by", [[], ["id"]])
+def test_number_and_order_of_files(spark, tmp_path, order_by):
+    path = write_table(spark.range(1000).repartition(2), str(tmp_path), "t", partitions=5, order_by=order_by)
+    files = sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
+    assert len(files) == 5
+    if order_by:
+        ids = [r.id for f in files for r in spark.read.parquet(f"{path}/{f}").collect()]
+        assert ids == list(range(1000))
+
+
+def test_scratch_tables_live_in_the_shared_folder(spark):
+    with Scratch(spark) as scratch:
+        stored = scratch.save("t", spark.range(3).selectExpr("id", "id % 2 AS side"), "side")
+        assert stored.columns == ["id", "side"]
+        assert rows(stored.filter("side = 1")) == [(1, 1)]
+        assert stored_scratch(spark) == [os.path.basename(scratch.path)]
+    assert stored_scratch(spark) == []
+
+
+def test_a_cluster_has_to_name_the_shared_folder():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_module.shared_folder(Cluster)
