@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import FractionalType, IntegralType, NumericType
+from pyspark.sql.types import DataType, FractionalType, IntegralType, NumericType
 
 from cohortspark.sources.scratch import Scratch
 
@@ -99,10 +99,14 @@ def _outcome(status: str, ours: int = 0, theirs: int = 0, details: str = "") ->
     }
 
 
-def _close(left: Column, right: Column, numeric: bool, tolerance: float) -> Column:
-    if not numeric:
+def _close(left: Column, right: Column, kind: DataType, tolerance: float) -> Column:
+    """Cells are equal (null to null, NaN to NaN) or numbers within the tolerance."""
+    if not isinstance(kind, NumericType):
         return left.eqNullSafe(right)
-    near = F.abs(left.cast("double") - right.cast("double")) <= tolerance
+    if isinstance(kind, IntegralType):
+        # Long differences could overflow, and doubles would round large numbers.
+        left, right = left.cast("decimal(20,0)"), right.cast("decimal(20,0)")
+    near = F.abs(left - right) <= tolerance
     return left.eqNullSafe(right) | F.coalesce(near, F.lit(False))
 
 
@@ -134,12 +138,8 @@ def _within(
     )
     agree = F.lit(True)
     for i, f in enumerate(fields):
-        agree = agree & _close(
-            F.col(f"ours.c{i}"),
-            F.col(f"theirs.c{i}"),
-            isinstance(f.dataType, NumericType),
-            tolerance,
-        )
+        ours, theirs = F.col(f"ours.c{i}"), F.col(f"theirs.c{i}")
+        agree = agree & _close(ours, theirs, f.dataType, tolerance)
     return aligned.filter(~agree).isEmpty()
 
 

@@ -59,6 +59,9 @@ def test_not_a_number_equals_itself_only(spark):
 def test_decimals_have_tolerance_and_a_scale(spark):
     ours, theirs = [("a", Decimal("0.5"))], [("a", Decimal("0.500001"))]
     assert status(spark, ours, theirs, "n string, r decimal(9,6)", 0.001) == "numeric_tolerance_match"
+    assert status(spark, ours, theirs, "n string, r decimal(9,6)", 0.000001) == (
+        "numeric_tolerance_match"
+    )
     narrow = spark.createDataFrame(ours, "n string, r decimal(8,6)")
     wide = spark.createDataFrame(ours, "n string, r decimal(9,6)")
     outcome = compare_tables(narrow, wide)
@@ -66,6 +69,14 @@ def test_decimals_have_tolerance_and_a_scale(spark):
     assert outcome["details"] == "r is decimal(8,6), reference has decimal(9,6)"
 
 
+def test_large_numbers_keep_their_last_digit(spark):
+    ours, theirs = [("a", 2**60), ("b", 2**63 - 1)], [("a", 2**60 + 3), ("b", 2**63 - 1)]
+    assert status(spark, ours, theirs, tolerance=2.0) == "value_difference"
+    assert status(spark, ours, theirs, tolerance=3.0) == "numeric_tolerance_match"
+    ours, theirs = [("a", 2**63 - 1)], [("a", -(2**63))]
+    assert status(spark, ours, theirs, tolerance=3.0) == "value_difference"
+
+
 def test_schema_differences(spark):
     ours = spark.createDataFrame([("a", 1)], "dp string, count long")
     theirs = spark.createDataFrame([("a", 1)], "dp string, total long")

@@ -197,6 +197,16 @@ def test_events_of_several_cohorts_in_one_pass(spark):
     assert rows(events.event_counts(tally, DP, "d", "rx_count")) == [(DP, 3, 1)]
 
 
+def test_patient_ids_of_either_width_meet(spark):
+    narrow = enrollment(spark, (1, "2020-01-01", "2020-01-31")).selectExpr(
+        "CAST(patid AS INT) AS patid", "enr_start", "enr_end", "drugcov", "medcov"
+    )
+    spans = cohort_spans(narrow, ["md"])
+    assert event_rows(spark, spans, (1, "2020-01-05"), (2**40, "2020-01-05")) == [(1, "md", 1)]
+    death = make(spark, "death", (1, "2022-01-01"))
+    assert rows(people.death_counts(spans, death)) == [("md", 1)]
+
+
 def test_lab_date_precedence(spark):
     spans = one_patient(spark, ("2020-01-01", "2020-12-31"))
     lab = make(
