@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from cohortspark.functions import first_date  # noqa: E402
+from cohortspark.jobs import side_by_side  # noqa: E402
 from cohortspark.operators import (  # noqa: E402
     clean_intervals,
     cohort_spans,
@@ -28,8 +30,8 @@ from cohortspark.operators import (  # noqa: E402
 )
 from cohortspark.operators.compare import outcome_frame  # noqa: E402
 from cohortspark.plans import coverage, events, linkage, people  # noqa: E402
-from cohortspark.plans.snapshot import RESULTS, snapshot  # noqa: E402
-from cohortspark.sources import Scratch  # noqa: E402
+from cohortspark.plans.snapshot import RESULTS, write_snapshot  # noqa: E402
+from cohortspark.sources.scratch import shared_folder  # noqa: E402
 from testtables import DP, DP_MAX_DATE, duckdb_with, table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,10 +126,11 @@ def _compare_status(spark: SparkSession, d: str) -> DataFrame:
         "repeated": (prices.union(prices.filter("o_orderkey % 100 = 0")), 0.01),
         "retyped": (prices.withColumn("o_totalprice", F.col("o_totalprice").cast("float")), 0.01),
     }
-    outcomes = [
-        {"name": name, **compare_tables(prices, other, tolerance)}
+    comparisons = {
+        name: partial(compare_tables, prices, other, tolerance)
         for name, (other, tolerance) in others.items()
-    ]
+    }
+    outcomes = side_by_side(spark, 4, comparisons)
     return outcome_frame(spark, outcomes).drop("details")
 
 
@@ -152,11 +155,12 @@ def _long(name: str, rows: DataFrame) -> DataFrame:
 
 
 def _snapshot(spark: SparkSession, d: str) -> DataFrame:
-    """The whole job with its checks and shared tables; all results stacked."""
+    """The whole job: check, build and write all results, then read them back, stacked."""
     tables = {name: table(spark, d, name) for name in RESULTS}
-    # The caller runs the plan later, so the stored tables have to stay.
-    results = snapshot(tables, DP, Scratch(spark), DP_MAX_DATE)
-    return reduce(DataFrame.unionByName, [_long(n, rows) for n, rows in results.items()])
+    root = f"{shared_folder(spark)}/results-{uuid.uuid4().hex}"
+    paths = write_snapshot(tables, root, DP, DP_MAX_DATE)
+    results = [_long(name, spark.read.parquet(path)) for name, path in paths.items()]
+    return reduce(DataFrame.unionByName, results)
 
 
 def queries() -> dict[str, Query]:

@@ -20,15 +20,12 @@ def delivery_conflicts(grain: DataFrame) -> DataFrame:
     tells which attributes disagree.
     """
     disagreeing = [
-        f"coalesce(min({a}) <> max({a}), false) OR count({a}) NOT IN (0, count(*))"
+        f"coalesce(min({a}) <> max({a}), false) OR count({a}) NOT IN (0, count(*)) AS {a}_differs"
         for a in DELIVERY_ATTRIBUTES
     ]
     return (
         grain.groupBy(*DELIVERY_KEY)
-        .agg(
-            F.expr("count(*) AS versions"),
-            *[F.expr(f"{test} AS {a}_differs") for a, test in zip(DELIVERY_ATTRIBUTES, disagreeing)],
-        )
+        .agg(F.expr("count(*) AS versions"), *map(F.expr, disagreeing))
         .filter("versions > 1")
         .drop("versions")
     )

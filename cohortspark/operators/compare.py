@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, FractionalType, IntegralType, NumericType
 
+from cohortspark.jobs import side_by_side
 from cohortspark.sources.scratch import Scratch
 
 # The outcomes of a comparison.
@@ -201,26 +203,27 @@ def compare_snapshots(
     reference_root: str,
     names: Iterable[str],
     tolerance: float = 0.0,
+    threads: int = 4,
 ) -> DataFrame:
     """Compare the named tables below two folders: one row per name with its status."""
-    outcomes = []
-    for name in names:
+
+    def outcome(name: str) -> dict[str, object]:
         actual = _stored(spark, f"{actual_root}/{name}")
         reference = _stored(spark, f"{reference_root}/{name}")
         if actual is None:
-            outcome = _outcome(NO_ACTUAL, details=f"nothing at {actual_root}/{name}")
-        elif reference is None:
-            outcome = _outcome(NO_REFERENCE, details=f"nothing at {reference_root}/{name}")
-        else:
-            outcome = compare_tables(actual, reference, tolerance)
-        outcomes.append({"name": name, **outcome})
+            return _outcome(NO_ACTUAL, details=f"nothing at {actual_root}/{name}")
+        if reference is None:
+            return _outcome(NO_REFERENCE, details=f"nothing at {reference_root}/{name}")
+        return compare_tables(actual, reference, tolerance)
+
+    outcomes = side_by_side(spark, threads, {name: partial(outcome, name) for name in names})
     return outcome_frame(spark, outcomes)
 
 
-def outcome_frame(spark: SparkSession, outcomes: list[dict[str, object]]) -> DataFrame:
-    """Named outcomes of ``compare_tables`` as a table of one row each."""
+def outcome_frame(spark: SparkSession, outcomes: Mapping[str, dict[str, object]]) -> DataFrame:
+    """Outcomes of ``compare_tables`` by name as a table of one row each."""
     return spark.createDataFrame(
-        outcomes,
+        [{"name": name, **outcome} for name, outcome in outcomes.items()],
         "name string, status string, only_actual long, only_reference long, details string",
     )
 

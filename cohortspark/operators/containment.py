@@ -19,7 +19,7 @@ def daily_counts(
     """
     measures = measures or {"n": "count(*)"}
     return (
-        events.selectExpr("*", f"{day} AS day")
+        events.withColumn("day", F.expr(day))
         .filter("patid IS NOT NULL AND day IS NOT NULL")
         .groupBy("patid", "day")
         .agg(*[F.expr(f"{total} AS {name}") for name, total in measures.items()])

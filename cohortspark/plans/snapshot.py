@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date
-from typing import TypeVar
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from cohortspark.jobs import side_by_side
 from cohortspark.operators.checks import delivery_conflicts, duplicate_keys
 from cohortspark.operators.deliveries import delivery_grain
 from cohortspark.operators.intervals import cohort_spans
@@ -18,8 +16,6 @@ from cohortspark.sources.contracts import CONTRACTS
 from cohortspark.sources.scratch import Scratch
 from cohortspark.sources.tables import write_table
 
-T = TypeVar("T")
-
 DP_MAX_DATE = date(2023, 6, 30)
 
 # Domain -> its result tables, and the cohorts a domain needs spans of.
@@ -90,17 +86,6 @@ def check_deliveries(grain: DataFrame) -> None:
         raise DataError(f"{conflicting} deliveries have conflicting attributes")
 
 
-def _side_by_side(
-    spark: SparkSession, threads: int, jobs: Mapping[str, Callable[[], T]]
-) -> dict[str, T]:
-    """Run independent jobs from several threads, which fills the short last stages of each."""
-    with ThreadPoolExecutor(threads) as pool:
-        running = {
-            name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()
-        }
-        return {name: job.result() for name, job in running.items()}
-
-
 def snapshot(
     tables: Mapping[str, DataFrame],
     dp: str,
@@ -138,7 +123,7 @@ def snapshot(
         first["grain"] = store_grain
     if "demographic" in selected:
         first["patients"] = lambda: check_patients(tables["demographic"])
-    stored = _side_by_side(scratch.spark, threads, first)
+    stored = side_by_side(scratch.spark, threads, first)
     spans = stored.get("spans")
 
     def store_dispensings() -> DataFrame:
@@ -159,7 +144,7 @@ def snapshot(
         "demographic": store_patients,
         "death": store_deaths,
     }
-    tallies = _side_by_side(
+    tallies = side_by_side(
         scratch.spark, threads, {d: store for d, store in second.items() if d in selected}
     )
 
@@ -219,7 +204,7 @@ def write_snapshot(
             return lambda: write_table(rows, root, name, mode, partitions, keys)
 
         # The results at the end still have to read their events, so they go first.
-        written = _side_by_side(spark, threads, {name: writer(name) for name in reversed(results)})
+        written = side_by_side(spark, threads, {name: writer(name) for name in reversed(results)})
     return {name: written[name] for name in results}
 
 

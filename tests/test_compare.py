@@ -58,12 +58,11 @@ def test_not_a_number_equals_itself_only(spark):
 
 def test_decimals_have_tolerance_and_a_scale(spark):
     ours, theirs = [("a", Decimal("0.5"))], [("a", Decimal("0.500001"))]
-    assert status(spark, ours, theirs, "n string, r decimal(9,6)", 0.001) == "numeric_tolerance_match"
-    assert status(spark, ours, theirs, "n string, r decimal(9,6)", 0.000001) == (
-        "numeric_tolerance_match"
-    )
+    schema = "n string, r decimal(9,6)"
+    assert status(spark, ours, theirs, schema, 0.000001) == "numeric_tolerance_match"
+    assert status(spark, ours, theirs, schema, 0.0000005) == "value_difference"
     narrow = spark.createDataFrame(ours, "n string, r decimal(8,6)")
-    wide = spark.createDataFrame(ours, "n string, r decimal(9,6)")
+    wide = spark.createDataFrame(ours, schema)
     outcome = compare_tables(narrow, wide)
     assert outcome["status"] == "schema_difference"
     assert outcome["details"] == "r is decimal(8,6), reference has decimal(9,6)"

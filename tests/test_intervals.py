@@ -71,7 +71,12 @@ def test_duplicates_and_broken_intervals_are_dropped(spark):
 
 
 def test_order_of_rows_does_not_matter(spark):
-    intervals = [(p, f"202{y}-0{m}-01", f"202{y}-0{m}-20") for p in (1, 2) for y in range(3) for m in (1, 2, 6)]
+    intervals = [
+        (patid, f"202{year}-0{month}-01", f"202{year}-0{month}-20")
+        for patid in (1, 2)
+        for year in range(3)
+        for month in (1, 2, 6)
+    ]
     shuffled = random.Random(7).sample(intervals, len(intervals))
     assert bridged(spark, *intervals) == bridged(spark, *shuffled)
 
@@ -176,9 +181,10 @@ def test_spans_of_random_intervals(spark, patients):
         )
     }
     spans = cohort_spans(frame)
-    found = [tuple(r) for r in spans.select("cohort", "patid", "span_start", "span_end").collect()]
+    columns = ["cohort", "patid", "span_start", "span_end"]
+    found = [tuple(r) for r in spans.select(columns).collect()]
     assert len(found) == len(set(found))
     assert set(found) == expected
     # Bridging spans changes nothing.
     again = bridge_intervals(spans, ["cohort", "patid"], "span_start", "span_end")
-    assert {tuple(r) for r in again.select("cohort", "patid", "span_start", "span_end").collect()} == expected
+    assert {tuple(r) for r in again.select(columns).collect()} == expected

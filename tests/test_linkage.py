@@ -129,7 +129,6 @@ def test_conflict_of_a_null_encounter(spark):
 
 def test_duplicate_patients(spark):
     person = ("1980-01-01", "F", "1", "N")
-    frame = make(
-        spark, "demographic", (1, *person), (2, *person), (2, *person), (None, *person), (None, *person)
-    )
+    patids = [1, 2, 2, None, None]
+    frame = make(spark, "demographic", *[(patid, *person) for patid in patids])
     assert rows(duplicate_keys(frame, "patid")) == [(None, 2), (2, 2)]

@@ -109,7 +109,8 @@ def test_write_modes(spark, tmp_path):
 
 @pytest.mark.parametrize("order_by", [[], ["id"]])
 def test_number_and_order_of_files(spark, tmp_path, order_by):
-    path = write_table(spark.range(1000).repartition(2), str(tmp_path), "t", partitions=5, order_by=order_by)
+    numbers = spark.range(1000).repartition(2)
+    path = write_table(numbers, str(tmp_path), "t", partitions=5, order_by=order_by)
     files = sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
     assert len(files) == 5
     if order_by:
