@@ -53,10 +53,10 @@ def _from_spans(result: Callable[..., DataFrame], *args: object) -> Query:
     return lambda spark, d: result(_spans(spark, d), DP, "md", *args)
 
 
-def _from_people(result: Callable[..., DataFrame], *categories: str) -> Query:
+def _from_people(result: Callable[..., DataFrame], *variables: str) -> Query:
     def query(spark: SparkSession, d: str) -> DataFrame:
         demographic = table(spark, d, "demographic")
-        tally = people.patient_tally(_spans(spark, d), demographic, "md", DP_MAX_DATE, categories)
+        tally = people.patient_tally(_spans(spark, d), demographic, "md", DP_MAX_DATE, variables)
         return result(tally, DP)
 
     return query
@@ -171,8 +171,8 @@ def queries() -> dict[str, Query]:
         "enr_pat_covyears_md": _from_spans(coverage.patients_by_year),
         "enr_pat_enrcount_md": _from_spans(coverage.span_counts),
         "enr_active_patid_ct_md": _from_spans(coverage.active_patients, DP_MAX_DATE),
-        "dem_pat_lstagecount_md": _from_people(people.age_counts),
-        "dem_pat_actagect_md": _from_people(people.active_age_counts),
+        "dem_pat_lstagecount_md": _from_people(people.age_counts, "age_category"),
+        "dem_pat_actagect_md": _from_people(people.active_age_counts, "age_category"),
         "dem_catvars_md": _from_people(people.category_counts, *people.CATEGORIES),
         "dis_pat_rx_md": _from_events("dispensing", events.dispensing_days, "md", "rx_count"),
         "dis_pat_rx_d": _from_events("dispensing", events.dispensing_days, "d", "rx_count"),

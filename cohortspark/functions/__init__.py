@@ -8,7 +8,6 @@ from cohortspark.functions.bands import (
     DEMOGRAPHIC_EDGES,
     MATERNAL_EDGES,
     age_band,
-    band_label,
     band_start,
 )
 from cohortspark.functions.cohorts import COHORTS, cohort_rows, in_cohort
@@ -19,7 +18,6 @@ __all__ = [
     "DEMOGRAPHIC_EDGES",
     "MATERNAL_EDGES",
     "age_band",
-    "band_label",
     "band_start",
     "cohort_rows",
     "completed_years",

@@ -4,38 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The youngest age of every band; the last band has no upper end.
 DEMOGRAPHIC_EDGES = (0, 2, 5, 10, 15, 20, 25, 30, 35, 40, 45, 50, 55, 60, 65, 70, 75, 80)
 MATERNAL_EDGES = (0, 2, 5, 10, 15, 20, 25, 30, 35, 40, 45, 50, 55)
 
 
-def band_start(age: str, edges: Sequence[int]) -> str:
-    """SQL for the youngest age of the band of ``age``: -1 if negative, null if null.
+def _case(age: str, edges: Sequence[int], absent: str, negative: str, bands: list[str]) -> str:
+    """SQL that picks an outcome by the band of ``age``.
 
     A band runs up to the next edge, so a fractional age belongs to the band of its whole
     years (1.5 is in ``0-1 yrs``).
     """
-    steps = "".join(f" WHEN {age} < {high} THEN {low}" for low, high in zip(edges, edges[1:]))
+    steps = "".join(f" WHEN {age} < {edge} THEN {band}" for edge, band in zip(edges[1:], bands))
     return (
-        f"CASE WHEN {age} IS NULL THEN NULL WHEN {age} < {edges[0]} THEN -1{steps}"
-        f" ELSE {edges[-1]} END"
+        f"CASE WHEN {age} IS NULL THEN {absent} WHEN {age} < {edges[0]} THEN {negative}"
+        f"{steps} ELSE {bands[-1]} END"
     )
 
 
-def band_label(start: str, edges: Sequence[int]) -> str:
-    """SQL for the label of a band given by ``band_start``."""
-    labels = "".join(
-        f" WHEN {low} THEN '{low}-{high - 1} yrs'" for low, high in zip(edges, edges[1:])
-    )
-    return (
-        f"CASE WHEN {start} IS NULL THEN 'MISSING' ELSE CASE {start} WHEN -1 THEN 'NEGATIVE'"
-        f"{labels} ELSE '{edges[-1]}+ yrs' END END"
-    )
+def age_band(age: str, edges: Sequence[int]) -> str:
+    """SQL for the label of the band of an age column."""
+    labels = [f"'{low}-{high - 1} yrs'" for low, high in zip(edges, edges[1:])]
+    return _case(age, edges, "'MISSING'", "'NEGATIVE'", [*labels, f"'{edges[-1]}+ yrs'"])
+
 
+def band_start(age: str, edges: Sequence[int]) -> str:
+    """SQL for the youngest age of the band: as good a grouping key as the label, but a number.
 
-def age_band(age: str, edges: Sequence[int]) -> Column:
-    """Label of the band of an age column."""
-    return F.expr(band_label(f"({band_start(age, edges)})", edges))
+    Null if null, -1 if negative; ``age_band`` of it is the label.
+    """
+    return _case(age, edges, "NULL", "-1", [str(edge) for edge in edges])

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.functions import MATERNAL_EDGES, band_label, band_start
+from cohortspark.functions import MATERNAL_EDGES, age_band, band_start
 
 # What deliveries are broken down by, and the SQL for the label of a value.
 DIMENSIONS = {
-    "age_category": band_label("age_category", MATERNAL_EDGES),
+    "age_category": age_band("age_category", MATERNAL_EDGES),
     "enctype": "enctype",
     "year": "CAST(year AS STRING)",
     "birth_type": "CAST(birth_type AS STRING)",

@@ -32,7 +32,7 @@ def age_categories(
     )
     return aged.select(
         "patid",
-        age_band("age", DEMOGRAPHIC_EDGES).alias("age_category"),
+        F.expr(age_band("age", DEMOGRAPHIC_EDGES)).alias("age_category"),
         "span_start",
         "span_end",
         "birth_date",
@@ -45,17 +45,18 @@ def patient_tally(
     demographic: DataFrame,
     cohort: str,
     dp_max_date: date,
-    categories: Sequence[str] = CATEGORIES,
+    variables: Sequence[str] = ("age_category", *CATEGORIES),
 ) -> DataFrame:
     """Patients by ``variable, value`` and by ``active``: ends the latest span late enough?
 
-    The variables are ``age_category`` and the categories. One join serves all of them;
-    ahead of the only further shuffle the rows are down to one per value.
+    One join serves all variables; ahead of the only further shuffle the rows are down to
+    one per value.
     """
-    aged = age_categories(spans, demographic, cohort, categories).withColumn(
+    categories = [variable for variable in variables if variable in CATEGORIES]
+    people = age_categories(spans, demographic, cohort, categories).withColumn(
         "active", F.col("span_end") >= F.lit(dp_max_date)
     )
-    values = aged.unpivot(["active"], ["age_category", *categories], "variable", "value")
+    values = people.unpivot(["active"], list(variables), "variable", "value")
     return histogram(values, "variable", "value", "active")
 
 

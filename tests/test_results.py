@@ -6,7 +6,13 @@ import pytest
 from helpers import enrollment, make, rows, typed
 from pyspark.sql import functions as F
 
-from cohortspark.functions import DEMOGRAPHIC_EDGES, MATERNAL_EDGES, age_band, first_date
+from cohortspark.functions import (
+    DEMOGRAPHIC_EDGES,
+    MATERNAL_EDGES,
+    age_band,
+    band_start,
+    first_date,
+)
 from cohortspark.operators import cohort_spans, totals_in_spans
 from cohortspark.plans import coverage, events, people
 
@@ -109,14 +115,22 @@ def test_age_at_the_latest_span(spark, start, born, band):
 def test_bands_have_no_holes(spark):
     ages = spark.range(-2, 120).withColumn("age", F.col("id").cast("double") + 0.5)
     ages = ages.orderBy("id")
-    labels = [r[0] for r in ages.select(age_band("age", MATERNAL_EDGES)).collect()]
+    labels = [r[0] for r in ages.selectExpr(age_band("age", MATERNAL_EDGES)).collect()]
     assert labels[:6] == ["NEGATIVE", "NEGATIVE", "0-1 yrs", "0-1 yrs", "2-4 yrs", "2-4 yrs"]
     assert labels[2 + 54] == "50-54 yrs" and labels[2 + 55] == "55+ yrs" and labels[-1] == "55+ yrs"
-    demographic = [r[0] for r in ages.select(age_band("id", DEMOGRAPHIC_EDGES)).collect()]
+    demographic = [r[0] for r in ages.selectExpr(age_band("id", DEMOGRAPHIC_EDGES)).collect()]
     assert demographic[2 + 79] == "75-79 yrs" and demographic[2 + 80] == "80+ yrs"
     assert len(set(demographic)) == 19
-    missing = spark.sql("SELECT CAST(NULL AS INT) AS age").select(age_band("age", MATERNAL_EDGES))
-    assert missing.first()[0] == "MISSING"
+    missing = spark.sql("SELECT CAST(NULL AS INT) AS age")
+    assert missing.selectExpr(age_band("age", MATERNAL_EDGES)).first()[0] == "MISSING"
+
+
+@pytest.mark.parametrize("edges", [DEMOGRAPHIC_EDGES, MATERNAL_EDGES])
+def test_the_start_of_a_band_has_its_label(spark, edges):
+    ages = spark.range(-3, 100).selectExpr("IF(id = 99, NULL, id) AS age")
+    starts = ages.selectExpr("age", f"{band_start('age', edges)} AS start")
+    labels = starts.selectExpr(f"{age_band('age', edges)} = {age_band('start', edges)}")
+    assert {r[0] for r in labels.collect()} == {True}
 
 
 def test_demographic_results(spark):
