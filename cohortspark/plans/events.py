@@ -30,13 +30,17 @@ def lab_days(lab: DataFrame) -> DataFrame:
     return daily_counts(lab, first_date("lab_dt", "result_dt", "order_dt"))
 
 
-def event_histogram(daily: DataFrame, spans: DataFrame, cohorts: Sequence[str]) -> DataFrame:
+def event_histogram(
+    daily: DataFrame, spans: DataFrame, cohorts: Sequence[str], broadcast_rows: int = 0
+) -> DataFrame:
     """How many patients have how many events inside their spans, per cohort.
 
     Returns ``cohort, n, count``. One pass over the events serves all cohorts; patients
-    without an event inside a span are not counted.
+    without an event inside a span are not counted. ``broadcast_rows`` is passed on to
+    ``totals_in_spans``.
     """
-    return histogram(totals_in_spans(daily, spans, cohorts), "cohort", "n")
+    totals = totals_in_spans(daily, spans, cohorts, broadcast_rows=broadcast_rows)
+    return histogram(totals, "cohort", "n")
 
 
 def event_counts(counts: DataFrame, dp: str, cohort: str, column: str) -> DataFrame:

@@ -93,12 +93,14 @@ def snapshot(
     dp_max_date: date = DP_MAX_DATE,
     domains: Iterable[str] | None = None,
     threads: int = 4,
+    broadcast_rows: int = 0,
 ) -> dict[str, DataFrame]:
     """Check the inputs and build the result tables of the domains.
 
     What several results share is computed once and stored in ``scratch``: the spans of all
     cohorts, the delivery grain, and the tallies of patients, dispensings and deaths. The
     returned plans read those tables, so they have to be used before ``scratch`` is dropped.
+    Spans of no more than ``broadcast_rows`` rows are broadcast to the events.
     """
     if not dp.strip():
         raise ValueError("dp must not be empty")
@@ -126,9 +128,12 @@ def snapshot(
     stored = side_by_side(scratch.spark, threads, first)
     spans = stored.get("spans")
 
+    def counted(days: DataFrame, *cohorts: str) -> DataFrame:
+        return events.event_histogram(days, spans, cohorts, broadcast_rows)
+
     def store_dispensings() -> DataFrame:
         days = events.dispensing_days(tables["dispensing"])
-        return scratch.save("dispensings", events.event_histogram(days, spans, ["md", "d"]))
+        return scratch.save("dispensings", counted(days, "md", "d"))
 
     def store_deaths() -> DataFrame:
         members = spans.filter(spans.cohort.isin("md", "m"))
@@ -165,10 +170,10 @@ def snapshot(
         results["dis_pat_rx_md"] = events.event_counts(tally, dp, "md", "rx_count")
         results["dis_pat_rx_d"] = events.event_counts(tally, dp, "d", "rx_count")
     if "encounter" in selected:
-        tally = events.event_histogram(events.encounter_days(tables["encounter"]), spans, ["md"])
+        tally = counted(events.encounter_days(tables["encounter"]), "md")
         results["enc_pat_enccount_md"] = events.event_counts(tally, dp, "md", "enc_count")
     if "lab" in selected:
-        tally = events.event_histogram(events.lab_days(tables["lab"]), spans, ["md"])
+        tally = counted(events.lab_days(tables["lab"]), "md")
         results["lab_pat_testct_md"] = events.event_counts(tally, dp, "md", "lab_count")
     if "death" in selected:
         tally = tallies["death"]
@@ -188,6 +193,7 @@ def write_snapshot(
     mode: str = "errorifexists",
     partitions: int = 0,
     threads: int = 4,
+    broadcast_rows: int = 0,
 ) -> dict[str, str]:
     """Write every result table to ``<root>/<name>/`` and return the paths by name.
 
@@ -196,7 +202,9 @@ def write_snapshot(
     """
     spark = next(iter(tables.values())).sparkSession
     with Scratch(spark) as scratch:
-        results = snapshot(tables, dp, scratch, dp_max_date, domains, threads)
+        results = snapshot(
+            tables, dp, scratch, dp_max_date, domains, threads, broadcast_rows
+        )
 
         def writer(name: str) -> Callable[[], str]:
             rows = results[name]

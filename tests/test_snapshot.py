@@ -128,6 +128,21 @@ def test_all_results(spark, tables, tmp_path):
     assert [r["total_length"] for r in lengths] == [365, 456]
 
 
+def test_small_spans_may_be_broadcast(spark, tables, tmp_path):
+    paths = write_snapshot(tables, str(tmp_path), DP, MAX, ["dispensing"], broadcast_rows=1000)
+    for name in RESULTS["dispensing"]:
+        assert rows(spark.read.parquet(paths[name])) == EXPECTED[name]
+
+
+def test_empty_tables_give_empty_results(spark, tmp_path):
+    nothing = {name: make(spark, name) for name in RESULTS}
+    for name, path in write_snapshot(nothing, str(tmp_path), DP, MAX).items():
+        written = spark.read.parquet(path)
+        assert written.count() == 0
+        types = [f"{f.name} {f.dataType.simpleString()}" for f in written.schema]
+        assert ", ".join(types) == TYPES[name]
+
+
 def test_linkage_alone_needs_no_other_table(tables, tmp_path):
     paths = write_snapshot({"mil": tables["mil"]}, str(tmp_path), DP, MAX, ["mil"])
     assert list(paths) == ["mil_linkage_rates"]
