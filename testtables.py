@@ -7,6 +7,7 @@ only difference, which is date arithmetic and the name of the text type.
 from __future__ import annotations
 
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -117,10 +118,16 @@ SOURCES = {
 }
 
 
+@lru_cache(maxsize=64)
+def _scan(application: str, spark: SparkSession, path: str) -> DataFrame:
+    # Reading a Parquet footer for the schema is a Spark job: once per file will do.
+    return spark.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived table as a lazy plan over the Parquet files of ``sf_dir``."""
     if name not in SOURCES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return _scan(spark.sparkContext.applicationId, spark, f"{sf_dir}/{name}.parquet")
     sources = {source: table(spark, sf_dir, source) for source in SOURCES[name]}
     text = SPARK_SQL[name]
     # Bind the sources by name without registering views in the caller's session.
