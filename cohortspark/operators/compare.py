@@ -118,9 +118,7 @@ def _within(
     """Do two tables of the same length agree at every position of their sorted order?"""
     fields = sorted(
         actual.schema,
-        key=lambda f: 2
-        if isinstance(f.dataType, FractionalType)
-        else int(isinstance(f.dataType, IntegralType)),
+        key=lambda f: (isinstance(f.dataType, FractionalType), isinstance(f.dataType, NumericType)),
     )
     row = F.struct(*[F.col(f.name).alias(f"c{i}") for i, f in enumerate(fields)])
     sides = [

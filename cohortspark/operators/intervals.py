@@ -41,7 +41,10 @@ def clean_intervals(
     start: str = "enr_start",
     end: str = "enr_end",
 ) -> DataFrame:
-    """Distinct intervals without nulls and without an end before the start."""
+    """Distinct intervals without nulls and without an end before the start.
+
+    Here and below, columns are given by plain names.
+    """
     return intervals.filter(_valid(keys, start, end)).select(*keys, start, end).distinct()
 
 

@@ -12,7 +12,6 @@ from cohortspark.operators.checks import delivery_conflicts, duplicate_keys
 from cohortspark.operators.deliveries import delivery_grain
 from cohortspark.operators.intervals import cohort_spans
 from cohortspark.plans import coverage, events, linkage, people
-from cohortspark.sources.contracts import CONTRACTS
 from cohortspark.sources.scratch import Scratch
 from cohortspark.sources.tables import write_table
 
