@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -91,15 +92,17 @@ def snapshot(
     scratch: Scratch,
     dp_max_date: date = DP_MAX_DATE,
     domains: Iterable[str] | None = None,
-    threads: int = 4,
+    threads: int = 8,
     broadcast_rows: int = 0,
 ) -> dict[str, DataFrame]:
     """Check the inputs and build the result tables of the domains.
 
-    What several results share is computed once and stored in ``scratch``: the spans of all
-    cohorts, the delivery grain, and the tallies of patients, dispensings and deaths. The
-    returned plans read those tables, so they have to be used before ``scratch`` is dropped.
-    Spans of no more than ``broadcast_rows`` rows are broadcast to the events.
+    Runs in two rounds of jobs. The first checks the inputs and stores the spans of all
+    cohorts and the delivery grain in ``scratch``. The second reads every other table and
+    stores one small tally per domain, which serves all results of that domain. The
+    returned plans only read what is stored, so they are cheap to use more than once, but
+    have to be used before ``scratch`` is dropped. Spans of no more than ``broadcast_rows``
+    rows are broadcast to the events.
     """
     if not dp.strip():
         raise ValueError("dp must not be empty")
@@ -130,27 +133,27 @@ def snapshot(
     def counted(days: DataFrame, *cohorts: str) -> DataFrame:
         return events.event_histogram(days, spans, cohorts, broadcast_rows)
 
-    def store_dispensings() -> DataFrame:
-        days = events.dispensing_days(tables["dispensing"])
-        return scratch.save("dispensings", counted(days, "md", "d"))
-
-    def store_deaths() -> DataFrame:
-        members = spans.filter(spans.cohort.isin("md", "m"))
-        return scratch.save("deaths", people.death_counts(members, tables["death"]))
-
-    def store_patients() -> DataFrame:
-        return scratch.save(
-            "patients", people.patient_tally(spans, tables["demographic"], "md", dp_max_date)
-        )
-
-    second = {
-        "dispensing": store_dispensings,
-        "demographic": store_patients,
-        "death": store_deaths,
-    }
-    tallies = side_by_side(
-        scratch.spark, threads, {d: store for d, store in second.items() if d in selected}
-    )
+    def tally_of(domain: str) -> DataFrame:
+        rows = tables[domain]
+        match domain:
+            case "demographic":
+                return people.patient_tally(spans, rows, "md", dp_max_date)
+            case "dispensing":
+                return counted(events.dispensing_days(rows), "md", "d")
+            case "encounter":
+                return counted(events.encounter_days(rows), "md")
+            case "lab":
+                return counted(events.lab_days(rows), "md")
+            case "death":
+                return people.death_counts(spans.filter("cohort IN ('md', 'm')"), rows)
+            case "mil":
+                return linkage.linkage_rates(stored["grain"], rows, dp)
+
+    def store_tally(domain: str) -> DataFrame:
+        return scratch.save(f"{domain}_tally", tally_of(domain))
+
+    second = {d: partial(store_tally, d) for d in selected if d != "enrollment"}
+    tallies = side_by_side(scratch.spark, threads, second)
 
     results: dict[str, DataFrame] = {}
     if "enrollment" in selected:
@@ -169,17 +172,17 @@ def snapshot(
         results["dis_pat_rx_md"] = events.event_counts(tally, dp, "md", "rx_count")
         results["dis_pat_rx_d"] = events.event_counts(tally, dp, "d", "rx_count")
     if "encounter" in selected:
-        tally = counted(events.encounter_days(tables["encounter"]), "md")
+        tally = tallies["encounter"]
         results["enc_pat_enccount_md"] = events.event_counts(tally, dp, "md", "enc_count")
     if "lab" in selected:
-        tally = counted(events.lab_days(tables["lab"]), "md")
+        tally = tallies["lab"]
         results["lab_pat_testct_md"] = events.event_counts(tally, dp, "md", "lab_count")
     if "death" in selected:
         tally = tallies["death"]
         results["dth_dthct_md"] = people.deaths(tally, dp, "md")
         results["dth_dthct_m"] = people.deaths(tally, dp, "m")
     if "mil" in selected:
-        results["mil_linkage_rates"] = linkage.linkage_rates(stored["grain"], tables["mil"], dp)
+        results["mil_linkage_rates"] = tallies["mil"]
     return results
 
 
@@ -191,7 +194,7 @@ def write_snapshot(
     domains: Iterable[str] | None = None,
     mode: str = "errorifexists",
     partitions: int = 0,
-    threads: int = 4,
+    threads: int = 8,
     broadcast_rows: int = 0,
 ) -> dict[str, str]:
     """Write every result table to ``<root>/<name>/`` and return the paths by name.
@@ -210,9 +213,7 @@ def write_snapshot(
             keys = [column for column in rows.columns if column in SORT_COLUMNS]
             return lambda: write_table(rows, root, name, mode, partitions, keys)
 
-        # The results at the end still have to read their events, so they go first.
-        written = side_by_side(spark, threads, {name: writer(name) for name in reversed(results)})
-    return {name: written[name] for name in results}
+        return side_by_side(spark, threads, {name: writer(name) for name in results})
 
 
 # The columns results are ordered by, those of each in its column order.
