@@ -34,6 +34,18 @@ from cohortspark.plans.snapshot import RESULTS, write_snapshot  # noqa: E402
 from cohortspark.sources.scratch import shared_folder  # noqa: E402
 from testtables import DP, DP_MAX_DATE, duckdb_with, table  # noqa: E402
 
+try:  # An optional part: the library works without that folder.
+    from cohortspark.llm import registry as optional  # noqa: E402
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("cohortspark.llm", "corpus_pipeline")):
+        raise
+    optional = None
+except ImportError as missing:
+    # The folder may be there without its modules, as an empty namespace.
+    if missing.name != "cohortspark.llm":
+        raise
+    optional = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -206,6 +218,7 @@ def queries() -> dict[str, Query]:
         ),
         "differing_rows": _differing_rows,
         "compare_status": _compare_status,
+        **(optional.queries() if optional else {}),
     }
 
 
@@ -545,4 +558,5 @@ def oracle_sql() -> dict[str, str]:
         "delivery_conflicts": duckdb_with("mil_dirty") + _conflicts_sql(),
         "differing_rows": _differing_sql(),
         "compare_status": _compare_sql(),
+        **(optional.oracle_sql() if optional else {}),
     }
