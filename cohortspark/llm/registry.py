@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortspark.llm import chat, licenses, url_rules
+from cohortspark.llm import bpe, chat, licenses, url_rules
 from cohortspark.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,12 +30,19 @@ def _op4(spark: SparkSession, d: str) -> DataFrame:
     return chat.format_chats(turns, Scratch(spark))
 
 
+def _op5(spark: SparkSession, d: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    documents = _table(spark, d, "documents", "doc_id", "text")
+    return bpe.round_trip_digests(documents, path, public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Query]:
     """One query per operator, over its whole table."""
     return {
         "op1_license_scan": _op1,
         "op3_url_filter": _op3,
         "op4_chat_format": _op4,
+        "op5_byte_bpe": _op5,
     }
 
 
