@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 # Letters, digits and white space up to U+017F, as Unicode has them. Texts beyond
@@ -304,7 +305,7 @@ def small_batches(
 ) -> Iterator[tuple[pa.Array, list[str]]]:
     """doc_ids and texts (null: empty) in slices of about ``most`` bytes, or one longer text."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column("text")).fill_null(0).to_numpy(False)
+        sizes = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(False)
         cut, total = 0, 0
         for i, size in enumerate(sizes.tolist()):
             if total and total + size > most:
