@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortspark.llm import bpe, chat, licenses, url_rules
+from cohortspark.llm import bpe, chat, licenses, packing, url_rules
 from cohortspark.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    # Python workers import this package: tell those started from now on where it lies.
+    root, paths = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in (known := paths.get("PYTHONPATH", "").split(os.pathsep)):
+        paths["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
@@ -36,6 +42,12 @@ def _op5(spark: SparkSession, d: str) -> DataFrame:
     return bpe.round_trip_digests(documents, path, public_tokenizers.PATTERN)
 
 
+def _op7(spark: SparkSession, d: str) -> DataFrame:
+    documents = _table(spark, d, "documents", "doc_id", "text")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(documents, path, Scratch(spark))
+
+
 def queries() -> dict[str, Query]:
     """One query per operator, over its whole table."""
     return {
@@ -43,6 +55,7 @@ def queries() -> dict[str, Query]:
         "op3_url_filter": _op3,
         "op4_chat_format": _op4,
         "op5_byte_bpe": _op5,
+        "op7_best_fit_packing": _op7,
     }
 
 
