@@ -8,8 +8,9 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortspark.llm import bpe, chat, licenses, packing, url_rules
+from cohortspark.llm import bpe, chat, licenses, lines, packing, url_rules
 from cohortspark.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,13 @@ def _op7(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(documents, path, Scratch(spark))
 
 
+def _op10(spark: SparkSession, d: str) -> DataFrame:
+    documents = _table(spark, d, "documents", "doc_id", "text")
+    kept = lines.drop_repeated_lines(documents, Scratch(spark), report=True)
+    digest = F.sha2("text", 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_dropped", digest)
+
+
 def queries() -> dict[str, Query]:
     """One query per operator, over its whole table."""
     return {
@@ -56,6 +64,7 @@ def queries() -> dict[str, Query]:
         "op4_chat_format": _op4,
         "op5_byte_bpe": _op5,
         "op7_best_fit_packing": _op7,
+        "op10_line_dedup": _op10,
     }
 
 
@@ -103,6 +112,26 @@ _OP4_SQL = """
     FROM whole WHERE text NOT IN (SELECT text FROM proper) GROUP BY text"""
 
 
+_OP10_SQL = r"""
+    WITH lines AS (
+        SELECT doc_id, place, list_extract(parts, place) AS line
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+             LATERAL unnest(range(1, len(parts) + 1)) AS t(place)),
+    keyed AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+    repeated AS (
+        SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+    marked AS (
+        SELECT k.*, keeper IS NOT NULL AND keeper <> doc_id AS gone
+        FROM keyed k LEFT JOIN repeated USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), ''))
+               AS kept_sha256
+    FROM marked GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that it can express."""
-    return {"op3_url_filter": _OP3_SQL, "op4_chat_format": _OP4_SQL}
+    return {"op3_url_filter": _OP3_SQL, "op4_chat_format": _OP4_SQL, "op10_line_dedup": _OP10_SQL}
