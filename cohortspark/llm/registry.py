@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import bpe, chat, licenses, lines, packing, url_rules
+from cohortspark.llm import bpe, chat, licenses, lines, packing, quality, url_rules
 from cohortspark.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,13 @@ def _op5(spark: SparkSession, d: str) -> DataFrame:
     return bpe.round_trip_digests(documents, path, public_tokenizers.PATTERN)
 
 
+def _op6(spark: SparkSession, d: str) -> DataFrame:
+    documents = _table(spark, d, "documents", "doc_id", "text")
+    labels = _table(spark, d, "labels", "doc_id", "quality")
+    judged = quality.judge_documents(documents, labels, Scratch(spark))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
+
+
 def _op7(spark: SparkSession, d: str) -> DataFrame:
     documents = _table(spark, d, "documents", "doc_id", "text")
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -63,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op3_url_filter": _op3,
         "op4_chat_format": _op4,
         "op5_byte_bpe": _op5,
+        "op6_quality_rules": _op6,
         "op7_best_fit_packing": _op7,
         "op10_line_dedup": _op10,
     }
