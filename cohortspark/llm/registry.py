@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import bpe, chat, licenses, lines, packing, quality, url_rules
+from cohortspark.llm import bpe, chat, licenses, lines, packing, quality, shingle_join, url_rules
 from cohortspark.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,11 @@ def _op7(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(documents, path, Scratch(spark))
 
 
+def _op8(spark: SparkSession, d: str) -> DataFrame:
+    documents = _table(spark, d, "documents", "doc_id", "text")
+    return shingle_join.jaccard_components(documents, Scratch(spark), words=3, percent=90)
+
+
 def _op10(spark: SparkSession, d: str) -> DataFrame:
     documents = _table(spark, d, "documents", "doc_id", "text")
     kept = lines.drop_repeated_lines(documents, Scratch(spark), report=True)
@@ -72,6 +77,7 @@ def queries() -> dict[str, Query]:
         "op5_byte_bpe": _op5,
         "op6_quality_rules": _op6,
         "op7_best_fit_packing": _op7,
+        "op8_jaccard_join": _op8,
         "op10_line_dedup": _op10,
     }
 
