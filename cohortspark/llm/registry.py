@@ -10,7 +10,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import bpe, chat, licenses, lines, packing, quality, shingle_join, url_rules
+from cohortspark.llm import (
+    bpe,
+    chat,
+    embedding_join,
+    licenses,
+    lines,
+    packing,
+    quality,
+    shingle_join,
+    url_rules,
+)
 from cohortspark.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +38,11 @@ def _op1(spark: SparkSession, d: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, d, "documents", "doc_id", "text"), Scratch(spark))
 
 
+def _op2(spark: SparkSession, d: str) -> DataFrame:
+    embeddings = _table(spark, d, "embeddings", "vec_id", "embedding")
+    return embedding_join.embedding_components(embeddings, Scratch(spark))
+
+
 def _op3(spark: SparkSession, d: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, d, "pages", "page_id", "url"), Scratch(spark))
 
@@ -72,6 +87,7 @@ def queries() -> dict[str, Query]:
     """One query per operator, over its whole table."""
     return {
         "op1_license_scan": _op1,
+        "op2_embedding_dedup": _op2,
         "op3_url_filter": _op3,
         "op4_chat_format": _op4,
         "op5_byte_bpe": _op5,
