@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cohortspark.llm import (
     bpe,
     chat,
+    ctw,
     embedding_join,
     licenses,
     lines,
@@ -76,6 +77,11 @@ def _op8(spark: SparkSession, d: str) -> DataFrame:
     return shingle_join.jaccard_components(documents, Scratch(spark), words=3, percent=90)
 
 
+def _op9(spark: SparkSession, d: str) -> DataFrame:
+    documents = _table(spark, d, "documents", "doc_id", "text")
+    return ctw.score_documents(documents, Scratch(spark))
+
+
 def _op10(spark: SparkSession, d: str) -> DataFrame:
     documents = _table(spark, d, "documents", "doc_id", "text")
     kept = lines.drop_repeated_lines(documents, Scratch(spark), report=True)
@@ -94,6 +100,7 @@ def queries() -> dict[str, Query]:
         "op6_quality_rules": _op6,
         "op7_best_fit_packing": _op7,
         "op8_jaccard_join": _op8,
+        "op9_context_tree_score": _op9,
         "op10_line_dedup": _op10,
     }
 
