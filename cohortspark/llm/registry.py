@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cohortspark.llm import (
     bpe,
     chat,
@@ -22,16 +21,14 @@ from cohortspark.llm import (
     shingle_join,
     url_rules,
 )
+from cohortspark.llm.session import show_package
 from cohortspark.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    # Python workers import this package: tell those started from now on where it lies.
-    root, paths = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    if root not in (known := paths.get("PYTHONPATH", "").split(os.pathsep)):
-        paths["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+    show_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
@@ -102,6 +99,7 @@ def queries() -> dict[str, Query]:
         "op8_jaccard_join": _op8,
         "op9_context_tree_score": _op9,
         "op10_line_dedup": _op10,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -171,4 +169,7 @@ _OP10_SQL = r"""
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that it can express."""
-    return {"op3_url_filter": _OP3_SQL, "op4_chat_format": _OP4_SQL, "op10_line_dedup": _OP10_SQL}
+    sql = {"op3_url_filter": _OP3_SQL, "op4_chat_format": _OP4_SQL, "op10_line_dedup": _OP10_SQL}
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
