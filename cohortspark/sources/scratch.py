@@ -4,45 +4,77 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a temporary folder.
+    Only a local session may go without the setting; it gets a temporary folder, which goes when
+    the JVM ends. A setting without a scheme means the default file system: on a cluster whose
+    default is the local disk, every machine would have a folder of its own, so that is refused.
+    There, name a folder that all machines mount with an explicit ``file:``.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        folder, system = _file_system(spark, configured)
+        scheme = system.getUri().getScheme()
+        if scheme == "file" and not folder.toUri().getScheme() and not _is_local(spark):
+            raise RuntimeError(
+                f"spark.checkpoint.dir {configured!r} is on each machine's own disk; "
+                "name a shared file system"
+            )
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="cohortspark-")
+    if _is_local(spark):
+        made = tempfile.mkdtemp(prefix="cohortspark-")
+        folder, system = _file_system(spark, f"file:{made}")
+        system.deleteOnExit(folder)
+        return made
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
 class Scratch:
-    """A folder of its own for intermediate Parquet tables, to be used in a ``with`` block.
+    """A folder of its own for intermediate Parquet tables.
 
     A saved table outlives the executors that wrote it, is read column by column and starts
-    a new lineage. The folder is removed when the block ends.
+    a new lineage. The folder is removed when a ``with`` block ends. Without one, as for a lazy
+    result that reads from it, it is removed when the session's JVM ends.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+        self._names: Counter[str] = Counter()
+        folder, system = _file_system(spark, self.path)
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
 
     def save(self, name: str, rows: DataFrame, partition_by: str | None = None) -> DataFrame:
-        """Run the plan once and return the stored table."""
-        path = f"{self.path}/{name}"
+        """Run the plan once and return the stored table. Names may come again."""
+        self._names[name] += 1
+        again = self._names[name]
+        path = f"{self.path}/{name}" + (f"-again-{again}" if again > 1 else "")
         writer = rows.write.partitionBy(partition_by) if partition_by else rows.write
         writer.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def drop(self) -> None:
         """Remove the folder with all its tables."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        folder, system = _file_system(self.spark, self.path)
+        system.delete(folder, True)
 
     def __enter__(self) -> Scratch:
         return self
