@@ -209,7 +209,11 @@ def fit_quality(counts: DataFrame, labels: DataFrame | None, scratch: Scratch) -
         known = scratch.save("labelled", counts.join(marks, "doc_id"))
 
     def sample(rows: DataFrame) -> np.ndarray:
-        few = rows.orderBy(F.xxhash64("doc_id"), *_KEPT).limit(SAMPLE_ROWS).select(*_KEPT)
+        # By hash about twice the rows wanted, so that what tasks send stays as bounded.
+        order, total = F.xxhash64("doc_id", *_KEPT), rows.count()
+        share = 2 * (SAMPLE_ROWS + 100) / max(1, total)
+        some = rows.filter(F.pmod(order, F.lit(1 << 30)) <= int(share * (1 << 30)))
+        few = some.orderBy(order, *_KEPT).limit(SAMPLE_ROWS).select(*_KEPT)
         found = np.asarray([tuple(r) for r in few.collect()], np.int64).reshape(-1, len(_KEPT))
         return features(found[~base_failed(found)])
 
