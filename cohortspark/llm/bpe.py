@@ -114,10 +114,12 @@ class Merges:
         while heap:
             r = heapq.heappop(heap)
             groups = index.pop(r)
-            places = groups[0] if len(groups) == 1 else np.unique(np.concatenate(groups))
-            places = places[rank[places] == r]
+            places = groups[0] if len(groups) == 1 else np.concatenate(groups)
+            places = np.sort(places[rank[places] == r])
             if not len(places):
                 continue
+            if (again := places[1:] == places[:-1]).any():
+                places = places[np.concatenate(([True], ~again))]
             right = after[places]
             if len(places) > 1 and (chained := right[:-1] == places[1:]).any():
                 # Of overlapping pairs every second one is taken, from the left.
@@ -137,7 +139,7 @@ class Merges:
             touched = places[inside]
             left = before[places]
             left = left[left >= 0]
-            touched = np.unique(np.concatenate((touched, left))) if len(left) else touched
+            touched = np.concatenate((touched, left))
             if len(touched):
                 rank[touched] = self._rank(token[touched], token[after[touched]])
                 if (lower := rank[touched] < r).any():
@@ -251,7 +253,7 @@ class WordCodec:
         self.merges = Merges(
             pairs, [vocabulary[c] for c in shown], [vocabulary[c + end] for c in shown]
         )
-        self.pieces, self.words = _Cache(), _Cache()
+        self.words = _Cache()
 
     def _by_library(self, text: str) -> bool:
         return bool(_LOWER_APART.search(text)) or (
@@ -259,12 +261,15 @@ class WordCodec:
         )
 
     def _by_pieces(self, words: list[str]) -> list[bytes]:
-        split = [_WORDS.findall(w) for w in words]
-        known = self.pieces.holding(
-            set().union(*split),
-            lambda new: self.merges.replay([p.encode() for p in new]),
-        )
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        """Bytes of the ids of words. A word of letters is one piece; the pieces of others are
+        remembered as words too, which they are to the pattern."""
+        known = self.words.recent
+        cut = {w: _WORDS.findall(w) for w in words if not w.isalpha()}
+        new = {p for pieces in cut.values() for p in pieces}.difference(known)
+        new.update(w for w in words if w not in cut)
+        listed = list(new)
+        known.update(zip(listed, self.merges.replay([p.encode() for p in listed])))
+        return [b"".join(map(known.__getitem__, cut[w])) if w in cut else known[w] for w in words]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, without special tokens around it.
