@@ -9,16 +9,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from cohortspark.llm.bpe import small_batches
 from cohortspark.sources.scratch import Scratch
 
 DEPTH = 4  # bytes of context
 END = 0xFF  # ends every text and stands before it; no byte of UTF-8
-CHUNK_BYTES = 12 << 20  # of text that looks up its words and contexts together
+CHUNK_BYTES = 10 << 20  # of text that looks up its words and contexts together
+SLICE_BYTES = 1 << 20  # of text whose contexts are counted or looked up at once
 TASK_GRAMS = 150_000  # contexts with a following byte that one task of the model gets
 _TOP = 2  # levels from here down are built in tasks, those above from their sums
 _LN2 = math.log(2)
@@ -52,8 +54,34 @@ def context_keys(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray
     return keys[own], lengths
 
 
-def _lower_words(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Texts in lists of about ``SLICE_BYTES``, so that their keys stay in the cache."""
+    start, size = 0, 0
+    for at, text in enumerate(texts):
+        size += len(text)
+        if size >= SLICE_BYTES:
+            yield texts[start : at + 1]
+            start, size = at + 1, 0
+    if start < len(texts):
+        yield texts[start:]
+
+
+def _distinct_keys(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct context keys of texts, and how often each occurs."""
+    found, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for some in _slices(texts):
+        keys, n = np.unique(context_keys(some, depth)[0], return_counts=True)
+        found.append(keys)
+        counts.append(n)
+    every, n = np.concatenate(found), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every, n = every[order], n[order]
+    starts = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))[: len(every)]
+    return every[starts], np.add.reduceat(n, starts) if len(starts) else n
+
+
+def _lower_words(text: bytes) -> list[bytes]:
+    return text.lower().split()
 
 
 # ------------------------------------------------------------------ the model
@@ -178,47 +206,63 @@ def gram_scores(keys: np.ndarray, counts: np.ndarray, depth: int, top: TopLevels
 
 
 def _chunks(documents: DataFrame) -> DataFrame:
-    """One row for some megabytes of documents: chunk, doc_ids, texts."""
+    """One row for some megabytes of documents: chunk, doc_ids, sizes, compressed texts."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         ids: list[pa.Array] = []
-        texts: list[str] = []
+        texts: list[bytes] = []
         size = 0
 
         def row() -> pa.RecordBatch:
             whole = pa.concat_arrays(ids)
-            ends = pa.array([0, len(whole)], pa.int32())
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()),
-                    pa.ListArray.from_arrays(ends, whole),
-                    pa.array([texts], pa.list_(pa.string())),
+                    pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole),
+                    pa.array([[len(t) for t in texts]], pa.list_(pa.int32())),
+                    pa.array([zstandard.compress(b"".join(texts))], pa.binary()),
                 ],
-                ["chunk", "doc_ids", "texts"],
+                ["chunk", "doc_ids", "sizes", "data"],
             )
 
-        for doc_ids, some in small_batches(batches, CHUNK_BYTES // 4):
-            ids.append(doc_ids)
-            texts.extend(some)
-            size += sum(map(len, some))
-            if size >= CHUNK_BYTES * 3 // 4:
-                yield row()
-                number, ids, texts, size = number + 1, [], [], 0
-        if ids:
+        for batch in batches:
+            column = batch.column("text").cast(pa.binary())
+            start = 0
+            for i, text in enumerate(column):
+                texts.append(text.as_py() or b"")
+                size += len(texts[-1])
+                if size >= CHUNK_BYTES:
+                    ids.append(batch.column("doc_id").slice(start, i + 1 - start))
+                    yield row()
+                    number, ids, texts, size, start = number + 1, [], [], 0, i + 1
+            if start < batch.num_rows:
+                ids.append(batch.column("doc_id").slice(start))
+        if texts:
             yield row()
 
     rows = documents.select("doc_id", "text")
-    return rows.mapInArrow(gather, f"chunk long, doc_ids array<{kind}>, texts array<string>")
+    return rows.mapInArrow(
+        gather, f"chunk long, doc_ids array<{kind}>, sizes array<int>, data binary"
+    )
+
 
+def _texts(sizes: list[int], data: bytes) -> list[bytes]:
+    whole, at, texts = zstandard.decompress(data), 0, []
+    for size in sizes:
+        texts.append(whole[at : at + size])
+        at += size
+    return texts
 
-def _chunk_rows(batch: pa.RecordBatch) -> Iterator[tuple[int, list, list[str]]]:
+
+def _chunk_rows(batch: pa.RecordBatch) -> Iterator[tuple[int, list, list[bytes]]]:
     for i in range(batch.num_rows):
+        sizes, data = batch.column("sizes")[i].as_py(), batch.column("data")[i].as_py()
         yield (
             batch.column("chunk")[i].as_py(),
             batch.column("doc_ids")[i].as_py(),
-            batch.column("texts")[i].as_py(),
+            _texts(sizes, data),
         )
 
 
@@ -255,9 +299,9 @@ def _gram_counts(chunks: DataFrame, depth: int) -> DataFrame:
             for chunk, ids, texts in _chunk_rows(batch):
                 parts: dict[bool, list[bytes]] = {False: [], True: []}
                 for doc_id, text in zip(ids, texts):
-                    parts[held_out(doc_id)].append(text.encode())
-                grams, n = np.unique(context_keys(parts[False], depth)[0], return_counts=True)
-                others = np.unique(context_keys(parts[True], depth)[0])
+                    parts[held_out(doc_id)].append(text)
+                grams, n = _distinct_keys(parts[False], depth)
+                others, _ = _distinct_keys(parts[True], depth)
                 others = np.setdiff1d(others, grams, assume_unique=True)
                 every = np.concatenate((grams, others))
                 yield pa.RecordBatch.from_arrays(
@@ -307,51 +351,52 @@ def _train(grams: DataFrame, depth: int) -> DataFrame:
     return dealt.applyInArrow(scores, "gram long, value double")
 
 
-def _scorer(depth: int, tokens: int, distinct: int, ends: int):
-    below = math.log10(tokens + 0.5 * (distinct + 1))
-
+def _scorer(depth: int, ends: int, kind: pa.DataType):
     def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         if not chunk.num_rows:
-            return _scores([], [], [], [], [], [])
+            return schema.empty_table()
         ids = chunk.column("doc_ids")[0].values
-        texts = chunk.column("texts")[0].as_py()
+        texts = _texts(chunk.column("sizes")[0].as_py(), chunk.column("data")[0].as_py())
         of_grams = answers.filter(answers.column("gram").is_valid())
         of_words = answers.filter(answers.column("word").is_valid())
         grams = of_grams.column("gram").to_numpy().view(np.uint64)
         order = np.argsort(grams)
         grams, values = grams[order], of_grams.column("value").to_numpy()[order]
-        logs = np.log10(of_words.column("value").to_numpy() + 0.5) - below
+        counts = of_words.column("value").to_numpy()
+        logs = np.log10(np.abs(counts) + 0.5)
         word_log = dict(zip(of_words.column("word").to_pylist(), logs.tolist()))
-        known = math.log10(0.75) - below  # between counts of 0 and 1
-        end_log = math.log10(ends + 0.5) - below
         n_tokens, n_known, base = [], [], []
         for text in texts:
             words = _lower_words(text)
             each = np.fromiter(map(word_log.__getitem__, words), float, len(words))
             n_tokens.append(len(words) + 1)
-            n_known.append(int((each > known).sum()) + (ends > 0))
-            base.append(float(each.sum()) + end_log)
-        model = []
-        for at in range(0, len(texts), 256):
-            keys, lengths = context_keys([t.encode() for t in texts[at : at + 256]], depth)
+            n_known.append(int((each > 0).sum()) + (ends > 0))  # log10(0.5) < 0 < log10(1.5)
+            base.append(float(each.sum()) + math.log10(ends + 0.5))
+        model = [np.empty(0)]
+        for some in _slices(texts):
+            keys, lengths = context_keys(some, depth)
             found = values[np.searchsorted(grams, keys)]
             model.append(np.add.reduceat(found, np.cumsum(lengths) - lengths))
         out = [held_out(x) for x in ids.to_pylist()]
-        return _scores(ids, out, n_tokens, n_known, base, np.concatenate(model))
-
-    def _scores(ids, out, n_tokens, n_known, base, model) -> pa.Table:
+        own = np.zeros(len(texts), np.int64)
+        own[0] = np.count_nonzero(counts < 0)
+        columns = [ids, out, n_tokens, n_known, own, base, np.concatenate(model)]
         return pa.table(
-            {
-                "doc_id": ids,
-                "held_out": pa.array(out, pa.bool_()),
-                "n_tokens": pa.array(n_tokens, pa.int64()),
-                "n_known": pa.array(n_known, pa.int64()),
-                "train_tokens": pa.array([tokens] * len(out), pa.int64()),
-                "base_score": pa.array(base, pa.float64()),
-                "score": pa.array(model, pa.float64()),
-            }
+            [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)],
+            schema=schema,
         )
 
+    schema = pa.schema(
+        [
+            ("doc_id", kind),
+            ("held_out", pa.bool_()),
+            ("n_tokens", pa.int64()),
+            ("n_known", pa.int64()),
+            ("own", pa.int64()),
+            ("logs", pa.float64()),
+            ("score", pa.float64()),
+        ]
+    )
     return score
 
 
@@ -370,42 +415,47 @@ def score_documents(documents: DataFrame, scratch: Scratch, depth: int = DEPTH)
     null doc_id trains. Repeated rows are scored, and train, one by one.
     """
     chunks = scratch.save("chunks", _chunks(documents))
-    by_word = Window.partitionBy("word")
-    words = scratch.save(
-        "words",
-        _word_counts(chunks)
-        .withColumns({"c": F.sum("n").over(by_word), "home": F.min("chunk").over(by_word)})
-        .select("chunk", "word", "n", "c", (F.col("home") == F.col("chunk")).alias("first")),
-    )
-    row = words.agg(F.sum("n"), F.sum(F.when(F.col("first") & (F.col("c") > 0), 1))).first()
-    trains = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) != 1
-    ends = documents.filter(trains).count()
-    tokens, distinct = (row[0] or 0) + ends, (row[1] or 0) + (ends > 0)
-
     per_chunk = scratch.save("grams", _gram_counts(chunks, depth))
     counted = scratch.save("model", per_chunk.groupBy("gram").agg(F.sum("n").alias("n")))
     scored = scratch.save("scored", _train(counted, depth))
+
+    # The count of a word over the corpus, negative in the one chunk that counts it as distinct.
+    by_word = Window.partitionBy("word")
+    total, home = F.sum("n").over(by_word), F.min("chunk").over(by_word)
+    value = F.when(F.col("chunk") == home, -total).otherwise(total).cast("double")
     none = F.lit(None)
     answers = (
         per_chunk.select("chunk", "gram")
         .join(scored, "gram")
         .select("chunk", none.cast("binary").alias("word"), "gram", "value")
         .unionByName(
-            words.select(
-                "chunk",
-                "word",
-                none.cast("long").alias("gram"),
-                F.col("c").cast("double").alias("value"),
+            _word_counts(chunks).select(
+                "chunk", "word", none.cast("long").alias("gram"), value.alias("value")
             )
         )
     )
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return (
+    trains = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) != 1
+    ends = documents.filter(trains).count()
+    field = documents.select("doc_id").schema["doc_id"]
+    parts = scratch.save(
+        "parts",
         chunks.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
         .applyInArrow(
-            _scorer(depth, tokens, distinct, ends),
-            f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-            "base_score double, score double",
-        )
+            _scorer(depth, ends, to_arrow_type(field.dataType)),
+            f"doc_id {field.dataType.simpleString()}, held_out boolean, n_tokens long, "
+            "n_known long, own long, logs double, score double",
+        ),
+    )
+    row = parts.agg(F.sum(F.when(~F.col("held_out"), F.col("n_tokens"))), F.sum("own")).first()
+    tokens, distinct = row[0] or 0, (row[1] or 0) + (ends > 0)
+    below = math.log10(tokens + 0.5 * (distinct + 1))
+    return parts.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(tokens).cast("long").alias("train_tokens"),
+        (F.col("logs") - F.col("n_tokens") * below).alias("base_score"),
+        "score",
     )
