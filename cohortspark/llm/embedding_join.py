@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortspark.llm.components import components
@@ -217,12 +217,18 @@ def _join_size(vectors: DataFrame, scratch: Scratch, size: int, cosine: float, b
     dims = min(LEADING, size)
     order = [f"c{k}" for k in range(dims)] + [f"p{k}" for k in range(dims)] + ["rep"]
     blocks = -(-count // block)
-    placed = scratch.save(
-        f"blocks-{size}",
+    ranged = scratch.save(
+        f"ranges-{size}",
         _in_grid_order(vectors, axes, eps)
         .repartitionByRange(blocks, *order)
-        .withColumn("block", F.spark_partition_id()),
+        .withColumn("range", F.spark_partition_id()),
     )
+    # Ranges become blocks by how many vectors lie before them. One row per range: broadcast.
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = ranged.groupBy("range").agg(F.count("*").alias("rows"))
+    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
+    numbered = numbered.select("range", F.floor(before / block).alias("block"))
+    placed = ranged.join(F.broadcast(numbered), "range").drop("range")
     boxes = [F.min(f"p{k}").alias(f"low{k}") for k in range(dims)]
     boxes += [F.max(f"p{k}").alias(f"high{k}") for k in range(dims)]
     summary = placed.groupBy("block").agg(
