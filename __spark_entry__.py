@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 from collections.abc import Callable
+from datetime import date
 from functools import partial, reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -16,8 +16,10 @@ from pyspark.sql import functions as F  # noqa: E402
 from cohortspark.functions import first_date  # noqa: E402
 from cohortspark.jobs import side_by_side  # noqa: E402
 from cohortspark.operators import (  # noqa: E402
+    bridge_intervals,
     clean_intervals,
     cohort_spans,
+    compare_snapshots,
     compare_tables,
     covered_years,
     daily_counts,
@@ -30,8 +32,8 @@ from cohortspark.operators import (  # noqa: E402
 )
 from cohortspark.operators.compare import outcome_frame  # noqa: E402
 from cohortspark.plans import coverage, events, linkage, people  # noqa: E402
-from cohortspark.plans.snapshot import RESULTS, write_snapshot  # noqa: E402
-from cohortspark.sources.scratch import shared_folder  # noqa: E402
+from cohortspark.plans.snapshot import RESULTS, result_names, snapshot, write_snapshot  # noqa: E402
+from cohortspark.sources import Scratch, read_tables, write_table  # noqa: E402
 from testtables import DP, DP_MAX_DATE, duckdb_with, table  # noqa: E402
 
 try:  # An optional part: the library works without that folder.
@@ -142,6 +144,16 @@ def _compare_status(spark: SparkSession, d: str) -> DataFrame:
         name: partial(compare_tables, prices, other, tolerance)
         for name, (other, tolerance) in others.items()
     }
+    # Two whole numbers of which the first by name varies, in either order of columns; rows of
+    # one order all agree otherwise, so that only the right pairing shows the match.
+    lines = table(spark, d, "lineitem").selectExpr("l_linenumber AS a", "l_orderkey AS b")
+    moved = lines.selectExpr("a + 1L AS a", "b")
+    kept = lines.selectExpr("CAST(a AS LONG) AS a", "b")
+    comparisons |= {
+        "first_varies": partial(compare_tables, kept, moved, 1.0),
+        "first_varies_reordered": partial(compare_tables, kept.select("b", "a"), moved, 1.0),
+        "first_varies_too_far": partial(compare_tables, kept, moved, 0.5),
+    }
     outcomes = side_by_side(spark, 4, comparisons)
     return outcome_frame(spark, outcomes).drop("details")
 
@@ -153,7 +165,10 @@ def _differing_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _vitals(spark: SparkSession, d: str) -> DataFrame:
-    return events.vital_sign_counts(table(spark, d, "vitals"), _spans(spark, d), DP, "md")
+    """The domain that only runs on request."""
+    tables = {name: table(spark, d, name) for name in ("enrollment", "vitals")}
+    results = snapshot(tables, DP, Scratch(spark), DP_MAX_DATE, ["vitals"])
+    return results["vit_pat_vitct_md"]
 
 
 def _long(name: str, rows: DataFrame) -> DataFrame:
@@ -167,14 +182,33 @@ def _long(name: str, rows: DataFrame) -> DataFrame:
 
 
 def _snapshot(spark: SparkSession, d: str) -> DataFrame:
-    """The whole job: check, build and write all results, then read them back, stacked."""
-    tables = {name: table(spark, d, name) for name in RESULTS}
-    root = f"{shared_folder(spark)}/results-{uuid.uuid4().hex}"
-    paths = write_snapshot(tables, root, DP, DP_MAX_DATE)
+    """The whole job: read, check, build and write all results, then read them back, stacked."""
+    folder = Scratch(spark).path
+    stored = {name: write_table(table(spark, d, name), f"{folder}/in", name) for name in RESULTS}
+    tables = read_tables(spark, RESULTS, stored)
+    paths = write_snapshot(tables, f"{folder}/out", DP, DP_MAX_DATE, partitions=2)
     results = [_long(name, spark.read.parquet(path)) for name, path in paths.items()]
     return reduce(DataFrame.unionByName, results)
 
 
+_LATER = date(2000, 9, 30)
+
+
+def _compare_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """Two written runs: the second is for a later date, with deaths and without deliveries."""
+    folder = Scratch(spark).path
+    tables = {name: table(spark, d, name) for name in ("enrollment", "mil", "death")}
+    write_snapshot(tables, f"{folder}/one", DP, DP_MAX_DATE, ["enrollment", "mil"])
+    write_snapshot(tables, f"{folder}/two", DP, _LATER, ["enrollment", "death"])
+    names = result_names(["enrollment", "mil", "death"])
+    return compare_snapshots(spark, f"{folder}/one", f"{folder}/two", names).drop("details")
+
+
+def _bridge_all(spark: SparkSession, d: str) -> DataFrame:
+    spans = bridge_intervals(table(spark, d, "enrollment"))
+    return spans.select("patid", "span_id", "span_start", "span_end")
+
+
 def queries() -> dict[str, Query]:
     """Every result table and operator as a query over the given tables."""
     return {
@@ -218,6 +252,8 @@ def queries() -> dict[str, Query]:
         ),
         "differing_rows": _differing_rows,
         "compare_status": _compare_status,
+        "compare_snapshots": _compare_snapshots,
+        "bridge_intervals": _bridge_all,
         **(optional.queries() if optional else {}),
     }
 
@@ -228,6 +264,7 @@ _COVERED = {
     "m": "lower(medcov) = 'y'",
     "md": "lower(medcov) = 'y' AND lower(drugcov) = 'y'",
     "d": "lower(drugcov) = 'y'",
+    "all": "true",
 }
 
 
@@ -488,6 +525,25 @@ def _compare_sql() -> str:
                        IS NOT TRUE) AS unlike)""")
     parts.append("""
         SELECT 'retyped', 'schema_difference', CAST(0 AS BIGINT), CAST(0 AS BIGINT)""")
+    # All lines of an order agree in b, so shifted lines match if sorted ones do within b.
+    parts.append("""
+        SELECT name,
+               CASE WHEN unlike = 0 THEN 'numeric_tolerance_match' ELSE 'value_difference' END,
+               surplus, surplus
+        FROM (VALUES ('first_varies', 1.0), ('first_varies_reordered', 1.0),
+                     ('first_varies_too_far', 0.5)) AS t(name, tolerance),
+             LATERAL (SELECT
+                (SELECT count(*) FROM (
+                    SELECT l_linenumber, l_orderkey FROM lineitem
+                    EXCEPT ALL SELECT l_linenumber + 1, l_orderkey FROM lineitem)) AS surplus,
+                (SELECT count(*) FROM (
+                    SELECT l_orderkey, l_linenumber AS a,
+                           row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS place
+                    FROM lineitem) AS p JOIN (
+                    SELECT l_orderkey, l_linenumber + 1 AS a,
+                           row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS place
+                    FROM lineitem) AS q USING (l_orderkey, place)
+                 WHERE abs(p.a - q.a) > tolerance) AS unlike)""")
     return " UNION ALL ".join(parts)
 
 
@@ -513,11 +569,35 @@ def _cohort_spans_sql() -> str:
                CAST(sum(span_end - span_start + 1) OVER by_date AS BIGINT) AS covered_days,
                span_id = max(span_id) OVER (PARTITION BY patid) AS is_latest
         FROM ({_spans_sql(c)}) WINDOW by_date AS (PARTITION BY patid ORDER BY span_start)"""
-        for c in _COVERED
+        for c in ("m", "md", "d")
     ]
     return duckdb_with("enrollment") + " UNION ALL ".join(parts)
 
 
+def _compare_snapshots_sql() -> str:
+    """Only the number of active patients depends on the date."""
+    same = [name for name in RESULTS["enrollment"] if name != "enr_active_patid_ct_md"]
+    fixed = [(name, "exact_match") for name in same]
+    fixed += [(name, "missing_reference") for name in RESULTS["mil"]]
+    fixed += [(name, "missing_actual") for name in RESULTS["death"]]
+    rows = ", ".join(f"('{name}', '{status}', 0)" for name, status in fixed)
+
+    def active(day: date) -> str:
+        return (
+            "(SELECT count(DISTINCT patid) FROM spans"
+            f" WHERE span_end >= DATE '{day.isoformat()}')"
+        )
+
+    differ = f"{active(DP_MAX_DATE)} <> {active(_LATER)}"
+    return _with_spans("md") + f"""
+        SELECT name, status, CAST(n AS BIGINT) AS only_actual, CAST(n AS BIGINT) AS only_reference
+        FROM (SELECT * FROM (VALUES {rows}) AS t(name, status, n)
+              UNION ALL
+              SELECT 'enr_active_patid_ct_md',
+                     CASE WHEN {differ} THEN 'value_difference' ELSE 'exact_match' END,
+                     CASE WHEN {differ} THEN 1 ELSE 0 END)"""
+
+
 def _vitals_sql() -> str:
     signs = {"HGT": "ht", "WGT": "wt", "DIA": "diastolic", "SYS": "systolic"}
     long = " UNION ALL ".join(
@@ -540,7 +620,8 @@ def oracle_sql() -> dict[str, str]:
         "clean_intervals": duckdb_with("enrollment")
         + """SELECT DISTINCT patid, enr_start, enr_end FROM enrollment
              WHERE patid IS NOT NULL AND enr_start <= enr_end""",
-        **{f"bridge_{c}": _with_spans(c) + spans for c in _COVERED},
+        **{f"bridge_{c}": _with_spans(c) + spans for c in ("m", "md", "d")},
+        "bridge_intervals": _with_spans("all") + spans,
         "cohort_spans": _cohort_spans_sql(),
         "latest_span_md": _with_spans("md") + "SELECT patid, span_start, span_end FROM latest",
         "patient_years_md": _with_spans("md") + _YEARS_SQL,
@@ -558,5 +639,6 @@ def oracle_sql() -> dict[str, str]:
         "delivery_conflicts": duckdb_with("mil_dirty") + _conflicts_sql(),
         "differing_rows": _differing_sql(),
         "compare_status": _compare_sql(),
+        "compare_snapshots": _compare_snapshots_sql(),
         **(optional.oracle_sql() if optional else {}),
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from functools import partial
 
 from pyspark.errors import AnalysisException
@@ -64,10 +64,12 @@ def compare_tables(
 ) -> dict[str, object]:
     """Status of one pair of tables, the number of surplus rows of either side and details.
 
-    With a tolerance, tables that are not equal are put in order (columns that are not
-    numeric first, fractions last) and compared position by position: numbers may then
-    be up to ``tolerance`` apart, everything else has to be equal. That pairing finds every
-    match there is when one number varies; when several do, it can miss one.
+    With a tolerance, numbers may be up to ``tolerance`` apart, everything else has to be
+    equal. If some numeric column is all that varies (without it the tables are equal as
+    multisets), rows are paired in the order of that column among rows that agree otherwise,
+    which finds a match whenever there is one. If several columns vary, all rows are paired
+    in one order, by name: columns that are not numeric, whole numbers, fractions. That can
+    miss a match, and the details say so. The order of the columns never matters.
     """
     findings = schema_differences(actual, reference)
     if findings:
@@ -87,11 +89,44 @@ def compare_tables(
     # Unequal surpluses mean unequal row counts, which no tolerance can make good.
     if tolerance > 0 and ours == theirs:
         with Scratch(actual.sparkSession) as scratch:
-            if _within(actual, reference, tolerance, tile_bits, scratch):
-                return _outcome(WITHIN_TOLERANCE, ours, theirs)
+            one_varies = False
+            for column in _varying_alone(actual, reference):
+                one_varies = True
+                order = [c for c in _general_order(actual) if c != column] + [column]
+                if _within(actual, reference, order, tolerance, tile_bits, scratch):
+                    return _outcome(WITHIN_TOLERANCE, ours, theirs)
+            order = _general_order(actual)
+            matched = _within(actual, reference, order, tolerance, tile_bits, scratch)
+            counts = _outcome(VALUES_DIFFER, ours, theirs)["details"]
+            paired = "" if one_varies else "; several columns vary, rows were paired by order"
+            return _outcome(
+                WITHIN_TOLERANCE if matched else VALUES_DIFFER, ours, theirs, f"{counts}{paired}"
+            )
     return _outcome(VALUES_DIFFER, ours, theirs)
 
 
+def _general_order(table: DataFrame) -> list[str]:
+    """Column names, those that are not numeric first, fractions last."""
+
+    def place(f):
+        kind = f.dataType
+        return isinstance(kind, FractionalType), isinstance(kind, NumericType), f.name
+
+    return [f.name for f in sorted(table.schema, key=place)]
+
+
+def _varying_alone(actual: DataFrame, reference: DataFrame) -> Iterator[str]:
+    """Numeric columns without which the tables are equal as multisets."""
+    for column in _general_order(actual):
+        if not isinstance(actual.schema[column].dataType, NumericType):
+            continue
+        others = [c for c in actual.columns if c != column]
+        if not others or differing_rows(
+            actual.select(*others), reference.select(*others)
+        ).isEmpty():
+            yield column
+
+
 def _outcome(status: str, ours: int = 0, theirs: int = 0, details: str = "") -> dict[str, object]:
     return {
         "status": status,
@@ -108,18 +143,21 @@ def _close(left: Column, right: Column, kind: DataType, tolerance: float) -> Col
     if isinstance(kind, IntegralType):
         # Long differences could overflow, and doubles would round large numbers.
         left, right = left.cast("decimal(20,0)"), right.cast("decimal(20,0)")
-    near = F.abs(left - right) <= tolerance
+    # Decimals too far apart for a decimal have no difference, and are not close.
+    near = F.abs(F.try_subtract(left, right)) <= tolerance
     return left.eqNullSafe(right) | F.coalesce(near, F.lit(False))
 
 
 def _within(
-    actual: DataFrame, reference: DataFrame, tolerance: float, tile_bits: int, scratch: Scratch
+    actual: DataFrame,
+    reference: DataFrame,
+    order: list[str],
+    tolerance: float,
+    tile_bits: int,
+    scratch: Scratch,
 ) -> bool:
-    """Do two tables of the same length agree at every position of their sorted order?"""
-    fields = sorted(
-        actual.schema,
-        key=lambda f: (isinstance(f.dataType, FractionalType), isinstance(f.dataType, NumericType)),
-    )
+    """Do two tables of the same length agree at every position, sorted by ``order``?"""
+    fields = [actual.schema[column] for column in order]
     row = F.struct(*[F.col(f.name).alias(f"c{i}") for i, f in enumerate(fields)])
     sides = [
         _tiles(table.select(row.alias(name)), name, tile_bits, scratch)
@@ -199,11 +237,18 @@ def compare_snapshots(
     spark: SparkSession,
     actual_root: str,
     reference_root: str,
-    names: Iterable[str],
+    names: Iterable[str] | None = None,
     tolerance: float = 0.0,
     threads: int = 4,
 ) -> DataFrame:
-    """Compare the named tables below two folders: one row per name with its status."""
+    """Compare tables below two folders: one row per name with its status.
+
+    Without names, all results that a snapshot writes by default.
+    """
+    if names is None:
+        from cohortspark.plans.snapshot import result_names  # which imports the operators
+
+        names = result_names()
 
     def outcome(name: str) -> dict[str, object]:
         actual = _stored(spark, f"{actual_root}/{name}")

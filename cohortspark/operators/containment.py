@@ -31,7 +31,6 @@ def totals_in_spans(
     spans: DataFrame,
     cohorts: Sequence[str],
     measures: Sequence[str] = ("n",),
-    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Sum the daily counts that fall inside a span, as ``patid, cohort, *measures``.
 
@@ -40,21 +39,10 @@ def totals_in_spans(
 
     Spans and days are laid on one time line per patient. The latest end among the spans
     started so far tells whether a day is covered, so one sort serves all cohorts and no
-    day is paired with any span but its own.
-
-    ``broadcast_rows`` allows a map-side join for small span tables: they are counted
-    first, and the time line is used when there are more rows than that.
+    day is paired with any span but its own. Should spans overlap after all, a day inside
+    several still counts once.
     """
     spans = spans.filter(F.col("cohort").isin(*cohorts))
-    if broadcast_rows and spans.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        small = F.broadcast(spans.select("patid", "cohort", "span_start", "span_end"))
-        return (
-            daily.join(small, "patid")
-            .filter("day BETWEEN span_start AND span_end")
-            .groupBy("patid", "cohort")
-            .agg(*[F.expr(f"CAST(sum({m}) AS LONG) AS {m}") for m in measures])
-        )
-
     marks = spans.selectExpr(
         "patid",
         "span_start AS day",

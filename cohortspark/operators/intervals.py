@@ -78,8 +78,8 @@ def cohort_spans(
 
     The longest interval per patient and start day is found for all cohorts side by side;
     the rows fan out into one per cohort only behind the second shuffle. That one is on
-    ``patid`` alone, which the per-patient joins and sums of the consumers can reuse; an
-    exploded array keeps it, where an unpivot would not.
+    ``patid`` alone, which the per-patient joins and sums in the same plan can reuse; an
+    exploded array keeps it, where an unpivot would not. Spans that are stored first lose it.
     """
     members = " OR ".join(f"({in_cohort(c)})" for c in cohorts)
     fan_out = ", ".join(f"struct('{c}' AS cohort, {c} AS enr_end)" for c in cohorts)

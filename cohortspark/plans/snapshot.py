@@ -13,7 +13,7 @@ from cohortspark.operators.checks import delivery_conflicts, duplicate_keys
 from cohortspark.operators.deliveries import delivery_grain
 from cohortspark.operators.intervals import cohort_spans
 from cohortspark.plans import coverage, events, linkage, people
-from cohortspark.sources.scratch import Scratch
+from cohortspark.sources.scratch import Scratch, path_exists, remove_path
 from cohortspark.sources.tables import write_table
 
 DP_MAX_DATE = date(2023, 6, 30)
@@ -34,6 +34,8 @@ RESULTS = {
     "death": ("dth_dthct_md", "dth_dthct_m"),
     "mil": ("mil_linkage_rates",),
 }
+# Only run when named.
+ON_REQUEST = {"vitals": ("vit_pat_vitct_md",)}
 COHORTS_OF = {
     "enrollment": ("md",),
     "demographic": ("md",),
@@ -42,6 +44,7 @@ COHORTS_OF = {
     "lab": ("md",),
     "death": ("md", "m"),
     "mil": (),
+    "vitals": ("md",),
 }
 
 
@@ -50,13 +53,16 @@ class DataError(ValueError):
 
 
 def needed_domains(domains: Iterable[str] | None = None) -> list[str]:
-    """The domains to run, in a fixed order: all but mil also need enrollment."""
+    """The domains to run, in a fixed order: all but mil also need enrollment.
+
+    Without a choice, all of ``RESULTS``; those ``ON_REQUEST`` have to be named.
+    """
     if domains is None:
         return list(RESULTS)
-    domains = list(domains)
-    unknown = sorted(set(domains) - RESULTS.keys())
+    domains, known = list(domains), [*RESULTS, *ON_REQUEST]
+    unknown = sorted(set(domains) - set(known))
     if unknown:
-        raise ValueError(f"no domain {', '.join(unknown)}; known: {', '.join(RESULTS)}")
+        raise ValueError(f"no domain {', '.join(unknown)}; known: {', '.join(known)}")
     if len(set(domains)) < len(domains):
         raise ValueError("a domain is named twice")
     if not domains:
@@ -64,12 +70,13 @@ def needed_domains(domains: Iterable[str] | None = None) -> list[str]:
     wanted = set(domains)
     if wanted - {"mil"}:
         wanted.add("enrollment")
-    return [domain for domain in RESULTS if domain in wanted]
+    return [domain for domain in known if domain in wanted]
 
 
 def result_names(domains: Iterable[str] | None = None) -> list[str]:
     """Names of the result tables of the domains, in the order they are built."""
-    return [name for domain in needed_domains(domains) for name in RESULTS[domain]]
+    every = RESULTS | ON_REQUEST
+    return [name for domain in needed_domains(domains) for name in every[domain]]
 
 
 def check_patients(demographic: DataFrame) -> None:
@@ -93,7 +100,6 @@ def snapshot(
     dp_max_date: date = DP_MAX_DATE,
     domains: Iterable[str] | None = None,
     threads: int = 8,
-    broadcast_rows: int = 0,
 ) -> dict[str, DataFrame]:
     """Check the inputs and build the result tables of the domains.
 
@@ -101,8 +107,8 @@ def snapshot(
     cohorts and the delivery grain in ``scratch``. The second reads every other table and
     stores one small tally per domain, which serves all results of that domain. The
     returned plans only read what is stored, so they are cheap to use more than once, but
-    have to be used before ``scratch`` is dropped. Spans of no more than ``broadcast_rows``
-    rows are broadcast to the events.
+    have to be used before ``scratch`` is dropped. When one job of a round fails, the others
+    are cancelled.
     """
     if not dp.strip():
         raise ValueError("dp must not be empty")
@@ -131,7 +137,7 @@ def snapshot(
     spans = stored.get("spans")
 
     def counted(days: DataFrame, *cohorts: str) -> DataFrame:
-        return events.event_histogram(days, spans, cohorts, broadcast_rows)
+        return events.event_histogram(days, spans, cohorts)
 
     def tally_of(domain: str) -> DataFrame:
         rows = tables[domain]
@@ -148,6 +154,8 @@ def snapshot(
                 return people.death_counts(spans.filter("cohort IN ('md', 'm')"), rows)
             case "mil":
                 return linkage.linkage_rates(stored["grain"], rows, dp)
+            case "vitals":
+                return events.vital_sign_counts(rows, spans, dp, "md")
 
     def store_tally(domain: str) -> DataFrame:
         return scratch.save(f"{domain}_tally", tally_of(domain))
@@ -183,6 +191,8 @@ def snapshot(
         results["dth_dthct_m"] = people.deaths(tally, dp, "m")
     if "mil" in selected:
         results["mil_linkage_rates"] = tallies["mil"]
+    if "vitals" in selected:
+        results["vit_pat_vitct_md"] = tallies["vitals"]
     return results
 
 
@@ -195,25 +205,36 @@ def write_snapshot(
     mode: str = "errorifexists",
     partitions: int = 0,
     threads: int = 8,
-    broadcast_rows: int = 0,
 ) -> dict[str, str]:
     """Write every result table to ``<root>/<name>/`` and return the paths by name.
 
     No result is written before all checks have passed. Rows are ordered by the key columns
     of their table. Up to ``threads`` results are written side by side.
+
+    With ``errorifexists`` it is all or nothing: no job starts if one of the folders is there,
+    and should a write fail, the results that this call has written are removed again.
     """
     spark = next(iter(tables.values())).sparkSession
+    targets = {name: f"{root.rstrip('/')}/{name}" for name in result_names(domains)}
+    if mode == "errorifexists":
+        taken = [path for path in targets.values() if path_exists(spark, path)]
+        if taken:
+            raise FileExistsError(f"exists already: {', '.join(taken)}")
     with Scratch(spark) as scratch:
-        results = snapshot(
-            tables, dp, scratch, dp_max_date, domains, threads, broadcast_rows
-        )
+        results = snapshot(tables, dp, scratch, dp_max_date, domains, threads)
 
         def writer(name: str) -> Callable[[], str]:
             rows = results[name]
             keys = [column for column in rows.columns if column in SORT_COLUMNS]
             return lambda: write_table(rows, root, name, mode, partitions, keys)
 
-        return side_by_side(spark, threads, {name: writer(name) for name in results})
+        try:
+            return side_by_side(spark, threads, {name: writer(name) for name in results})
+        except Exception:
+            if mode == "errorifexists":
+                for path in targets.values():
+                    remove_path(spark, path)
+            raise
 
 
 # The columns results are ordered by, those of each in its column order.

@@ -11,13 +11,14 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
 _ID = (IntegerType, LongType)
 _DATE = (DateType,)
 _TEXT = (StringType,)
-_PARSED_DATE = (DateType, TimestampType, StringType)
+_PARSED_DATE = (DateType, TimestampType, TimestampNTZType, StringType)
 _NUMBER = (IntegerType, LongType, DoubleType, DecimalType)
 
 # Table -> column -> accepted types.
@@ -38,6 +39,10 @@ CONTRACTS: dict[str, dict[str, tuple[type, ...]]] = {
         "mpatid": _ID, "encounterid": _ID, "cpatid": _ID, "enctype": _TEXT,
         "birth_type": _ID, "age": _NUMBER, "adate": _DATE,
     },
+    "vitals": {
+        "patid": _ID, "measure_date": _DATE, "ht": _NUMBER, "wt": _NUMBER,
+        "diastolic": _NUMBER, "systolic": _NUMBER,
+    },
 }
 
 

@@ -15,6 +15,18 @@ def _file_system(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path is."""
+    folder, system = _file_system(spark, path)
+    return system.exists(folder)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds; nothing happens if it is not there."""
+    folder, system = _file_system(spark, path)
+    system.delete(folder, True)
+
+
 def _is_local(spark: SparkSession) -> bool:
     master = spark.sparkContext.master
     return master.startswith("local") and not master.startswith("local-cluster")
@@ -63,18 +75,23 @@ class Scratch:
         system.deleteOnExit(folder)
 
     def save(self, name: str, rows: DataFrame, partition_by: str | None = None) -> DataFrame:
-        """Run the plan once and return the stored table. Names may come again."""
+        """Run the plan once and return the stored table. Names may come again.
+
+        A partitioned table is rebalanced ahead of writing, so that its number of files follows
+        its size and not partitions times values.
+        """
         self._names[name] += 1
         again = self._names[name]
         path = f"{self.path}/{name}" + (f"-again-{again}" if again > 1 else "")
-        writer = rows.write.partitionBy(partition_by) if partition_by else rows.write
-        writer.parquet(path)
+        if partition_by:
+            rows.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+        else:
+            rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def drop(self) -> None:
         """Remove the folder with all its tables."""
-        folder, system = _file_system(self.spark, self.path)
-        system.delete(folder, True)
+        remove_path(self.spark, self.path)
 
     def __enter__(self) -> Scratch:
         return self

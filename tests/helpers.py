@@ -12,6 +12,7 @@ SCHEMAS = {
     "death": "patid long, deathdt date",
     "mil": "mpatid long, encounterid long, cpatid long, enctype string, birth_type int, "
     "age int, adate date",
+    "vitals": "patid long, measure_date date, ht int, wt double, diastolic int, systolic int",
 }
 
 
@@ -50,4 +51,4 @@ def rows(frame, *columns):
 def stored_scratch(spark):
     """Names of the scratch folders that exist now."""
     shared = spark.conf.get("spark.checkpoint.dir")
-    return [name for name in os.listdir(shared) if name.startswith("scratch-")]
+    return sorted(name for name in os.listdir(shared) if name.startswith("scratch-"))

@@ -122,6 +122,52 @@ def test_tiles_agree_with_sorting_everything(spark, pairs, spoil):
         assert found == "value_difference"
 
 
+@pytest.mark.parametrize("columns", [("a", "b"), ("b", "a")])
+def test_one_varying_number_is_found_in_any_column(spark, columns):
+    ours, theirs = [(1.00, 5.0), (1.01, 3.0)], [(1.005, 3.0), (1.006, 5.0)]
+    for schema, pair in (("a double, b double", (ours, theirs)), ("b double, a double", (
+        [r[::-1] for r in ours], [r[::-1] for r in theirs]))):
+        sides = [spark.createDataFrame(side, schema).select(*columns) for side in pair]
+        assert compare_tables(*sides, 0.01)["status"] == "numeric_tolerance_match"
+        assert compare_tables(*sides, 0.004)["status"] == "value_difference"
+    counts = [(10, 1), (11, 2)], [(11, 1), (10, 2)]
+    sides = [spark.createDataFrame(s, "rx_count long, count long").select("rx_count", "count")
+             for s in counts]
+    assert compare_tables(*sides, 1.0)["status"] == "numeric_tolerance_match"
+
+
+def test_several_varying_numbers_are_paired_by_order(spark):
+    schema = "k string, x double, y double"
+    sides = [spark.createDataFrame(s, schema) for s in ([("a", 1.0, 2.0)], [("a", 1.1, 2.1)])]
+    outcome = compare_tables(*sides, 0.2)
+    assert outcome["status"] == "numeric_tolerance_match"
+    assert "paired by order" in outcome["details"]
+
+
+def test_decimals_whose_difference_overflows_are_not_close(spark):
+    far = Decimal("9" * 38)
+    sides = ([("a", far)], [("a", -far)])
+    assert status(spark, *sides, "n string, r decimal(38,0)", 1.0) == "value_difference"
+
+
+numbers = st.lists(
+    st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(0, 3)), min_size=1, max_size=12
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(numbers, st.lists(st.tuples(*[st.sampled_from([0, 0, 1])] * 3), min_size=12, max_size=12))
+def test_order_of_columns_never_changes_the_status(spark, rows, shifts):
+    moved = [tuple(x + s for x, s in zip(r, shift)) for r, shift in zip(rows, shifts)]
+    schema = "p long, q long, r long"
+    ours, theirs = (spark.createDataFrame(side, schema) for side in (rows, moved))
+    found = {
+        compare_tables(ours.select(*order), theirs, 1.0)["status"]
+        for order in (("p", "q", "r"), ("r", "p", "q"), ("q", "r", "p"))
+    }
+    assert len(found) == 1
+
+
 def test_many_copies_of_one_row_spread_over_tiles(spark):
     ours = [("a", 1)] * 500 + [("b", i) for i in range(50)]
     theirs = [("a", 1)] * 499 + [("a", 2)] + [("b", i) for i in range(50)]
@@ -155,6 +201,8 @@ def test_snapshots(spark, tmp_path):
     assert totals.pop("schema_difference") == 0
     assert totals.pop("equivalent") is False
     assert set(totals.values()) == {1}
+    every = compare_snapshots(spark, ours, theirs)
+    assert {r["status"] for r in every.collect()} == {"missing_actual"} and every.count() == 15
     good = compare_snapshots(spark, ours, theirs, ["same", "near"], tolerance=1.0)
     assert summarize(good).first()["equivalent"] is True
 

@@ -27,32 +27,45 @@ def bridged(spark, *intervals):
 def test_nested_intervals_form_one_span(spark):
     assert bridged(
         spark,
-        (1, "2020-01-01", "2020-12-31"),
-        (1, "2020-03-01", "2020-06-30"),
-        (1, "2020-07-01", "2020-09-30"),
-    ) == [(1, 1, "2020-01-01", "2020-12-31")]
+        (1, "2011-11-20", "2013-04-02"),
+        (1, "2012-02-29", "2012-03-01"),
+        (1, "2012-12-31", "2013-01-01"),
+    ) == [(1, 1, "2011-11-20", "2013-04-02")]
 
 
 def test_long_interval_bridges_over_a_short_one(spark):
     """The end that counts is the latest so far, not that of the row before."""
     assert bridged(
         spark,
-        (1, "2020-01-01", "2020-12-31"),
-        (1, "2020-02-01", "2020-02-10"),
-        (1, "2021-01-15", "2021-03-01"),
-    ) == [(1, 1, "2020-01-01", "2021-03-01")]
+        (1, "2014-06-10", "2015-11-20"),
+        (1, "2014-07-04", "2014-07-04"),
+        (1, "2015-12-24", "2016-02-29"),
+    ) == [(1, 1, "2014-06-10", "2016-02-29")]
 
 
 def test_gap_of_46_days_is_closed(spark):
-    assert bridged(spark, (1, "2020-01-01", "2020-01-01"), (1, "2020-02-16", "2020-03-01")) == [
-        (1, 1, "2020-01-01", "2020-03-01")
-    ]
+    # Across a leap day, and across the end of a year.
+    assert bridged(
+        spark,
+        (1, "2016-01-10", "2016-02-20"),
+        (1, "2016-04-06", "2016-04-30"),
+        (2, "2018-11-01", "2018-12-05"),
+        (2, "2019-01-20", "2019-01-21"),
+    ) == [(1, 1, "2016-01-10", "2016-04-30"), (2, 1, "2018-11-01", "2019-01-21")]
 
 
 def test_gap_of_47_days_splits(spark):
-    assert bridged(spark, (1, "2020-01-01", "2020-01-01"), (1, "2020-02-17", "2020-03-01")) == [
-        (1, 1, "2020-01-01", "2020-01-01"),
-        (1, 2, "2020-02-17", "2020-03-01"),
+    assert bridged(
+        spark,
+        (1, "2016-01-10", "2016-02-20"),
+        (1, "2016-04-07", "2016-04-30"),
+        (2, "2018-11-01", "2018-12-05"),
+        (2, "2019-01-21", "2019-01-21"),
+    ) == [
+        (1, 1, "2016-01-10", "2016-02-20"),
+        (1, 2, "2016-04-07", "2016-04-30"),
+        (2, 1, "2018-11-01", "2018-12-05"),
+        (2, 2, "2019-01-21", "2019-01-21"),
     ]
 
 

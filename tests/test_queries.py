@@ -11,8 +11,9 @@ import pytest
 import __spark_entry__ as driver
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+OPTIONAL = driver.optional.queries() if driver.optional else {}
+QUERIES = {name: query for name, query in driver.queries().items() if name not in OPTIONAL}
+ORACLES = {name: sql for name, sql in driver.oracle_sql().items() if name not in OPTIONAL}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 

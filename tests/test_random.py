@@ -34,9 +34,8 @@ def test_totals_in_spans(spark, coverage, happened):
         if day and span.patid == patid and span.span_start <= day <= span.span_end
     )
     cohorts = ["m", "md", "d"]
-    for how in ({}, {"broadcast_rows": 1000}):
-        totals = totals_in_spans(daily, spans, cohorts, **how)
-        assert {(r.patid, r.cohort): r.n for r in totals.collect()} == expected
+    totals = totals_in_spans(daily, spans, cohorts)
+    assert {(r.patid, r.cohort): r.n for r in totals.collect()} == expected
 
 
 attributes = st.tuples(

@@ -170,13 +170,18 @@ def test_deaths_count_rows_of_members(spark):
     assert rows(people.deaths(counts, DP, "m")) == [(DP, 3)]
 
 
-def event_rows(spark, spans, *dates, cohort="md", **how):
+def event_rows(spark, spans, *dates, cohort="md"):
     daily = events.dispensing_days(make(spark, "dispensing", *dates))
-    return rows(totals_in_spans(daily, spans, [cohort], **how))
+    return rows(totals_in_spans(daily, spans, [cohort]))
 
 
-@pytest.mark.parametrize("how", [{}, {"broadcast_rows": 100}, {"broadcast_rows": 1}])
-def test_events_on_the_edges_of_spans(spark, how):
+def test_a_day_in_overlapping_spans_counts_once(spark):
+    spans = spans_of(spark, (1, "2020-02-01", "2020-02-10"))
+    twice = spans.unionByName(spans)
+    assert event_rows(spark, twice, (1, "2020-02-05")) == [(1, "md", 1)]
+
+
+def test_events_on_the_edges_of_spans(spark):
     spans = spans_of(
         spark,
         (1, "2020-02-01", "2020-02-10"),
@@ -196,7 +201,6 @@ def test_events_on_the_edges_of_spans(spark, how):
         (2, "2020-01-02"),
         (3, "2020-02-01"),
         (None, "2020-02-01"),
-        **how,
     )
     assert found == [(1, "md", 4)]
 

@@ -1,12 +1,15 @@
 """The whole job on seven small tables."""
 
 import os
+import time
 from datetime import date
 from decimal import Decimal
 
 import pytest
 from helpers import enrollment, make, rows, stored_scratch
 
+from cohortspark.jobs import side_by_side
+from cohortspark.plans import snapshot as job
 from cohortspark.plans.snapshot import (
     RESULTS,
     DataError,
@@ -115,6 +118,7 @@ TYPES = {
 
 
 def test_all_results(spark, tables, tmp_path):
+    before = stored_scratch(spark)
     paths = write_snapshot(tables, str(tmp_path), DP, MAX)
     assert list(paths) == list(EXPECTED) == result_names()
     for name, path in paths.items():
@@ -123,15 +127,64 @@ def test_all_results(spark, tables, tmp_path):
         types = [f"{f.name} {f.dataType.simpleString()}" for f in written.schema]
         assert ", ".join(types) == TYPES[name]
     assert sorted(os.listdir(tmp_path)) == sorted(EXPECTED)
-    assert stored_scratch(spark) == []
+    assert stored_scratch(spark) == before
     lengths = spark.read.parquet(paths["enr_pat_covlength_md"]).collect()
     assert [r["total_length"] for r in lengths] == [365, 456]
 
 
-def test_small_spans_may_be_broadcast(spark, tables, tmp_path):
-    paths = write_snapshot(tables, str(tmp_path), DP, MAX, ["dispensing"], broadcast_rows=1000)
-    for name in RESULTS["dispensing"]:
-        assert rows(spark.read.parquet(paths[name])) == EXPECTED[name]
+def test_vitals_run_only_when_named(spark, tables, tmp_path):
+    vitals = make(
+        spark,
+        "vitals",
+        (1, "2020-05-01", 170, None, 80, 120),
+        (1, "2021-05-01", 170, 70.5, 80, 120),
+        (2, "2019-01-01", None, 60.0, None, 110),
+        (9, "2020-05-01", 1, 1.0, 1, 1),
+    )
+    given = {"enrollment": tables["enrollment"], "vitals": vitals}
+    paths = write_snapshot(given, str(tmp_path), DP, MAX, ["vitals"])
+    assert list(paths) == [*RESULTS["enrollment"], "vit_pat_vitct_md"]
+    written = spark.read.parquet(paths["vit_pat_vitct_md"]).collect()
+    assert [tuple(r) for r in written] == [
+        (DP, "HGT", 1), (DP, "WGT", 1), (DP, "DIA", 1), (DP, "SYS", 2),
+    ]
+
+
+def test_nothing_is_written_where_one_target_exists(spark, tables, tmp_path, monkeypatch):
+    (tmp_path / "enr_patid_ct_md").mkdir()
+    monkeypatch.setattr(job, "snapshot", lambda *a: pytest.fail("started"))
+    with pytest.raises(FileExistsError, match="enr_patid_ct_md"):
+        write_snapshot(tables, str(tmp_path), DP, MAX, ["enrollment"])
+    assert os.listdir(tmp_path) == ["enr_patid_ct_md"]
+
+
+def test_a_failed_write_leaves_nothing(tables, tmp_path, monkeypatch):
+    write = job.write_table
+
+    def failing(rows, root, name, *more):
+        if name == "enr_pat_enrcount_md":
+            raise OSError("disk full")
+        return write(rows, root, name, *more)
+
+    monkeypatch.setattr(job, "write_table", failing)
+    with pytest.raises(OSError, match="disk full"):
+        write_snapshot(tables, str(tmp_path), DP, MAX, ["enrollment"])
+    assert os.listdir(tmp_path) == []
+
+
+def test_a_failing_job_stops_the_others(spark):
+    """The slow job would take minutes; its tasks sleep in the JVM."""
+    slow = spark.range(0, 400, 1, 4).selectExpr("java_method('java.lang.Thread', 'sleep', 500L)")
+
+    def fail():
+        time.sleep(2)
+        raise DataError("duplicate")
+
+    begun = time.monotonic()
+    with pytest.raises(DataError, match="duplicate"):
+        side_by_side(spark, 2, {"slow": lambda: slow.write.format("noop").mode("overwrite").save(),
+                                "fails": fail})
+    assert time.monotonic() - begun < 20
 
 
 def test_empty_tables_give_empty_results(spark, tmp_path):
@@ -161,7 +214,8 @@ def test_domains():
     assert needed_domains(["lab"]) == ["enrollment", "lab"]
     assert needed_domains(["mil"]) == ["mil"]
     assert len(result_names()) == 15
-    for wrong in (["vitals"], ["lab", "lab"], []):
+    assert needed_domains(["vitals"]) == ["enrollment", "vitals"]
+    for wrong in (["labs"], ["lab", "lab"], []):
         with pytest.raises(ValueError):
             needed_domains(wrong)
 
@@ -174,11 +228,12 @@ def test_domains():
     ],
 )
 def test_nothing_is_written_when_a_check_fails(spark, tables, tmp_path, broken, row, message):
+    before = stored_scratch(spark)
     dirty = {**tables, broken: tables[broken].union(make(spark, broken, row))}
     with pytest.raises(DataError, match=message):
         write_snapshot(dirty, str(tmp_path), DP, MAX)
     assert os.listdir(tmp_path) == []
-    assert stored_scratch(spark) == []
+    assert stored_scratch(spark) == before
 
 
 def test_arguments_are_checked(spark, tables):

@@ -18,6 +18,7 @@ from cohortspark.sources import (
     unsuitable_columns,
     write_table,
 )
+from cohortspark.plans import events
 from cohortspark.sources import scratch as scratch_module
 
 
@@ -38,7 +39,7 @@ def test_both_integer_widths_are_ids():
     ]
 
 
-@pytest.mark.parametrize("kind", ["date", "timestamp", "string"])
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "string"])
 def test_lab_dates_may_have_several_types(kind):
     require_schema("lab", schema(f"patid long, lab_dt {kind}, result_dt {kind}, order_dt {kind}"))
 
@@ -64,8 +65,18 @@ def test_names_match_in_any_case():
 
 
 def test_unknown_table():
-    with pytest.raises(ValueError, match="vitals"):
-        missing_columns("vitals", schema("patid long"))
+    with pytest.raises(ValueError, match="visits"):
+        missing_columns("visits", schema("patid long"))
+
+
+def test_read_timestamps_without_zone(spark, tmp_path):
+    path = str(tmp_path / "lab")
+    spark.sql(
+        "SELECT 1L AS patid, CAST(NULL AS DATE) AS lab_dt,"
+        " TIMESTAMP_NTZ '2020-01-05 23:59:00' AS result_dt, 'x' AS order_dt"
+    ).write.parquet(path)
+    days = events.lab_days(read_table(spark, "lab", path))
+    assert rows(days) == [(1, "2020-01-05", 1)]
 
 
 def test_read_keeps_contract_columns(spark, tmp_path):
@@ -119,12 +130,33 @@ def test_number_and_order_of_files(spark, tmp_path, order_by):
 
 
 def test_scratch_tables_live_in_the_shared_folder(spark):
+    before = stored_scratch(spark)
     with Scratch(spark) as scratch:
         stored = scratch.save("t", spark.range(3).selectExpr("id", "id % 2 AS side"), "side")
         assert stored.columns == ["id", "side"]
         assert rows(stored.filter("side = 1")) == [(1, 1)]
-        assert stored_scratch(spark) == [os.path.basename(scratch.path)]
-    assert stored_scratch(spark) == []
+        assert set(stored_scratch(spark)) - set(before) == {os.path.basename(scratch.path)}
+    assert stored_scratch(spark) == before
+
+
+def test_a_cluster_does_not_use_its_machines_own_disks(spark, monkeypatch):
+    monkeypatch.setattr(scratch_module, "_is_local", lambda session: False)
+
+    class Cluster:
+        _jvm, _jsc = spark._jvm, spark._jsc
+
+        def __init__(self, configured):
+            self.conf = {"spark.checkpoint.dir": configured}
+
+    with pytest.raises(RuntimeError, match="own disk"):
+        scratch_module.shared_folder(Cluster("/tmp/x"))
+    assert scratch_module.shared_folder(Cluster("file:/mnt/x/")) == "file:/mnt/x"
+
+
+def test_names_of_stored_tables_may_repeat(spark):
+    with Scratch(spark) as scratch:
+        one, two = (scratch.save("t", spark.range(n)) for n in (1, 2))
+        assert (one.count(), two.count()) == (1, 2)
 
 
 def test_a_cluster_has_to_name_the_shared_folder():

@@ -23,7 +23,7 @@ def _duckdb_add(day: str, days: str) -> str:
     return f"CAST({day} + CAST({days} AS INTEGER) AS DATE)"
 
 
-def _definitions(add, text: str) -> dict[str, str]:
+def _definitions(add, text: str, stamp: str) -> dict[str, str]:
     ordered = "CAST(o_orderdate AS DATE)"
     epoch = "DATE '1996-01-01'"
     return {
@@ -52,13 +52,13 @@ def _definitions(add, text: str) -> dict[str, str]:
         "encounter": f"""
             SELECT user_id AS patid, {add(epoch, "(event_id * 37) % 2000")} AS adate
             FROM events""",
-        # A date, a timestamp and a text column.
+        # A date, a timestamp (without zone, where there is such a type) and a text column.
         "lab": f"""
             SELECT user_id AS patid,
                    CASE WHEN event_id % 4 = 0
                         THEN {add(epoch, "(event_id * 41) % 2000")} END AS lab_dt,
                    CASE WHEN event_id % 3 = 0
-                        THEN CAST({add(epoch, "(event_id * 43) % 2000")} AS TIMESTAMP)
+                        THEN CAST({add(epoch, "(event_id * 43) % 2000")} AS {stamp})
                    END AS result_dt,
                    CASE WHEN event_id % 11 = 0 THEN 'bad' WHEN event_id % 7 = 0 THEN NULL
                         ELSE CAST({add(epoch, "(event_id * 47) % 2000")} AS {text})
@@ -80,7 +80,7 @@ def _definitions(add, text: str) -> dict[str, str]:
                    CAST(CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderkey % 70 - 2 END
                         AS INTEGER) AS age,
                    {ordered} AS adate
-            FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linestatus = 'F'""",
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
         "vitals": f"""
             SELECT user_id AS patid, {add(epoch, "(event_id * 53) % 2000")} AS measure_date,
                    CASE WHEN event_id % 5 <> 0 THEN 150 + event_id % 50 END AS ht,
@@ -102,8 +102,8 @@ def _definitions(add, text: str) -> dict[str, str]:
     }
 
 
-SPARK_SQL = _definitions(_spark_add, "string")
-DUCKDB_SQL = _definitions(_duckdb_add, "varchar")
+SPARK_SQL = _definitions(_spark_add, "string", "timestamp_ntz")
+DUCKDB_SQL = _definitions(_duckdb_add, "varchar", "timestamp")
 SOURCES = {
     "enrollment": ("orders",),
     "demographic": ("customer",),
