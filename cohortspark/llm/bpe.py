@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from cohortspark.llm.session import releasing
+
 # Letters, digits and white space up to U+017F, as Unicode has them. Texts beyond
 # take the general pattern.
 _L = "A-Za-zªµºÀ-ÖØ-öø-ſ"
@@ -28,8 +30,8 @@ _WORDS = re.compile(f"[{_L}]+|'(?:s|t|re|ve|m|ll|d)|[{_N}]|[^{_S}{_L}{_N}]+")
 _LOWER_APART = re.compile("[^\u0000-\u001b -įı-ſ]")  # texts with others go to the library
 _SPREAD = re.compile(f"[{_S}][{_S}]|\\A[{_S}]|[{_S}]\\Z|[\t\v\f\r\u0085\u00a0]")
 
-BATCH_BYTES = 16 << 20  # of text whose distinct pieces are replayed together
-CACHE_PIECES = 500_000  # pieces that each of a Python worker's caches remembers at most
+BATCH_BYTES = 8 << 20  # of text whose distinct pieces are replayed together
+CACHE_PIECES = 300_000  # pieces that each of a Python worker's caches remembers at most
 _NONE = np.int32(2**31 - 1)
 
 
@@ -309,7 +311,7 @@ def small_batches(
     batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES
 ) -> Iterator[tuple[pa.Array, list[str]]]:
     """doc_ids and texts (null: empty) in slices of about ``most`` bytes, or one longer text."""
-    for batch in batches:
+    for batch in releasing(batches):
         sizes = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(False)
         cut, total = 0, 0
         for i, size in enumerate(sizes.tolist()):

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortspark.llm.session import releasing
 from cohortspark.sources.scratch import Scratch
 
 MIN_CHARS = 40
@@ -91,7 +92,7 @@ def _long_lines(documents: DataFrame, min_chars: int) -> DataFrame:
     """doc_id and the two halves of the hash of each distinct long line of every document."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in releasing(batches):
             rows, keys = [], []
             for i, text in enumerate(batch.column("text")):
                 distinct = set(line_keys(text.as_py() or "", min_chars))
@@ -244,7 +245,7 @@ def drop_repeated_lines(
     ).drop(f"{taken}_id")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in releasing(batches):
             texts = batch.column("text").to_pylist()
             n_lines = [1 + t.count("\n") if t else 1 for t in texts]
             n_dropped = [0] * len(texts)

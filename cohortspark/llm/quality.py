@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortspark.llm.session import releasing
 from cohortspark.sources.scratch import Scratch
 
 MIN_WORDS = 10
@@ -171,7 +172,7 @@ def document_counts(documents: DataFrame) -> DataFrame:
     """doc_id and the statistics of every text; null counts as empty."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in releasing(batches):
             columns = [pa.array(c) for c in _batch_counts(batch).T]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *_KEPT])
 
@@ -183,7 +184,7 @@ def document_counts(documents: DataFrame) -> DataFrame:
 
 def _scored(counts: DataFrame, forest: Forest) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in releasing(batches):
             values = np.stack([batch.column(c).to_numpy() for c in _KEPT], 1)
             columns = [*batch.columns, pa.array(forest.scores(features(values)))]
             columns.append(pa.array(base_failed(values)))
@@ -264,7 +265,7 @@ def keep_good(documents: DataFrame, labels: DataFrame | None, scratch: Scratch)
     model = fit_quality(counts, labels, scratch)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in releasing(batches):
             yield batch.filter(pa.array(~model.rejects(_batch_counts(batch))))
 
     return documents.mapInArrow(keep, documents.schema)

@@ -21,14 +21,14 @@ from cohortspark.llm import (
     shingle_join,
     url_rules,
 )
-from cohortspark.llm.session import show_package
+from cohortspark.llm.session import prepare
 from cohortspark.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    show_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortspark.llm.components import components
+from cohortspark.llm.session import releasing
 from cohortspark.sources.scratch import Scratch
 
 WORDS = 5  # of a shingle, unless the caller says otherwise
 PERCENT = 80  # least similarity, in hundredths
-BLOCK_SHINGLES = 3_000_000  # of a block of documents that are compared in one task
+BLOCK_SHINGLES = 1_000_000  # of a block of documents that are compared in one task
 LEAF = 32  # documents of a leaf
 FAN = 8  # children of an inner node
-_KNOWN_WORDS = 500_000  # hashes of words that a worker remembers
+_KNOWN_WORDS = 200_000  # hashes of words that a worker remembers
 
 
 class _WordHashes(dict):
@@ -220,7 +221,7 @@ def document_sets(documents: DataFrame, words: int, percent: int) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = size_classes(percent, 2**31)
-        for batch in batches:
+        for batch in releasing(batches):
             counts, digests, keys, ends = [], [], [], [0]
             for text in batch.column("text"):
                 tokens = shingle_set(text.as_py() or "", words)
@@ -240,6 +241,7 @@ def document_sets(documents: DataFrame, words: int, percent: int) -> DataFrame:
                 ],
                 ["doc_id", "n_shingles", "d1", "d2", "keys"],
             )
+        _HASHES.clear()
 
     rows = documents.select("doc_id", "text").filter("doc_id IS NOT NULL")
     return rows.mapInArrow(
