@@ -147,6 +147,54 @@ _OP4_SQL = """
     FROM whole WHERE text NOT IN (SELECT text FROM proper) GROUP BY text"""
 
 
+_OP2_SQL = """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+          AND len([x FOR x IN embedding IF x <> 0]) > 0),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM usable AS a JOIN usable AS b
+            ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+    reached(a, b) AS (
+        SELECT DISTINCT a, a FROM links
+        UNION
+        SELECT r.a, l.b FROM reached AS r JOIN links AS l ON r.b = l.a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id,
+           vec_id = coalesce(c, vec_id) AS kept
+    FROM embeddings
+    LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+    LEFT JOIN (SELECT a AS vec_id, min(b) AS c FROM reached GROUP BY a) USING (vec_id)"""
+
+_OP8_SQL = r"""
+    WITH RECURSIVE cut AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS words
+        FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(words[place:place + 2], ' ') AS shingle
+        FROM cut, LATERAL unnest(range(1, greatest(len(words) - 1, 2))) AS t(place)
+        WHERE len(words) > 0),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+        FROM shingles AS a JOIN shingles AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id),
+    links AS (
+        SELECT a, b FROM common
+        JOIN sizes AS p ON p.doc_id = a JOIN sizes AS q ON q.doc_id = b
+        WHERE 100 * common.n >= 90 * (p.n + q.n - common.n)),
+    reached(a, b) AS (
+        SELECT DISTINCT a, a FROM links
+        UNION
+        SELECT r.a, l.b FROM reached AS r JOIN links AS l ON r.b = l.a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, doc_id) AS component_id
+    FROM documents
+    LEFT JOIN sizes USING (doc_id)
+    LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM reached GROUP BY a) USING (doc_id)"""
+
 _OP10_SQL = r"""
     WITH lines AS (
         SELECT doc_id, place, list_extract(parts, place) AS line
@@ -169,7 +217,13 @@ _OP10_SQL = r"""
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that it can express."""
-    sql = {"op3_url_filter": _OP3_SQL, "op4_chat_format": _OP4_SQL, "op10_line_dedup": _OP10_SQL}
+    sql = {
+        "op2_embedding_dedup": _OP2_SQL,
+        "op3_url_filter": _OP3_SQL,
+        "op4_chat_format": _OP4_SQL,
+        "op8_jaccard_join": _OP8_SQL,
+        "op10_line_dedup": _OP10_SQL,
+    }
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
