@@ -147,6 +147,71 @@ _OP4_SQL = """
     FROM whole WHERE text NOT IN (SELECT text FROM proper) GROUP BY text"""
 
 
+def _op1_sql() -> str:
+    """Every phrase searched from every word, instead of from its rarest one."""
+    kept = {
+        p: [(w, i) for i, w in enumerate(p.split()) if w not in licenses.SKIPPED]
+        for p in dict.fromkeys(
+            [*licenses.BASE, *(p for t in licenses.TEMPLATES for p, _ in t.phrases)]
+        )
+    }
+    name = {p: f"p{i}" for i, p in enumerate(kept)}
+    vocabulary = sorted({w for words in kept.values() for w, _ in words})
+    idf = ", ".join(
+        f"ln((count(*) + 1) / (count(*) FILTER (list_contains(words, '{w}')) + 1)) + 1e-9 AS idf_{w}"
+        for w in vocabulary
+    )
+    places = ", ".join(
+        f"[i FOR i IN range(0, len(words) - {len(p.split()) - 1}) IF "
+        + " AND ".join(f"words[i + {k + 1}] = '{w}'" for w, k in words)
+        + f"] AS {name[p]}"
+        for p, words in kept.items()
+    )
+
+    def share(t: licenses.Template) -> str:
+        if len(t.phrases) == 1:
+            return f"CASE WHEN len({name[t.phrases[0][0]]}) > 0 THEN 1.0 ELSE 0.0 END"
+        weight = {p: "(" + " + ".join(f"idf_{w}" for w, _ in kept[p]) + ")" for p, _ in t.phrases}
+        total = "(" + " + ".join(weight.values()) + ")"
+        around = []
+        for p, o in t.phrases:
+            parts = " + ".join(
+                f"CASE WHEN len([u FOR u IN {name[q]} IF abs((u - {k}) - (s - {o}))"
+                f" <= {licenses.SLACK}]) > 0 THEN {weight[q]} / {total} ELSE 0.0 END"
+                for q, k in t.phrases
+            )
+            around.append(f"coalesce(list_max([{parts} FOR s IN {name[p]}]), 0.0)")
+        return f"greatest({', '.join(around)})"
+
+    shares = ", ".join(f"CAST({share(t)} AS DOUBLE)" for t in licenses.TEMPLATES)
+    base = ", ".join(
+        f"CASE WHEN len({name[p]}) > 0 THEN '{label}' END" for p, label in licenses.BASE.items()
+    )
+    whole = ", ".join(
+        f"CASE WHEN shares[{i + 1}] > 1 - 1e-6 THEN '{t.label}' END"
+        for i, t in enumerate(licenses.TEMPLATES)
+    )
+    at = " || ".join(name[p] for p in licenses.BASE)
+    listed = "array_to_string(list_sort(list_distinct([x FOR x IN {} IF x IS NOT NULL])), ',')"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+        WITH cut AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), '{upper}', '{lower}'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        idf AS (SELECT {idf} FROM cut),
+        found AS (SELECT doc_id, len(words) AS n_words, {places} FROM cut),
+        shared AS (
+            SELECT *, {at} AS at, [{base}] AS base_found, [{shares}] AS shares FROM found, idf)
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(at) AS BIGINT) AS n_base,
+               list_min(at) AS first_word, list_max(at) AS last_word,
+               {listed.format("base_found")} AS base_labels,
+               {listed.format(f"(base_found || [{whole}])")} AS labels,
+               least(list_max(shares), 1.0) AS score
+        FROM shared"""
+
+
 _OP2_SQL = """
     WITH RECURSIVE usable AS (
         SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
@@ -218,6 +283,7 @@ _OP10_SQL = r"""
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that it can express."""
     sql = {
+        "op1_license_scan": _op1_sql(),
         "op2_embedding_dedup": _OP2_SQL,
         "op3_url_filter": _OP3_SQL,
         "op4_chat_format": _OP4_SQL,

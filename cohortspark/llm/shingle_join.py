@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from cohortspark.sources.scratch import Scratch
 
 WORDS = 5  # of a shingle, unless the caller says otherwise
 PERCENT = 80  # least similarity, in hundredths
-BLOCK_SHINGLES = 1_000_000  # of a block of documents that are compared in one task
+BLOCK_SHINGLES = 3_000_000  # of a block of documents that are compared in one task
 LEAF = 32  # documents of a leaf
 FAN = 8  # children of an inner node
 _KNOWN_WORDS = 200_000  # hashes of words that a worker remembers
@@ -65,8 +66,8 @@ def part_keys(tokens: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarra
 
     Sets of classes k and k+1 that are linked differ in at most d tokens, d known from k. Tokens
     are dealt to d + 1 parts by hash, so at least one part is the same in both; its key is the
-    hash of its tokens. Some more parts are made, and as many empty ones left out, because what
-    is empty says nothing.
+    hash of its tokens. Some more parts are made (four deviations above the number of empty ones
+    to be expected), and as many empty ones left out, because what is empty says nothing.
     """
     if not len(tokens):
         return np.empty(0, np.int64)
@@ -74,8 +75,10 @@ def part_keys(tokens: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarra
     keys = []
     for k in {own, max(own - 1, 0)}:
         differing = (100 - percent) * (int(bounds[k + 1]) - 1) // percent
-        spare = 0 if not differing else 1 if differing < 8 else 2
-        parts = differing + 1 + spare
+        parts = differing + 1
+        empty = parts * math.exp(-int(bounds[k]) / parts)
+        spare = int(empty + 4 * math.sqrt(empty)) + 1 if differing else 0
+        parts += spare
         part = (tokens >> np.uint64(16)) % np.uint64(parts)
         order = np.argsort(part, kind="stable")
         number = part[order]
@@ -216,37 +219,47 @@ class SignatureJoin:
         return self.links
 
 
-def document_sets(documents: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit digest of the set (d1, d2) and its part keys."""
+def _described(documents: DataFrame, schema: str, describe) -> DataFrame:
+    """Rows made of the texts of every batch by ``describe``."""
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds = size_classes(percent, 2**31)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in releasing(batches):
-            counts, digests, keys, ends = [], [], [], [0]
-            for text in batch.column("text"):
-                tokens = shingle_set(text.as_py() or "", words)
-                counts.append(len(tokens))
-                digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
-                keys.append(part_keys(tokens, percent, bounds))
-                ends.append(ends[-1] + len(keys[-1]))
-            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(counts, pa.int64()),
-                    pa.array(halves[:, 0]),
-                    pa.array(halves[:, 1]),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                ],
-                ["doc_id", "n_shingles", "d1", "d2", "keys"],
-            )
+            texts = (text.as_py() or "" for text in batch.column("text"))
+            yield describe(batch.column("doc_id"), texts)
         _HASHES.clear()
 
     rows = documents.select("doc_id", "text").filter("doc_id IS NOT NULL")
-    return rows.mapInArrow(
-        describe, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>"
-    )
+    return rows.mapInArrow(run, schema)
+
+
+def document_sets(documents: DataFrame, words: int) -> DataFrame:
+    """doc_id, n_shingles and a 128-bit digest of the set (d1, d2)."""
+
+    def describe(doc_ids: pa.Array, texts: Iterator[str]) -> pa.RecordBatch:
+        counts, digests = [], []
+        for text in texts:
+            tokens = shingle_set(text, words)
+            counts.append(len(tokens))
+            digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
+        halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        columns = [doc_ids, pa.array(counts, pa.int64()), *map(pa.array, halves.T.copy())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "d1", "d2"])
+
+    return _described(documents, "doc_id long, n_shingles long, d1 long, d2 long", describe)
+
+
+def document_keys(documents: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id and key, a row for every part key of every document."""
+    bounds = size_classes(percent, 2**31)
+
+    def describe(doc_ids: pa.Array, texts: Iterator[str]) -> pa.RecordBatch:
+        keys = [part_keys(shingle_set(text, words), percent, bounds) for text in texts]
+        rows = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        flat = np.concatenate([np.empty(0, np.int64), *keys])
+        columns = [doc_ids.take(pa.array(rows, pa.int64())), pa.array(flat)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "key"])
+
+    return _described(documents, "doc_id long, key long", describe)
 
 
 def _block_joiner(words: int, percent: int):
@@ -283,6 +296,7 @@ def jaccard_components(
 
     1. Every set yields part keys, of which linked sets share at least one (``part_keys``).
        Documents with a key in common are joined to the smallest of them: candidate clusters.
+       (Keys are made in a second pass over the texts; stored, they would be the largest table.)
     2. Equal sets are represented by the smallest doc_id.
     3. Clusters are joined by signature trees, several small ones to a task; a cluster of more
        than ``block_shingles`` is cut into blocks in order of size, and each pair of blocks
@@ -292,10 +306,10 @@ def jaccard_components(
     doc_id must be a long; rows that repeat a doc_id count as one document if their texts are
     equal. Null and empty texts and those without words have no shingles and no links.
     """
-    sets = scratch.save("sets", document_sets(documents, words, percent))
+    sets = scratch.save("sets", document_sets(documents, words))
     together = Window.partitionBy("key")
     shared = (
-        sets.select("doc_id", F.explode("keys").alias("key"))
+        document_keys(documents, words, percent)
         .withColumns({"a": F.min("doc_id").over(together), "n": F.count("*").over(together)})
         .filter("n > 1 AND a <> doc_id")
     )
