@@ -160,13 +160,14 @@ class Merges:
 class _Cache:
     """Bytes of the ids of pieces, remembered within a bound: the older half is dropped."""
 
-    def __init__(self) -> None:
+    def __init__(self, times: int = 1) -> None:
+        self.times = times
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def holding(self, wanted: set[str], make) -> dict[str, bytes]:
         """A dictionary with all of ``wanted``; ``make`` gives the bytes of a list of others."""
-        if len(self.recent) > CACHE_PIECES // 2:
+        if len(self.recent) > self.times * CACHE_PIECES // 2:
             self.recent, self.older = {}, self.recent
         new = wanted.difference(self.recent)
         for known in new.intersection(self.older):
@@ -195,7 +196,7 @@ class ByteCodec:
         self.bytes_of = {rank: whole for whole, rank in ranks.items()}
         self.general = regex.compile(pattern)
         self.line_end = np.int32(single[10]).tobytes()
-        self.pieces, self.first, self.spaced = _Cache(), _Cache(), _Cache()
+        self.pieces, self.first, self.spaced = _Cache(), _Cache(), _Cache(2)
 
     def split(self, text: str) -> list[str]:
         return (self.general if _BEYOND.search(text) else _PIECES).findall(text)

@@ -203,9 +203,10 @@ def _op1_sql() -> str:
         idf AS (SELECT {idf} FROM cut),
         found AS (SELECT doc_id, len(words) AS n_words, {places} FROM cut),
         shared AS (
-            SELECT *, {at} AS at, [{base}] AS base_found, [{shares}] AS shares FROM found, idf)
-        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(at) AS BIGINT) AS n_base,
-               list_min(at) AS first_word, list_max(at) AS last_word,
+            SELECT *, {at} AS spots, [{base}] AS base_found, [{shares}] AS shares
+            FROM found, idf)
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(spots) AS BIGINT) AS n_base,
+               list_min(spots) AS first_word, list_max(spots) AS last_word,
                {listed.format("base_found")} AS base_labels,
                {listed.format(f"(base_found || [{whole}])")} AS labels,
                least(list_max(shares), 1.0) AS score
