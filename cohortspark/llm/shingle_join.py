@@ -149,12 +149,23 @@ class SignatureJoin:
         for row, tokens in zip(self.signatures, sets):
             bit = tokens & np.uint64(bits - 1)
             np.bitwise_or.at(row, bit >> np.uint64(6), np.uint64(1) << (bit & np.uint64(63)))
+        # An eighth as long: enough to tell most pairs apart.
+        self.short = self.signatures
+        if bits >= 1024:
+            self.short = np.bitwise_or.reduce(self.signatures.reshape(len(sets), 8, -1), axis=1)
+        self.ones = {
+            id(x): np.bitwise_count(x).sum(-1, dtype=np.int64)
+            for x in (self.signatures, self.short)
+        }
         self.label = np.arange(len(sets))
         self.links: list[tuple[int, int]] = []
 
-    def _possible(self, size_a, size_b, only_a, only_b):
-        """Whether sizes, given tokens that only one side has, allow enough overlap."""
-        p = self.percent
+    def _possible(self, a: np.ndarray, b: np.ndarray, signatures: np.ndarray) -> np.ndarray:
+        """Whether sizes, and the bits that only one side has, allow enough overlap."""
+        p, size_a, size_b = self.percent, self.sizes[a], self.sizes[b]
+        both = np.bitwise_count(signatures[a] & signatures[b]).sum(-1, dtype=np.int64)
+        ones = self.ones[id(signatures)]
+        only_a, only_b = ones[a] - both, ones[b] - both
         return (100 * (size_a - only_a) >= p * (size_b + only_a)) & (
             100 * (size_b - only_b) >= p * (size_a + only_b)
         )
@@ -168,16 +179,13 @@ class SignatureJoin:
         )
 
     def _compare(self, left: np.ndarray, right: np.ndarray, same: bool) -> None:
-        a, b = self.signatures[left][:, None, :], self.signatures[right][None, :, :]
-        only_a = np.bitwise_count(a & ~b).sum(-1, dtype=np.int64)
-        only_b = np.bitwise_count(b & ~a).sum(-1, dtype=np.int64)
-        maybe = self._possible(
-            self.sizes[left][:, None], self.sizes[right][None, :], only_a, only_b
-        )
+        maybe = self._possible(left[:, None], right[None, :], self.short)
         if same:
             maybe = np.triu(maybe, 1)
-        for i, j in zip(*np.nonzero(maybe)):
-            x, y = int(left[i]), int(right[j])
+        i, j = np.nonzero(maybe)
+        x_of, y_of = left[i], right[j]
+        maybe = self._possible(x_of, y_of, self.signatures)
+        for x, y in zip(x_of[maybe].tolist(), y_of[maybe].tolist()):
             if self.label[x] == self.label[y]:
                 continue
             both = len(self.sets[x]) + len(self.sets[y])
