@@ -19,7 +19,7 @@ MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 TREES, TREE_ROWS = 100, 256
 SAMPLE_ROWS = 8192  # labelled good documents (or any, without labels) the forest is grown from
-MARGIN = 0.5  # standard deviations over all kinds of documents
+MARGIN = 0.5  # standard deviations over all documents
 MAX_GOOD_REJECTED = 0.002  # share of labelled good documents that the threshold may reject
 DEFAULT_THRESHOLD = 0.60  # without labelled rows
 BINS = 2000  # of scores, when the threshold is chosen
@@ -84,6 +84,16 @@ def features(counts: np.ndarray) -> np.ndarray:
     return np.stack([*map(np.sqrt, rates), np.log(chars / words)], axis=1)
 
 
+def feature_spread(counts: DataFrame) -> np.ndarray:
+    """Standard deviation of every one of the ``features`` over all rows."""
+    words, chars = F.greatest("n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
+    rates = (("n_symbols", words), ("n_repeat_words", words), ("n_upper", chars), ("n_marks", words))
+    columns = [F.sqrt(F.col(c) / per) for c, per in rates] + [F.log(chars / words)]
+    row = counts.agg(*[F.stddev_pop(c) for c in columns]).first()
+    # Sums of doubles depend on the order of tasks; the forest should not.
+    return np.asarray([float(f"{x or 0.0:.9g}") for x in row])
+
+
 def base_failed(counts: np.ndarray) -> np.ndarray:
     words, repeats = counts[:, 0], counts[:, 4]
     return (words < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * words)
@@ -199,7 +209,9 @@ def fit_quality(counts: DataFrame, labels: DataFrame | None, scratch: Scratch) -
     """Grow the forest and choose the threshold.
 
     The forest grows from at most ``SAMPLE_ROWS`` documents, those of smallest hash among the
-    ones labelled good that pass the fixed rules (among all documents without such labels).
+    ones labelled good that pass the fixed rules (among all documents without such labels). How
+    far splits may fall outside a node's values follows from all documents, also those that fail
+    the fixed rules: what only one of them has still gets a margin.
     The threshold is the score above which most labelled bad documents lie while at most
     ``MAX_GOOD_REJECTED`` of all labelled good ones do; it is read from a histogram of every
     labelled row.
@@ -218,11 +230,10 @@ def fit_quality(counts: DataFrame, labels: DataFrame | None, scratch: Scratch) -
         found = np.asarray([tuple(r) for r in few.collect()], np.int64).reshape(-1, len(_KEPT))
         return features(found[~base_failed(found)])
 
-    rows, every = sample(known.filter("quality = 1")), sample(counts)
+    rows = sample(known.filter("quality = 1"))
     if not len(rows):
-        rows = every
-    width = rows.shape[1]
-    forest = Forest.grow(rows, MARGIN * every.std(0) if len(every) else np.zeros(width))
+        rows = sample(counts)
+    forest = Forest.grow(rows, MARGIN * feature_spread(counts))
     binned = (
         _scored(known, forest)
         .filter("NOT base_failed")

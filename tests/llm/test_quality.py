@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortspark.llm import quality
@@ -82,3 +83,30 @@ def test_isolation_sets_far_points_apart():
     forest = quality.Forest.grow(rows, np.full(5, 0.5))
     assert forest.scores(np.full((1, 5), 9.0))[0] > forest.scores(rows).max()
     assert quality._mean_path(256) == pytest.approx(10.24, abs=0.1)
+
+
+def test_margins_come_from_all_documents(spark, scratch):
+    """One document with symbols in 60,000: no sample of good ones has any."""
+    rng = np.random.default_rng(3)
+    n = 60_000
+    words = rng.integers(0, 400, n)
+    columns = {c: np.zeros(n, np.int64) for c in quality._KEPT} | {
+        "n_words": words,
+        "word_chars": words * rng.integers(3, 9, n),
+        "n_repeat_words": rng.integers(0, 1 + words // 8),
+        "n_upper": rng.integers(0, 1 + words // 5),
+        "n_marks": rng.integers(0, 1 + words // 20),
+    }
+    odd = n - 1
+    columns["n_words"][odd], columns["n_symbols"][odd] = 200, 90
+    table = pa.table({"doc_id": np.arange(n)} | columns)
+    counts = scratch.save("given", spark.createDataFrame(table))
+    rows = np.stack(list(columns.values()), 1)
+    spread = quality.features(rows).std(0)
+    assert quality.feature_spread(counts) == pytest.approx(spread, rel=1e-6)
+    good = spark.range(0, odd, 7).selectExpr("id AS doc_id", "1 AS quality")
+    forest = quality.fit_quality(counts, good, scratch).forest
+    plain = rows[odd].copy()
+    plain[2] = 0
+    score, usual = forest.scores(quality.features(np.stack((rows[odd], plain))))
+    assert score > usual + 0.05
