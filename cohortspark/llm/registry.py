@@ -74,6 +74,11 @@ def _op8(spark: SparkSession, d: str) -> DataFrame:
     return shingle_join.jaccard_components(documents, Scratch(spark), words=3, percent=90)
 
 
+def _op8_links(spark: SparkSession, d: str) -> DataFrame:
+    documents = _table(spark, d, "documents", "doc_id", "text")
+    return shingle_join.jaccard_links(documents, Scratch(spark), words=3, percent=90)
+
+
 def _op9(spark: SparkSession, d: str) -> DataFrame:
     documents = _table(spark, d, "documents", "doc_id", "text")
     return ctw.score_documents(documents, Scratch(spark))
@@ -87,7 +92,7 @@ def _op10(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    """One query per operator, over its whole table."""
+    """One query per operator, over its whole table, and op8 again with numbers of links."""
     return {
         "op1_license_scan": _op1,
         "op2_embedding_dedup": _op2,
@@ -97,6 +102,7 @@ def queries() -> dict[str, Query]:
         "op6_quality_rules": _op6,
         "op7_best_fit_packing": _op7,
         "op8_jaccard_join": _op8,
+        "op8_jaccard_links": _op8_links,
         "op9_context_tree_score": _op9,
         "op10_line_dedup": _op10,
         "pipeline": corpus_pipeline.run,
@@ -261,6 +267,17 @@ _OP8_SQL = r"""
     LEFT JOIN sizes USING (doc_id)
     LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM reached GROUP BY a) USING (doc_id)"""
 
+_OP8_LINKS_SQL = (
+    _OP8_SQL.partition("    SELECT doc_id, coalesce(n, 0) AS n_shingles")[0]
+    + """
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(k, 0) AS n_links,
+           coalesce(c, doc_id) AS component_id
+    FROM documents
+    LEFT JOIN sizes USING (doc_id)
+    LEFT JOIN (SELECT a AS doc_id, count(*) AS k FROM links GROUP BY a) USING (doc_id)
+    LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM reached GROUP BY a) USING (doc_id)"""
+)
+
 _OP10_SQL = r"""
     WITH lines AS (
         SELECT doc_id, place, list_extract(parts, place) AS line
@@ -289,6 +306,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_url_filter": _OP3_SQL,
         "op4_chat_format": _OP4_SQL,
         "op8_jaccard_join": _OP8_SQL,
+        "op8_jaccard_links": _OP8_LINKS_SQL,
         "op10_line_dedup": _OP10_SQL,
     }
     if corpus_pipeline.ORACLE_SQL:

@@ -20,6 +20,7 @@ PERCENT = 80  # least similarity, in hundredths
 BLOCK_SHINGLES = 3_000_000  # of a block of documents that are compared in one task
 LEAF = 32  # documents of a leaf
 FAN = 8  # children of an inner node
+_COLUMNS = 4096  # tokens of two leaves that are looked at at once
 _KNOWN_WORDS = 200_000  # hashes of words that a worker remembers
 
 
@@ -133,16 +134,20 @@ class _Tree:
 
 
 class SignatureJoin:
-    """Links between sets, as a forest: links inside what is connected already are not sought.
+    """Links between sets, as a forest that connects the same sets.
 
     Trees are traversed in pairs of nodes. A pair is left out when sizes or bitmaps show that no
     two members can overlap enough (a bit that all sets of one node have and no set of the other
-    is a token that differs), or when all its members are connected. What remains is compared
-    set by set, first by bitmaps, then exactly.
+    is a token that differs). What remains is compared set by set, first by bitmaps, then exactly.
+
+    With ``copies``, how many documents each set stands for, every link is found, and
+    ``counts`` has for each set the documents behind the sets it is linked with. Without, links
+    inside what is connected already are not sought.
     """
 
-    def __init__(self, sets: list[np.ndarray], percent: int):
-        self.sets, self.percent = sets, percent
+    def __init__(self, sets: list[np.ndarray], percent: int, copies: np.ndarray | None = None):
+        self.sets, self.percent, self.copies = sets, percent, copies
+        self.counts = np.zeros(len(sets), np.int64)
         self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
         bits = 1 << int(np.clip(8 * self.sizes.max(initial=1) - 1, 255, 65535)).bit_length()
         self.signatures = np.zeros((len(sets), bits // 64), np.uint64)
@@ -178,6 +183,31 @@ class SignatureJoin:
             a[2] + only_b
         )
 
+    def _shared(self, x: int, y: int) -> int:
+        return len(np.intersect1d(self.sets[x], self.sets[y], assume_unique=True))
+
+    def _common(self, x_of: np.ndarray, y_of: np.ndarray) -> np.ndarray:
+        """Number of tokens that both sets of every pair have."""
+        left, i = np.unique(x_of, return_inverse=True)
+        right, j = np.unique(y_of, return_inverse=True)
+        members = np.concatenate((left, right))
+        if len(x_of) <= len(members):
+            pairs = zip(x_of.tolist(), y_of.tolist())
+            return np.fromiter((self._shared(x, y) for x, y in pairs), np.int64, len(x_of))
+        # Many pairs of few sets: products of 0/1 matrices, some thousand tokens at a time.
+        tokens = np.concatenate([self.sets[k] for k in members.tolist()])
+        owner = np.repeat(np.arange(len(members)), self.sizes[members])
+        order = np.argsort(tokens)
+        tokens, owner = tokens[order], owner[order]
+        column = np.cumsum(np.concatenate(([False], tokens[1:] != tokens[:-1])))
+        both = np.zeros((len(left), len(right)), np.int64)
+        edges = np.searchsorted(column, np.arange(0, column[-1] + 1 + _COLUMNS, _COLUMNS))
+        for number, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+            has = np.zeros((len(members), column[b - 1] + 1 - number * _COLUMNS), np.float32)
+            has[owner[a:b], column[a:b] - number * _COLUMNS] = 1
+            both += (has[: len(left)] @ has[len(left) :].T).astype(np.int64)
+        return both[i, j]
+
     def _compare(self, left: np.ndarray, right: np.ndarray, same: bool) -> None:
         maybe = self._possible(left[:, None], right[None, :], self.short)
         if same:
@@ -185,21 +215,31 @@ class SignatureJoin:
         i, j = np.nonzero(maybe)
         x_of, y_of = left[i], right[j]
         maybe = self._possible(x_of, y_of, self.signatures)
-        for x, y in zip(x_of[maybe].tolist(), y_of[maybe].tolist()):
+        x_of, y_of = x_of[maybe], y_of[maybe]
+        if self.copies is not None and len(x_of):
+            common = self._common(x_of, y_of)
+            union = self.sizes[x_of] + self.sizes[y_of] - common
+            linked = 100 * common >= self.percent * union
+            x_of, y_of = x_of[linked], y_of[linked]
+            np.add.at(self.counts, x_of, self.copies[y_of])
+            np.add.at(self.counts, y_of, self.copies[x_of])
+        for x, y in zip(x_of.tolist(), y_of.tolist()):
             if self.label[x] == self.label[y]:
                 continue
-            both = len(self.sets[x]) + len(self.sets[y])
-            common = len(np.intersect1d(self.sets[x], self.sets[y], assume_unique=True))
-            if 100 * common >= self.percent * (both - common):
-                self.links.append((x, y))
-                self.label[self.label == self.label[y]] = self.label[x]
+            if self.copies is None:
+                both = len(self.sets[x]) + len(self.sets[y])
+                common = self._shared(x, y)
+                if 100 * common < self.percent * (both - common):
+                    continue
+            self.links.append((x, y))
+            self.label[self.label == self.label[y]] = self.label[x]
 
     def _descend(self, s: _Tree, t: _Tree, ls: int, a: int, lt: int, b: int) -> None:
         left, right = s.at(ls, a), t.at(lt, b)
         same = s is t and ls == lt and a == b
         label = self.label[left[0]]
-        if (self.label[left] == label).all() and (self.label[right] == label).all():
-            if len(left) > 1 or not same:
+        if self.copies is None and (self.label[left] == label).all():
+            if (self.label[right] == label).all() and (len(left) > 1 or not same):
                 return
         if not same and self._apart(s.info[ls][a], t.info[lt][b]):
             return
@@ -220,7 +260,7 @@ class SignatureJoin:
                 self._descend(s, t, ls, a, lt - 1, d)
 
     def run(self, left: np.ndarray, right: np.ndarray | None = None) -> list[tuple[int, int]]:
-        """Links among ``left``, or between ``left`` and ``right``."""
+        """Links that connect ``left``, or ``left`` with ``right``."""
         s = _Tree(left, self.signatures, self.sizes)
         t = s if right is None else _Tree(right, self.signatures, self.sizes)
         self._descend(s, t, len(s.levels) - 1, 0, len(t.levels) - 1, 0)
@@ -270,23 +310,33 @@ def document_keys(documents: DataFrame, words: int, percent: int) -> DataFrame:
     return _described(documents, "doc_id long, key long", describe)
 
 
-def _block_joiner(words: int, percent: int):
+def _block_joiner(words: int, percent: int, count: bool):
     def join(table: pa.Table) -> pa.Table:
-        """Links of one task: inside its clusters, or between two blocks of one cluster."""
+        """Links that connect (n null) and, if asked for, numbers of links (b null) of one task:
+        inside its clusters, or between two blocks of one cluster."""
         table = table.sort_by([("cluster", "ascending"), ("doc_id", "ascending")])
         docs = table.column("doc_id").to_numpy()
         cluster, block = table.column("cluster").to_numpy(), table.column("block").to_numpy()
-        texts = table.column("text")
-        links: list[tuple[int, int]] = []
+        texts, copies = table.column("text"), table.column("copies").to_numpy()
+        rows: list[tuple[int, int | None, int | None]] = []
         starts = np.flatnonzero(np.concatenate(([True], cluster[1:] != cluster[:-1])))
         for i, j in zip(starts, [*starts[1:], len(docs)]):
-            sets = [shingle_set(texts[k].as_py() or "", words) for k in range(i, j)]
-            at, blocks = np.arange(j - i), block[i:j]
+            sets: list[np.ndarray] = []
+            own: list[int] = []
+            for k in range(i, j):
+                tokens = shingle_set(texts[k].as_py() or "", words)
+                if own and docs[own[-1]] == docs[k] and np.array_equal(sets[-1], tokens):
+                    continue  # a repeated row is the same document
+                sets.append(tokens)
+                own.append(k)
+            at, blocks = np.arange(len(own)), block[own]
             pieces = [at[blocks == b] for b in np.unique(blocks)]
-            found = SignatureJoin(sets, percent).run(*pieces)
-            links += [(docs[i + x], docs[i + y]) for x, y in found]
-        ab = np.asarray(links, np.int64).reshape(-1, 2)
-        return pa.table({"a": ab[:, 0], "b": ab[:, 1]})
+            work = SignatureJoin(sets, percent, copies[own] if count else None)
+            of = docs[own].tolist()
+            rows += [(of[x], of[y], None) for x, y in work.run(*pieces)]
+            rows += [(of[x], None, int(work.counts[x])) for x in np.flatnonzero(work.counts)]
+        columns = zip(*rows) if rows else ([], [], [])
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip("abn", columns)})
 
     return join
 
@@ -300,6 +350,38 @@ def jaccard_components(
 ) -> DataFrame:
     """doc_id, n_shingles and component_id of every document with a doc_id.
 
+    For components links that connect are enough: what is connected already is not compared.
+    ``jaccard_links`` counts all links.
+    """
+    joined = _joined(documents, scratch, words, percent, block_shingles, False)
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_links(
+    documents: DataFrame,
+    scratch: Scratch,
+    words: int = WORDS,
+    percent: int = PERCENT,
+    block_shingles: int = BLOCK_SHINGLES,
+) -> DataFrame:
+    """doc_id, n_shingles, n_links (other documents it is linked with) and component_id.
+
+    Every pair of distinct sets that may be linked is compared, each in one task. Tasks return a
+    number of links per set, never the pairs; equal sets count as often as there are documents.
+    """
+    return _joined(documents, scratch, words, percent, block_shingles, True)
+
+
+def _joined(
+    documents: DataFrame,
+    scratch: Scratch,
+    words: int,
+    percent: int,
+    block_shingles: int,
+    count: bool,
+) -> DataFrame:
+    """doc_id, n_shingles, n_links (only with ``count``) and component_id.
+
     Linked are documents whose sets of shingles have 100 * intersection >= percent * union.
 
     1. Every set yields part keys, of which linked sets share at least one (``part_keys``).
@@ -324,13 +406,14 @@ def jaccard_components(
     stars = shared.select("a", F.col("doc_id").alias("b")).distinct()
     clusters = components(stars, scratch, "candidates").withColumnRenamed("component", "cluster")
 
+    equal = Window.partitionBy("cluster", "d1", "d2")
     members = sets.select("doc_id", "n_shingles", "d1", "d2").join(
         clusters.withColumnRenamed("id", "doc_id"), "doc_id"
     )
     members = scratch.save(
         "members",
-        members.withColumn(
-            "first", F.min("doc_id").over(Window.partitionBy("cluster", "d1", "d2"))
+        members.distinct().withColumns(
+            {"first": F.min("doc_id").over(equal), "copies": F.count("*").over(equal)}
         ),
     )
     copies = members.filter("first <> doc_id").select(
@@ -340,7 +423,7 @@ def jaccard_components(
     placed = scratch.save(
         "placed",
         members.filter("first = doc_id")
-        .select("doc_id", "cluster", "n_shingles")
+        .select("doc_id", "cluster", "n_shingles", "copies")
         .distinct()
         .withColumn("n_docs", F.count("*").over(Window.partitionBy("cluster")))
         .filter("n_docs > 1")
@@ -352,7 +435,7 @@ def jaccard_components(
     bins = max(1, -(-total // (block_shingles // 8)))
     # Small clusters share tasks by hash; large ones have a task per pair of blocks.
     small = placed.filter("last = 0").select(
-        "doc_id", "cluster", "block", F.pmod(F.xxhash64("cluster"), F.lit(bins)).alias("task"),
+        "doc_id", "copies", "cluster", "block", F.pmod(F.xxhash64("cluster"), F.lit(bins)).alias("task"),
         F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"),
     )
     large = placed.filter("last > 0")
@@ -365,25 +448,32 @@ def jaccard_components(
     either = F.explode(F.array_distinct(F.array("i", "j")))
     tasks = tasks.select("cluster", "i", "j", either.alias("block"))
     paired = large.join(tasks, ["cluster", "block"]).select(
-        "doc_id", "cluster", "block", F.col("cluster").alias("task"), "i", "j"
+        "doc_id", "copies", "cluster", "block", F.col("cluster").alias("task"), "i", "j"
     )
     dealt = small.unionByName(paired)
     texts = documents.select("doc_id", "text")
     links = scratch.save(
         "links",
         dealt.join(texts, "doc_id")
-        .select("doc_id", "cluster", "block", "task", "i", "j", "text")
+        .select("doc_id", "copies", "cluster", "block", "task", "i", "j", "text")
         .groupBy("task", "i", "j")
-        .applyInArrow(_block_joiner(words, percent), "a long, b long"),
+        .applyInArrow(_block_joiner(words, percent, count), "a long, b long, n long"),
     )
-    found = components(links.unionByName(copies), scratch, "found")
-    return (
-        sets.select("doc_id", "n_shingles")
-        .join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        .select(
-            "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    edges = links.filter("b IS NOT NULL").select("a", "b")
+    found = components(edges.unionByName(copies), scratch, "found")
+    rows = sets.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    columns = ["doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")]
+    if count:
+        # Over all tasks that had the set, and its copies.
+        others = links.filter("n IS NOT NULL").groupBy(F.col("a").alias("first")).agg(
+            F.sum("n").alias("n")
         )
-    )
+        numbers = members.join(others, "first", "left").select(
+            "doc_id", "d1", "d2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links")
+        )
+        rows = rows.join(numbers, ["doc_id", "d1", "d2"], "left")
+        columns.insert(2, F.coalesce("links", F.lit(0)).alias("n_links"))
+    return rows.select(*columns)
 
 
 def keep_one_of_each(

@@ -8,6 +8,7 @@ from cohortspark.llm.components import components
 from cohortspark.llm.shingle_join import (
     SignatureJoin,
     jaccard_components,
+    jaccard_links,
     keep_one_of_each,
     part_keys,
     size_classes,
@@ -75,6 +76,35 @@ def test_components_equal_brute_force(docs, rows, scratch, words, percent, block
     assert sorted(map(tuple, got.collect())) == by_hand(rows, words, percent)
 
 
+def links_by_hand(rows, words, percent):
+    sets = {}
+    for doc_id, text in rows:
+        lowered = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+        found = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+        starts = range(max(1, len(found) - words + 1))
+        sets[doc_id] = {tuple(found[i : i + words]) for i in starts} if found else set()
+    holders, number = defaultdict(list), dict.fromkeys(sets, 0)
+    for doc_id, tokens in sets.items():
+        common = defaultdict(int)
+        for t in tokens:
+            for other in holders[t]:
+                common[other] += 1
+            holders[t].append(doc_id)
+        for other, n in common.items():
+            if 100 * n >= percent * (len(tokens) + len(sets[other]) - n):
+                number[doc_id] += 1
+                number[other] += 1
+    return sorted(number.items())
+
+
+@pytest.mark.parametrize("words, percent, block", [(3, 90, 3_000_000), (1, 50, 900)])
+def test_all_links_are_counted(docs, rows, scratch, words, percent, block):
+    given = docs(*rows, *rows[::40], (None, "no id"))  # repeated rows are the same document
+    got = {tuple(r) for r in jaccard_links(given, scratch, words, percent, block).collect()}
+    assert sorted((d, n) for d, _, n, _ in got) == links_by_hand(rows, words, percent)
+    assert sorted((d, s, c) for d, s, _, c in got) == by_hand(rows, words, percent)
+
+
 def test_one_of_each_group_stays(docs, scratch):
     text = " ".join(f"w{i}" for i in range(50))
     rows = [(3, text), (1, text + " more"), (2, "other"), (4, None), (5, ""), (None, text)]
@@ -125,6 +155,20 @@ def test_signature_trees_lose_no_link():
     assert [found.find(i) for i in range(400)] == [expected.find(i) for i in range(400)]
 
 
+@pytest.mark.parametrize("size", [90, 9000])
+def test_every_pair_of_near_copies_is_a_link(size):
+    """More sets than a leaf, more tokens than one product of matrices takes."""
+    common = np.arange(size, dtype=np.uint64)
+    sets = [np.append(common, np.uint64(10**6 + i)) for i in range(70)]
+    copies = np.arange(1, 71)
+    work = SignatureJoin(sets, 90, copies)
+    assert len(work.run(np.arange(70))) == 69
+    assert work.counts.tolist() == (copies.sum() - copies).tolist()
+    across = SignatureJoin(sets, 90, copies)
+    across.run(np.arange(10), np.arange(10, 70))
+    assert across.counts.tolist() == [copies[10:].sum()] * 10 + [copies[:10].sum()] * 60
+
+
 def test_components_of_paths_stars_and_repeats(spark, scratch):
     edges = [(i, i + 1) for i in range(100, 164)] + [(7, i) for i in range(8, 40)] + [(9, 7), (7, 7)] * 3
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long"), scratch).collect()))
