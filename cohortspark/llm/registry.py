@@ -13,6 +13,7 @@ from cohortspark.llm import (
     bpe,
     chat,
     ctw,
+    decontaminate,
     embedding_join,
     licenses,
     lines,
@@ -91,6 +92,21 @@ def _op10(spark: SparkSession, d: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest)
 
 
+def _op11(spark: SparkSession, d: str) -> DataFrame:
+    documents = _table(spark, d, "documents", "doc_id", "text")
+    benchmark = _table(spark, d, "benchmark", "item_id", "text")
+    found = decontaminate.find_benchmark(documents, benchmark, Scratch(spark))
+    n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.last - s.first + 1)")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Query]:
     """One query per operator, over its whole table, and op8 again with numbers of links."""
     return {
@@ -105,6 +121,7 @@ def queries() -> dict[str, Query]:
         "op8_jaccard_links": _op8_links,
         "op9_context_tree_score": _op9,
         "op10_line_dedup": _op10,
+        "op11_decontamination": _op11,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -298,6 +315,42 @@ _OP10_SQL = r"""
     FROM marked GROUP BY doc_id"""
 
 
+_OP11_SQL = r"""
+    WITH cut AS (
+        SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents),
+    items AS (
+        SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item_id, least(len(words), 10) AS n,
+               array_to_string(words[place:place + 9], ' ') AS passage
+        FROM items, LATERAL unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS t(place)
+        WHERE len(words) > 0),
+    runs AS (
+        SELECT row, n, unnest(range(1, len(words) - n + 2)) AS place,
+               unnest([array_to_string(words[i:i + n - 1], ' ')
+                       FOR i IN range(1, len(words) - n + 2)]) AS passage
+        FROM cut, (SELECT DISTINCT n FROM windows)),
+    hits AS (SELECT * FROM runs WHERE passage IN (SELECT passage FROM windows)),
+    hit AS (
+        SELECT row, count(DISTINCT word) AS n_hit
+        FROM hits, LATERAL unnest(range(place, place + n)) AS t(word) GROUP BY row),
+    named AS (
+        SELECT row, count(DISTINCT item_id) AS n_items,
+               string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))
+                   AS ids
+        FROM hits JOIN windows USING (passage, n) GROUP BY row)
+    SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           n_hit IS NOT NULL AS contaminated
+    FROM cut LEFT JOIN hit USING (row) LEFT JOIN named USING (row)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that it can express."""
     sql = {
@@ -308,6 +361,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_jaccard_join": _OP8_SQL,
         "op8_jaccard_links": _OP8_LINKS_SQL,
         "op10_line_dedup": _OP10_SQL,
+        "op11_decontamination": _OP11_SQL,
     }
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
