@@ -18,6 +18,7 @@ from cohortspark.llm import (
     licenses,
     lines,
     packing,
+    prefix_trie,
     quality,
     shingle_join,
     url_rules,
@@ -107,6 +108,14 @@ def _op11(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _op13(spark: SparkSession, d: str) -> DataFrame:
+    conversations = _table(spark, d, "conversations", "conv_id", "turn", "role", "text")
+    scratch = Scratch(spark)
+    turns = prefix_trie.number_turns(conversations, scratch)
+    rebuilt, conv_ids = prefix_trie.with_borrowed_openings(turns, scratch)
+    return prefix_trie.prefix_trie(rebuilt, conv_ids, scratch)
+
+
 def queries() -> dict[str, Query]:
     """One query per operator, over its whole table, and op8 again with numbers of links."""
     return {
@@ -122,6 +131,7 @@ def queries() -> dict[str, Query]:
         "op9_context_tree_score": _op9,
         "op10_line_dedup": _op10,
         "op11_decontamination": _op11,
+        "op13_prefix_trie": _op13,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -351,6 +361,57 @@ _OP11_SQL = r"""
     FROM cut LEFT JOIN hit USING (row) LEFT JOIN named USING (row)"""
 
 
+# CRC-32 bit by bit, of the decimal digits of conv_id.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+    lambda total, byte: list_reduce(
+        range(0, 8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(total, byte)),
+    CAST(4294967295 AS BIGINT)))"""
+
+_OP13_SQL = f"""
+    WITH numbered AS (
+        SELECT conv_id, place, chars, sha256(length(role) || ':' || role || text) AS turn
+        FROM (SELECT conv_id, role, text, length(text) AS chars, row_number() OVER (
+                  PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+              FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+                    FROM conversations WHERE conv_id IS NOT NULL))),
+    convs AS (
+        SELECT conv_id, {_CRC32} % 6 AS h, conv_id - conv_id % 100 AS base
+        FROM (SELECT DISTINCT conv_id FROM numbered)),
+    rebuilt AS (
+        SELECT c.conv_id, 0 AS part, place, chars, turn
+        FROM convs AS c JOIN numbered AS n ON n.conv_id = base AND place <= h
+        UNION ALL
+        SELECT conv_id, 1, place, chars, turn FROM convs JOIN numbered USING (conv_id)
+        WHERE place > h),
+    whole AS (
+        SELECT conv_id, coalesce(list(turn ORDER BY part, place) FILTER (turn IS NOT NULL), [])
+                   AS turns,
+               list(chars ORDER BY part, place) AS chars
+        FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id),
+    prefixes AS (
+        SELECT conv_id, depth, turns[1:depth] AS key, depth = len(turns) AS ends,
+               CASE WHEN depth > 0 THEN chars[depth] ELSE 0 END AS chars
+        FROM whole, LATERAL unnest(range(0, len(turns) + 1)) AS t(depth)),
+    nodes AS (
+        SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+               string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ids
+        FROM prefixes GROUP BY key, depth),
+    counted AS (
+        SELECT n.*, coalesce(k, 0) AS n_children
+        FROM nodes AS n LEFT JOIN (
+            SELECT key[1:depth - 1] AS key, count(*) AS k FROM nodes WHERE depth > 0
+            GROUP BY ALL) USING (key)),
+    sums AS (
+        SELECT key[1:above] AS key, count(*) FILTER (n_children = 0) AS n_leaves,
+               CAST(sum((n_convs - 1) * chars) AS BIGINT) AS saved_tokens
+        FROM counted, LATERAL unnest(range(0, depth + 1)) AS t(above) GROUP BY ALL)
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+           saved_tokens, sha256(coalesce(n.ids, '')) AS ends_sha256
+    FROM counted AS n JOIN sums USING (key)
+    LEFT JOIN nodes AS p ON n.depth > 0 AND p.key = n.key[1:n.depth - 1]"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that it can express."""
     sql = {
@@ -362,6 +423,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_jaccard_links": _OP8_LINKS_SQL,
         "op10_line_dedup": _OP10_SQL,
         "op11_decontamination": _OP11_SQL,
+        "op13_prefix_trie": _OP13_SQL,
     }
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
