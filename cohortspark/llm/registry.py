@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -15,6 +15,7 @@ from cohortspark.llm import (
     ctw,
     decontaminate,
     embedding_join,
+    hard_negatives,
     licenses,
     lines,
     packing,
@@ -29,7 +30,7 @@ from cohortspark.sources.scratch import Scratch
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str, *columns: Column | str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
@@ -108,6 +109,13 @@ def _op11(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _op12(spark: SparkSession, d: str) -> DataFrame:
+    moved = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END").alias("label")
+    asks = (F.col("vec_id") % 50 == 0).alias("asks")
+    rows = _table(spark, d, "embeddings", "vec_id", moved, "embedding", asks)
+    return hard_negatives.hard_negatives(rows, Scratch(spark))
+
+
 def _op13(spark: SparkSession, d: str) -> DataFrame:
     conversations = _table(spark, d, "conversations", "conv_id", "turn", "role", "text")
     scratch = Scratch(spark)
@@ -131,6 +139,7 @@ def queries() -> dict[str, Query]:
         "op9_context_tree_score": _op9,
         "op10_line_dedup": _op10,
         "op11_decontamination": _op11,
+        "op12_hard_negatives": _op12,
         "op13_prefix_trie": _op13,
         "pipeline": corpus_pipeline.run,
     }
@@ -361,6 +370,27 @@ _OP11_SQL = r"""
     FROM cut LEFT JOIN hit USING (row) LEFT JOIN named USING (row)"""
 
 
+_OP12_SQL = """
+    WITH whole AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+               CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+        FROM whole AS a JOIN whole AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER pair AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    WINDOW pair AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+    QUALIFY row_number() OVER pair <= 3"""
+
 # CRC-32 bit by bit, of the decimal digits of conv_id.
 _CRC32 = """xor(4294967295, list_reduce(
     list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
@@ -423,6 +453,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_jaccard_links": _OP8_LINKS_SQL,
         "op10_line_dedup": _OP10_SQL,
         "op11_decontamination": _OP11_SQL,
+        "op12_hard_negatives": _OP12_SQL,
         "op13_prefix_trie": _OP13_SQL,
     }
     if corpus_pipeline.ORACLE_SQL:
