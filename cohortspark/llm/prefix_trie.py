@@ -180,14 +180,18 @@ def _nodes(blocks: DataFrame, scratch: Scratch) -> DataFrame:
         ),
     )
     prefix = ["block", "b1", "b2"]
-    siblings = distinct.groupBy(*prefix).agg(F.count("*").alias("siblings"))
+    siblings = distinct.filter("block > 0").groupBy(*prefix).agg(F.count("*").alias("siblings"))
 
     def up_to(half: int) -> str:
         sums = f"aggregate(slice(turns, 1, j), b{half}, (x, t) -> x ^ t.s{half})"
         return f"{sums} AS d{half}, {sums} ^ turns[j - 1].s{half} AS p{half}"
 
     turn = f"struct(turns[j - 1].place AS depth, turns[j - 1].chars AS chars, {up_to(1)}, {up_to(2)})"
-    each = distinct.join(siblings, prefix).selectExpr(
+    # All first blocks follow the root: known without a join, on a key they would all share.
+    first = distinct.filter("block = 0")
+    first = first.withColumn("siblings", F.lit(first.count()))
+    later = distinct.filter("block > 0").join(siblings, prefix)
+    each = first.unionByName(later).selectExpr(
         "siblings",
         "conv_id",
         "n_convs",
