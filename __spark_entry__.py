@@ -10,7 +10,7 @@ from functools import partial, reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from cohortspark.functions import first_date  # noqa: E402
@@ -28,10 +28,12 @@ from cohortspark.operators import (  # noqa: E402
     differing_rows,
     duplicate_keys,
     latest_spans,
+    span_index,
     totals_in_spans,
 )
 from cohortspark.operators.compare import outcome_frame  # noqa: E402
 from cohortspark.plans import coverage, events, linkage, people  # noqa: E402
+from cohortspark.plans.events import SpanJoin  # noqa: E402
 from cohortspark.plans.snapshot import RESULTS, result_names, snapshot, write_snapshot  # noqa: E402
 from cohortspark.sources import Scratch, read_tables, write_table  # noqa: E402
 from testtables import DP, DP_MAX_DATE, duckdb_with, table  # noqa: E402
@@ -122,6 +124,39 @@ def _dispensing_in_window(spark: SparkSession, d: str) -> DataFrame:
     return totals.select("patid", F.col("n").alias("total"))
 
 
+def _dispensing_broadcast(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows, from events that are probed where they are read."""
+    index = Scratch(spark).save("index", span_index(_spans(spark, d), ["md"]))
+    dispensing = table(spark, d, "dispensing")
+    totals = events.indexed_totals(dispensing, "rxdate", index, ["md"], SpanJoin("broadcast"))
+    return totals.select("patid", F.col("n").alias("total"))
+
+
+def _written_order(spark: SparkSession, d: str) -> DataFrame:
+    """The place of every row in written results: by file, then by place in the file."""
+    folder, spans = Scratch(spark).path, _spans(spark, d)
+    dispensed = events.event_histogram(
+        events.dispensing_days(table(spark, d, "dispensing")), spans, ["md"]
+    )
+    results = {
+        "enr_pat_covlength_md": (coverage.covered_days(spans, DP, "md"), ["total_length"]),
+        "dis_pat_rx_md": (events.event_counts(dispensed, DP, "md", "rx_count"), ["rx_count"]),
+        "mil_linkage_rates": (_linkage_rates(spark, d), ["variable", "value"]),
+    }
+    found = []
+    for name, (rows, keys) in results.items():
+        path = write_table(rows, folder, name, partitions=3, order_by=keys)
+        placed = spark.read.parquet(path).select(
+            F.lit(name).alias("output"),
+            F.concat_ws("|", *keys).alias("key"),
+            F.col("_metadata.file_name").alias("file"),
+            F.col("_metadata.row_index").alias("row"),
+        )
+        in_files = Window.partitionBy("output").orderBy("file", "row")
+        found.append(placed.withColumn("place", F.row_number().over(in_files).cast("long")))
+    return reduce(DataFrame.unionByName, found).select("output", "place", "key")
+
+
 def _prices(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
 
@@ -192,15 +227,17 @@ def _snapshot(spark: SparkSession, d: str) -> DataFrame:
 
 
 _LATER = date(2000, 9, 30)
+_FIRST_RUN, _SECOND_RUN = ("enrollment", "mil"), ("enrollment", "death")
 
 
 def _compare_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """Two written runs: the second is for a later date, with deaths and without deliveries."""
     folder = Scratch(spark).path
-    tables = {name: table(spark, d, name) for name in ("enrollment", "mil", "death")}
-    write_snapshot(tables, f"{folder}/one", DP, DP_MAX_DATE, ["enrollment", "mil"])
-    write_snapshot(tables, f"{folder}/two", DP, _LATER, ["enrollment", "death"])
-    names = result_names(["enrollment", "mil", "death"])
+    names = {*_FIRST_RUN, *_SECOND_RUN}
+    tables = {name: table(spark, d, name) for name in names}
+    write_snapshot(tables, f"{folder}/one", DP, DP_MAX_DATE, _FIRST_RUN)
+    write_snapshot(tables, f"{folder}/two", DP, _LATER, _SECOND_RUN)
+    names = result_names(names)
     return compare_snapshots(spark, f"{folder}/one", f"{folder}/two", names).drop("details")
 
 
@@ -243,6 +280,8 @@ def queries() -> dict[str, Query]:
         ),
         "lab_test_dt": _lab_test_dt,
         "dispensing_in_window_md": _dispensing_in_window,
+        "dispensing_in_window_broadcast": _dispensing_broadcast,
+        "written_order": _written_order,
         "delivery_grain": _delivery_grain,
         "demographic_duplicates": lambda spark, d: duplicate_keys(
             table(spark, d, "demographic_dirty"), "patid"
@@ -344,7 +383,7 @@ _LAB_DAY_SQL = (
 _GRAIN_SQL = """
     SELECT mpatid, encounterid, any_value(enctype) AS enctype, any_value(birth_type) AS birth_type,
            any_value(age) AS age, any_value(adate) AS adate,
-           count(DISTINCT cpatid) > 0 AS linked
+           count(DISTINCT cpatid) FILTER (WHERE encounterid IS NOT NULL) > 0 AS linked
     FROM mil WHERE mpatid IS NOT NULL GROUP BY mpatid, encounterid"""
 
 
@@ -381,9 +420,9 @@ def _categories_sql() -> str:
     )
 
 
-def _results_sql() -> dict[str, tuple[str, str, str]]:
+def _results_sql(dp_max_date: date = DP_MAX_DATE) -> dict[str, tuple[str, str, str]]:
     """Result name -> derived tables besides enrollment, cohort of the spans, SQL."""
-    active = DP_MAX_DATE.isoformat()
+    active = dp_max_date.isoformat()
     days = "SELECT patid, CAST(sum(span_end - span_start + 1) AS BIGINT) AS total_length"
     return {
         "enr_pat_covlength_md": (
@@ -575,27 +614,40 @@ def _cohort_spans_sql() -> str:
 
 
 def _compare_snapshots_sql() -> str:
-    """Only the number of active patients depends on the date."""
-    same = [name for name in RESULTS["enrollment"] if name != "enr_active_patid_ct_md"]
-    fixed = [(name, "exact_match") for name in same]
-    fixed += [(name, "missing_reference") for name in RESULTS["mil"]]
-    fixed += [(name, "missing_actual") for name in RESULTS["death"]]
-    rows = ", ".join(f"('{name}', '{status}', 0)" for name, status in fixed)
-
-    def active(day: date) -> str:
-        return (
-            "(SELECT count(DISTINCT patid) FROM spans"
-            f" WHERE span_end >= DATE '{day.isoformat()}')"
+    """The results of both runs, computed and held against each other row by row."""
+    one = {name: _results_sql()[name] for name in result_names(_FIRST_RUN)}
+    two = {name: _results_sql(_LATER)[name] for name in result_names(_SECOND_RUN)}
+    parts = []
+    for name in result_names({*_FIRST_RUN, *_SECOND_RUN}):
+        if name in one and name in two:
+            ours, theirs = f"({_result_sql(*one[name])})", f"({_result_sql(*two[name])})"
+            status = "CASE WHEN a = 0 AND b = 0 THEN 'exact_match' ELSE 'value_difference' END"
+            surplus = (
+                f"(SELECT (SELECT count(*) FROM ({ours} EXCEPT ALL {theirs})) AS a,"
+                f" (SELECT count(*) FROM ({theirs} EXCEPT ALL {ours})) AS b)"
+            )
+        else:
+            status = "'missing_reference'" if name in one else "'missing_actual'"
+            surplus = "(SELECT CAST(0 AS BIGINT) AS a, CAST(0 AS BIGINT) AS b)"
+        parts.append(
+            f"SELECT '{name}' AS name, {status} AS status, a AS only_actual, b AS only_reference"
+            f" FROM {surplus}"
         )
+    return "\nUNION ALL\n".join(parts)
 
-    differ = f"{active(DP_MAX_DATE)} <> {active(_LATER)}"
-    return _with_spans("md") + f"""
-        SELECT name, status, CAST(n AS BIGINT) AS only_actual, CAST(n AS BIGINT) AS only_reference
-        FROM (SELECT * FROM (VALUES {rows}) AS t(name, status, n)
-              UNION ALL
-              SELECT 'enr_active_patid_ct_md',
-                     CASE WHEN {differ} THEN 'value_difference' ELSE 'exact_match' END,
-                     CASE WHEN {differ} THEN 1 ELSE 0 END)"""
+
+def _written_order_sql() -> str:
+    """Positions in the order of the key columns."""
+    keys = {
+        "enr_pat_covlength_md": ["total_length"],
+        "dis_pat_rx_md": ["rx_count"],
+        "mil_linkage_rates": ["variable", "value"],
+    }
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS output, row_number() OVER (ORDER BY {', '.join(by)}) AS place,"
+        f" concat_ws('|', {', '.join(by)}) AS key FROM ({_result_sql(*_results_sql()[name])})"
+        for name, by in keys.items()
+    )
 
 
 def _vitals_sql() -> str:
@@ -631,6 +683,9 @@ def oracle_sql() -> dict[str, str]:
               FROM (SELECT patid, {_LAB_DAY_SQL} AS test_dt FROM lab) GROUP BY patid, test_dt""",
         "dispensing_in_window_md": _with_spans("md", "dispensing")
         + _inside_sql("dispensing", "rxdate"),
+        "dispensing_in_window_broadcast": _with_spans("md", "dispensing")
+        + _inside_sql("dispensing", "rxdate"),
+        "written_order": _written_order_sql(),
         "delivery_grain": duckdb_with("mil", grain=_GRAIN_SQL)
         + """SELECT mpatid, encounterid, enctype, CAST(birth_type AS VARCHAR) AS birth_type,
                     CAST(age AS VARCHAR) AS age, adate, linked FROM grain""",

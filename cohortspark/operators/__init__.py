@@ -17,10 +17,21 @@ from cohortspark.operators.intervals import (
     covered_years,
     latest_spans,
 )
+from cohortspark.operators.span_index import (
+    IndexTooLarge,
+    broadcast_index,
+    packed,
+    span_bounds,
+    span_index,
+    spans_of,
+    totals_in_index,
+)
 
 __all__ = [
     "GAP_DAYS",
+    "IndexTooLarge",
     "bridge_intervals",
+    "broadcast_index",
     "clean_intervals",
     "cohort_spans",
     "compare_snapshots",
@@ -33,6 +44,11 @@ __all__ = [
     "duplicate_keys",
     "histogram",
     "latest_spans",
+    "packed",
+    "span_bounds",
+    "span_index",
+    "spans_of",
     "summarize",
+    "totals_in_index",
     "totals_in_spans",
 ]

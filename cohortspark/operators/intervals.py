@@ -73,13 +73,15 @@ def cohort_spans(
     enrollment: DataFrame,
     cohorts: Sequence[str] = tuple(COHORTS),
     gap_days: int = GAP_DAYS,
+    partitions: int = 0,
 ) -> DataFrame:
     """Spans of several cohorts from one pass over enrollment, keyed ``patid, cohort``.
 
     The longest interval per patient and start day is found for all cohorts side by side;
     the rows fan out into one per cohort only behind the second shuffle. That one is on
     ``patid`` alone, which the per-patient joins and sums in the same plan can reuse; an
-    exploded array keeps it, where an unpivot would not. Spans that are stored first lose it.
+    exploded array keeps it, where an unpivot would not. Spans that are stored first lose it,
+    unless they are stored in as many buckets as ``partitions`` asks the shuffle for.
     """
     members = " OR ".join(f"({in_cohort(c)})" for c in cohorts)
     fan_out = ", ".join(f"struct('{c}' AS cohort, {c} AS enr_end)" for c in cohorts)
@@ -87,7 +89,7 @@ def cohort_spans(
         enrollment.filter(f"({members}) AND {_valid(['patid'], 'enr_start', 'enr_end')}")
         .groupBy("patid", "enr_start")
         .agg(*[F.expr(f"max(enr_end) FILTER (WHERE {in_cohort(c)}) AS {c}") for c in cohorts])
-        .repartition("patid")
+        .repartition(*([partitions] if partitions else []), "patid")
         .selectExpr("patid", "enr_start", f"inline(array({fan_out}))")
         .filter("enr_end IS NOT NULL")
     )

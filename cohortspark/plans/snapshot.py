@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame
 
 from cohortspark.jobs import side_by_side
 from cohortspark.operators.checks import delivery_conflicts, duplicate_keys
+from cohortspark.operators.containment import histogram
 from cohortspark.operators.deliveries import delivery_grain
 from cohortspark.operators.intervals import cohort_spans
+from cohortspark.operators.span_index import span_bounds, span_index, spans_of
 from cohortspark.plans import coverage, events, linkage, people
-from cohortspark.sources.scratch import Scratch, path_exists, remove_path
-from cohortspark.sources.tables import write_table
+from cohortspark.plans.events import EVENT_DAYS, SpanJoin
+from cohortspark.sources.publish import Publication
+from cohortspark.sources.scratch import Scratch, path_exists
+from cohortspark.sources.tables import WRITE_MODES, write_table
 
 DP_MAX_DATE = date(2023, 6, 30)
 
@@ -100,11 +104,14 @@ def snapshot(
     dp_max_date: date = DP_MAX_DATE,
     domains: Iterable[str] | None = None,
     threads: int = 8,
+    span_join: SpanJoin = SpanJoin(),
 ) -> dict[str, DataFrame]:
     """Check the inputs and build the result tables of the domains.
 
     Runs in two rounds of jobs. The first checks the inputs and stores the spans of all
-    cohorts and the delivery grain in ``scratch``. The second reads every other table and
+    cohorts and the delivery grain in ``scratch``. Spans are stored one row per patient, in
+    buckets by patient, as many as a shuffle has partitions: no later join shuffles them again.
+    The second round reads every other table, events only of days that anybody is covered on, and
     stores one small tally per domain, which serves all results of that domain. The
     returned plans only read what is stored, so they are cheap to use more than once, but
     have to be used before ``scratch`` is dropped. When one job of a round fails, the others
@@ -124,7 +131,9 @@ def snapshot(
         return grain
 
     def store_spans() -> DataFrame:
-        return scratch.save("spans", cohort_spans(tables["enrollment"], cohorts), "cohort")
+        buckets = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+        spans = cohort_spans(tables["enrollment"], cohorts, partitions=buckets)
+        return scratch.save_bucketed("spans", span_index(spans, cohorts), "patid", buckets)
 
     first: dict[str, Callable[[], DataFrame | None]] = {}
     if "enrollment" in selected:
@@ -134,28 +143,36 @@ def snapshot(
     if "demographic" in selected:
         first["patients"] = lambda: check_patients(tables["demographic"])
     stored = side_by_side(scratch.spark, threads, first)
-    spans = stored.get("spans")
+    index = stored.get("spans")
+    # Of all cohorts, as one filter serves them all.
+    bounds = span_bounds(index, cohorts) if set(selected) & set(EVENT_DAYS) else None
 
-    def counted(days: DataFrame, *cohorts: str) -> DataFrame:
-        return events.event_histogram(days, spans, cohorts)
+    def spans(*cohorts: str) -> DataFrame:
+        return spans_of(index, cohorts)
+
+    def counted(domain: str, rows: DataFrame, *cohorts: str) -> DataFrame:
+        day = EVENT_DAYS[domain]
+        totals = events.indexed_totals(rows, day, index, cohorts, span_join, bounds)
+        return histogram(totals, "cohort", "n")
 
     def tally_of(domain: str) -> DataFrame:
         rows = tables[domain]
         match domain:
             case "demographic":
-                return people.patient_tally(spans, rows, "md", dp_max_date)
+                return people.patient_tally(spans("md"), rows, "md", dp_max_date)
             case "dispensing":
-                return counted(events.dispensing_days(rows), "md", "d")
-            case "encounter":
-                return counted(events.encounter_days(rows), "md")
-            case "lab":
-                return counted(events.lab_days(rows), "md")
+                return counted(domain, rows, "md", "d")
+            case "encounter" | "lab":
+                return counted(domain, rows, "md")
             case "death":
-                return people.death_counts(spans.filter("cohort IN ('md', 'm')"), rows)
+                return people.death_counts(spans("md", "m"), rows)
             case "mil":
                 return linkage.linkage_rates(stored["grain"], rows, dp)
             case "vitals":
-                return events.vital_sign_counts(rows, spans, dp, "md")
+                inside = events.indexed_totals(
+                    rows, EVENT_DAYS[domain], index, ["md"], span_join, bounds, events.VITAL_COUNTS
+                )
+                return events.vital_sign_rows(inside, dp)
 
     def store_tally(domain: str) -> DataFrame:
         return scratch.save(f"{domain}_tally", tally_of(domain))
@@ -165,11 +182,12 @@ def snapshot(
 
     results: dict[str, DataFrame] = {}
     if "enrollment" in selected:
-        results["enr_pat_covlength_md"] = coverage.covered_days(spans, dp, "md")
-        results["enr_patid_ct_md"] = coverage.patients(spans, dp, "md")
-        results["enr_pat_covyears_md"] = coverage.patients_by_year(spans, dp, "md")
-        results["enr_pat_enrcount_md"] = coverage.span_counts(spans, dp, "md")
-        results["enr_active_patid_ct_md"] = coverage.active_patients(spans, dp, "md", dp_max_date)
+        md = spans("md")
+        results["enr_pat_covlength_md"] = coverage.covered_days(md, dp, "md")
+        results["enr_patid_ct_md"] = coverage.patients(md, dp, "md")
+        results["enr_pat_covyears_md"] = coverage.patients_by_year(md, dp, "md")
+        results["enr_pat_enrcount_md"] = coverage.span_counts(md, dp, "md")
+        results["enr_active_patid_ct_md"] = coverage.active_patients(md, dp, "md", dp_max_date)
     if "demographic" in selected:
         tally = tallies["demographic"]
         results["dem_pat_lstagecount_md"] = people.age_counts(tally, dp)
@@ -205,36 +223,42 @@ def write_snapshot(
     mode: str = "errorifexists",
     partitions: int = 0,
     threads: int = 8,
+    span_join: SpanJoin = SpanJoin(),
 ) -> dict[str, str]:
     """Write every result table to ``<root>/<name>/`` and return the paths by name.
 
     No result is written before all checks have passed. Rows are ordered by the key columns
     of their table. Up to ``threads`` results are written side by side.
 
-    With ``errorifexists`` it is all or nothing: no job starts if one of the folders is there,
-    and should a write fail, the results that this call has written are removed again.
+    Results are written to a staging folder and published together (``sources.publish``), in
+    every mode all or none: until then, ``overwrite`` leaves the former ones as they are. With
+    ``errorifexists`` no job starts if one of the folders is there; one that another run puts
+    there meanwhile is kept, and nothing of this run appears. ``ignore`` keeps the results that
+    are there.
     """
+    if mode not in WRITE_MODES:
+        raise ValueError(f"write mode {mode!r}; known: {', '.join(WRITE_MODES)}")
     spark = next(iter(tables.values())).sparkSession
     targets = {name: f"{root.rstrip('/')}/{name}" for name in result_names(domains)}
     if mode == "errorifexists":
         taken = [path for path in targets.values() if path_exists(spark, path)]
         if taken:
             raise FileExistsError(f"exists already: {', '.join(taken)}")
-    with Scratch(spark) as scratch:
-        results = snapshot(tables, dp, scratch, dp_max_date, domains, threads)
+    with Scratch(spark) as scratch, Publication(spark, root) as staging:
+        results = snapshot(
+            tables, dp, scratch, dp_max_date, domains, threads, span_join=span_join
+        )
 
         def writer(name: str) -> Callable[[], str]:
             rows = results[name]
             keys = [column for column in rows.columns if column in SORT_COLUMNS]
-            return lambda: write_table(rows, root, name, mode, partitions, keys)
-
-        try:
-            return side_by_side(spark, threads, {name: writer(name) for name in results})
-        except Exception:
-            if mode == "errorifexists":
-                for path in targets.values():
-                    remove_path(spark, path)
-            raise
+            return lambda: write_table(
+                rows, staging.path, name, "errorifexists", partitions, keys, staged=False
+            )
+
+        side_by_side(spark, threads, {name: writer(name) for name in results})
+        staging.publish(results, mode)
+    return targets
 
 
 # The columns results are ordered by, those of each in its column order.

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortspark.sources.contracts import CONTRACTS, require_schema
+from cohortspark.sources.publish import Publication
+from cohortspark.sources.scratch import path_exists
 
 WRITE_MODES = ("errorifexists", "overwrite", "ignore")
 
@@ -36,9 +38,14 @@ def write_table(
     mode: str = "errorifexists",
     partitions: int = 0,
     order_by: Sequence[str] = (),
+    staged: bool = True,
 ) -> str:
     """Write ``<root>/<name>/`` as Parquet and return that path.
 
+    The files are written beside the target and moved there when all are complete, so a failed
+    write leaves what was there before, also with ``overwrite``. ``staged=False`` writes in
+    place, for folders that are staged as a whole.
+
     The table keeps the partitioning Spark gives it unless ``partitions`` asks for a number.
     With ``order_by`` the files in turn hold the rows in that order.
     """
@@ -53,5 +60,11 @@ def write_table(
         rows = rows.repartition(partitions)
     elif order_by:
         rows = rows.orderBy(*order_by)
-    rows.write.mode(mode).parquet(path)
+    # What is there already is Spark's to refuse or to leave.
+    if not staged or (mode != "overwrite" and path_exists(rows.sparkSession, path)):
+        rows.write.mode(mode).parquet(path)
+        return path
+    with Publication(rows.sparkSession, root) as staging:
+        rows.write.parquet(f"{staging.path}/{name}")
+        staging.publish([name], mode)
     return path

@@ -13,9 +13,14 @@ from cohortspark.operators import (
     compare_tables,
     delivery_grain,
     differing_rows,
+    latest_spans,
+    span_bounds,
+    span_index,
+    spans_of,
     totals_in_spans,
 )
 from cohortspark.plans import coverage, events, linkage, people
+from cohortspark.plans.events import SpanJoin
 from cohortspark.plans.snapshot import ON_REQUEST, RESULTS, snapshot
 from cohortspark.sources import Scratch, read_table
 from testtables import DP, DP_MAX_DATE, table
@@ -48,7 +53,7 @@ def exchanges(frame):
 
 OPTIONAL = driver.optional.queries() if driver.optional else {}
 # Their results are read from what several jobs have written: the parts have tests below.
-WRITTEN = ("compare_status", "compare_snapshots", "snapshot", "vit_pat_vitct_md")
+WRITTEN = ("compare_status", "compare_snapshots", "snapshot", "vit_pat_vitct_md", "written_order")
 
 
 def is_native(text):
@@ -68,11 +73,18 @@ def saved_plans(monkeypatch):
     """Plans of everything that is stored on the way."""
     found, save = {}, Scratch.save
 
+    save_bucketed = Scratch.save_bucketed
+
     def watched(self, name, frame, partition_by=None):
         found.setdefault(name, []).append(plan(frame))
         return save(self, name, frame, partition_by)
 
+    def watched_buckets(self, name, frame, *how):
+        found.setdefault(name, []).append(plan(frame))
+        return save_bucketed(self, name, frame, *how)
+
     monkeypatch.setattr(Scratch, "save", watched)
+    monkeypatch.setattr(Scratch, "save_bucketed", watched_buckets)
     return found
 
 
@@ -209,3 +221,74 @@ def test_a_delivery_with_a_third_of_all_rows(spark):
     )
     rates = linkage.linkage_rates(delivery_grain(mil), mil, "x").filter("variable = 'overall'")
     assert [tuple(r)[3:6] for r in rates.collect()] == [(60_000, 60_000, 60_001)]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Large tables: nothing is small enough for Spark to broadcast by itself."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture
+def index(spark):
+    enrollment = table(spark, SF_DIR, "enrollment")
+    with Scratch(spark) as scratch:
+        spans = cohort_spans(enrollment, ["m", "md", "d"], partitions=4)
+        made = span_index(spans, ["m", "md", "d"])
+        assert exchanges(made) == exchanges(spans)
+        yield scratch.save_bucketed("spans", made, "patid", 4)
+
+
+def test_stored_spans_are_shuffled_by_no_domain(spark, index, no_broadcast):
+    md = spans_of(index, ["md"])
+    per_domain = [
+        events.indexed_totals(table(spark, SF_DIR, "dispensing"), "rxdate", index, ["md", "d"]),
+        events.indexed_totals(table(spark, SF_DIR, "encounter"), "adate", index, ["md"]),
+        events.indexed_totals(table(spark, SF_DIR, "lab"), events.EVENT_DAYS["lab"], index, ["md"]),
+        people.age_categories(md, table(spark, SF_DIR, "demographic"), "md"),
+        latest_spans(spans_of(index, ["md", "m"])).join(
+            table(spark, SF_DIR, "death").groupBy("patid").count(), "patid"
+        ),
+    ]
+    for frame in per_domain:
+        text = plan(frame)
+        assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
+        scan = next(line for line in text.splitlines() if "SelectedBucketsCount: 4 out of 4" in line)
+        depth = len(scan) - len(scan.lstrip(" :+-*()0123456789"))
+        above = []
+        for line in text.splitlines()[: text.splitlines().index(scan)][::-1]:
+            place = len(line) - len(line.lstrip(" :+-*()0123456789"))
+            if place < depth:
+                depth = place
+                above.append(line)
+        assert any("Join" in line for line in above)
+        assert not any(re.search(r"\bExchange\b", line) for line in above)
+
+
+def test_a_broadcast_index_meets_events_where_they_are_read(spark, index, no_broadcast):
+    rows_of = table(spark, SF_DIR, "encounter")
+    totals = events.indexed_totals(rows_of, "adate", index, ["md"], SpanJoin("broadcast"))
+    # One shuffle, of sums per patient; the other exchange is the broadcast.
+    shuffles = [e for e in exchanges(totals) if "Broadcast" not in e]
+    assert shuffles == ["hashpartitioning(patid, 4)"]
+    text = plan(totals)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert text.index("partial_count") > text.index("Exchange hashpartitioning")
+    never = events.indexed_totals(rows_of, "adate", index, ["md"], SpanJoin("shuffle"))
+    assert "BroadcastHashJoin" not in plan(never)
+
+
+def test_days_nobody_is_covered_on_are_not_read(spark, stored, index):
+    bounds = span_bounds(index, ["m", "md", "d"])
+    first, last = (d.isoformat() for d in bounds)
+    totals = events.indexed_totals(stored["dispensing"], "rxdate", index, ["md"], bounds=bounds)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    pushed = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan(totals))
+    assert any(
+        f"GreaterThanOrEqual(rxdate,{first})" in p and f"LessThanOrEqual(rxdate,{last})" in p
+        for p in pushed
+    )
+    spark.conf.unset("spark.sql.maxMetadataStringLength")

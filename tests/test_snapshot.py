@@ -9,7 +9,9 @@ import pytest
 from helpers import enrollment, make, rows, stored_scratch
 
 from cohortspark.jobs import side_by_side
+from cohortspark.operators import IndexTooLarge
 from cohortspark.plans import snapshot as job
+from cohortspark.plans.events import SpanJoin
 from cohortspark.plans.snapshot import (
     RESULTS,
     DataError,
@@ -18,7 +20,7 @@ from cohortspark.plans.snapshot import (
     snapshot,
     write_snapshot,
 )
-from cohortspark.sources import Scratch
+from cohortspark.sources import Scratch, read_manifest
 
 DP = "DP1"
 MAX = date(2020, 6, 30)
@@ -126,7 +128,10 @@ def test_all_results(spark, tables, tmp_path):
         assert sorted(rows(written)) == sorted(EXPECTED[name])
         types = [f"{f.name} {f.dataType.simpleString()}" for f in written.schema]
         assert ", ".join(types) == TYPES[name]
-    assert sorted(os.listdir(tmp_path)) == sorted(EXPECTED)
+    assert sorted(f for f in os.listdir(tmp_path) if not f.startswith((".", "_"))) == sorted(EXPECTED)
+    manifest = read_manifest(spark, str(tmp_path))
+    assert manifest["results"] == list(EXPECTED) and manifest["mode"] == "errorifexists"
+    assert not [f for f in os.listdir(tmp_path) if f.startswith(".staging")]
     assert stored_scratch(spark) == before
     lengths = spark.read.parquet(paths["enr_pat_covlength_md"]).collect()
     assert [r["total_length"] for r in lengths] == [365, 456]
@@ -161,10 +166,10 @@ def test_nothing_is_written_where_one_target_exists(spark, tables, tmp_path, mon
 def test_a_failed_write_leaves_nothing(tables, tmp_path, monkeypatch):
     write = job.write_table
 
-    def failing(rows, root, name, *more):
+    def failing(rows, root, name, *more, **options):
         if name == "enr_pat_enrcount_md":
             raise OSError("disk full")
-        return write(rows, root, name, *more)
+        return write(rows, root, name, *more, **options)
 
     monkeypatch.setattr(job, "write_table", failing)
     with pytest.raises(OSError, match="disk full"):
@@ -253,3 +258,65 @@ def test_overwrite_and_partitions(spark, tables, tmp_path):
     written = spark.read.parquet(paths["mil_linkage_rates"])
     assert {r["dp"] for r in written.collect()} == {"DP2"}
     assert written.count() == len(EXPECTED["mil_linkage_rates"])
+
+
+def test_span_joins_give_the_same_results(spark, tables, tmp_path):
+    for kind in ("auto", "broadcast", "shuffle"):
+        paths = write_snapshot(
+            tables, f"{tmp_path}/{kind}", DP, MAX, ["dispensing", "encounter", "lab"],
+            span_join=SpanJoin(kind),
+        )
+        for name, path in paths.items():
+            assert sorted(rows(spark.read.parquet(path))) == sorted(EXPECTED[name])
+    with pytest.raises(ValueError, match="hash"):
+        SpanJoin("hash")
+
+
+def test_too_large_an_index_stops_the_job(tables, tmp_path):
+    with pytest.raises(IndexTooLarge, match="100 are allowed"):
+        write_snapshot(
+            tables, str(tmp_path), DP, MAX, ["lab"], span_join=SpanJoin("broadcast", 100)
+        )
+    assert os.listdir(tmp_path) == []
+
+
+def test_a_failed_overwrite_leaves_the_former_results(spark, tables, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    write_snapshot(tables, root, DP, MAX, ["enrollment"])
+    write = job.write_table
+
+    def failing(rows, folder, name, *more, **options):
+        if name == "enr_pat_enrcount_md":
+            raise OSError("disk full")
+        return write(rows, folder, name, *more, **options)
+
+    monkeypatch.setattr(job, "write_table", failing)
+    with pytest.raises(OSError, match="disk full"):
+        write_snapshot(tables, root, "DP2", MAX, ["enrollment"], mode="overwrite")
+    for name in RESULTS["enrollment"]:
+        assert {r["dp"] for r in spark.read.parquet(f"{root}/{name}").collect()} == {DP}
+
+
+def test_a_result_that_comes_up_meanwhile_is_kept(spark, tables, tmp_path, monkeypatch):
+    root, build = str(tmp_path), job.snapshot
+
+    def slow(*given, **options):
+        spark.range(3).write.parquet(f"{root}/enr_pat_enrcount_md")
+        return build(*given, **options)
+
+    monkeypatch.setattr(job, "snapshot", slow)
+    with pytest.raises(FileExistsError, match="enr_pat_enrcount_md"):
+        write_snapshot(tables, root, DP, MAX, ["enrollment"])
+    assert [f for f in os.listdir(root) if not f.startswith("_")] == ["enr_pat_enrcount_md"]
+    assert spark.read.parquet(f"{root}/enr_pat_enrcount_md").count() == 3
+
+
+def test_ignore_keeps_what_is_there(spark, tables, tmp_path):
+    root = str(tmp_path)
+    spark.range(3).write.parquet(f"{root}/enr_patid_ct_md")
+    write_snapshot(tables, root, DP, MAX, ["enrollment"], mode="ignore")
+    assert spark.read.parquet(f"{root}/enr_patid_ct_md").count() == 3
+    assert rows(spark.read.parquet(f"{root}/enr_pat_enrcount_md")) == EXPECTED["enr_pat_enrcount_md"]
+    assert "enr_patid_ct_md" not in read_manifest(spark, root)["results"]
+    with pytest.raises(ValueError, match="append"):
+        write_snapshot(tables, root, DP, MAX, ["enrollment"], mode="append")

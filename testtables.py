@@ -27,10 +27,12 @@ def _definitions(add, text: str, stamp: str) -> dict[str, str]:
     ordered = "CAST(o_orderdate AS DATE)"
     epoch = "DATE '1996-01-01'"
     return {
-        # A few intervals end before they start.
+        # A few intervals end before they start, some lack the patient or a date.
         "enrollment": f"""
-            SELECT o_custkey AS patid, {ordered} AS enr_start,
-                   {add(ordered, "o_orderkey % 400 - 5")} AS enr_end,
+            SELECT CASE WHEN o_orderkey % 61 <> 0 THEN o_custkey END AS patid,
+                   CASE WHEN o_orderkey % 67 <> 0 THEN {ordered} END AS enr_start,
+                   CASE WHEN o_orderkey % 71 <> 0
+                        THEN {add(ordered, "o_orderkey % 400 - 5")} END AS enr_end,
                    CASE WHEN o_orderstatus = 'P' THEN 'n'
                         WHEN o_orderkey % 2 = 0 THEN 'Y' ELSE 'y' END AS medcov,
                    CASE WHEN o_orderkey % 5 = 0 THEN 'N' ELSE 'y' END AS drugcov
@@ -71,8 +73,10 @@ def _definitions(add, text: str, stamp: str) -> dict[str, str]:
             UNION ALL
             SELECT c_custkey, {add("DATE '2000-01-01'", "c_custkey % 500")}
             FROM customer WHERE c_custkey % 55 = 0""",
+        # Some rows lack the mother; each mother has one delivery without an encounter at most.
         "mil": f"""
-            SELECT o_custkey AS mpatid, o_orderkey AS encounterid,
+            SELECT CASE WHEN o_orderkey % 29 <> 0 THEN o_custkey END AS mpatid,
+                   o_orderkey AS encounterid,
                    CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_partkey END AS cpatid,
                    o_orderstatus AS enctype,
                    CAST(CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE o_orderkey % 3 END AS INTEGER)
@@ -80,7 +84,12 @@ def _definitions(add, text: str, stamp: str) -> dict[str, str]:
                    CAST(CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderkey % 70 - 2 END
                         AS INTEGER) AS age,
                    {ordered} AS adate
-            FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+            UNION ALL
+            SELECT c_custkey, CAST(NULL AS BIGINT),
+                   CASE WHEN c_custkey % 26 <> 0 THEN c_custkey * 3 END, 'IP', 1, 30,
+                   DATE '1997-05-05'
+            FROM customer WHERE c_custkey % 13 = 0""",
         "vitals": f"""
             SELECT user_id AS patid, {add(epoch, "(event_id * 53) % 2000")} AS measure_date,
                    CASE WHEN event_id % 5 <> 0 THEN 150 + event_id % 50 END AS ht,
@@ -111,7 +120,7 @@ SOURCES = {
     "encounter": ("events",),
     "lab": ("events",),
     "death": ("customer",),
-    "mil": ("lineitem", "orders"),
+    "mil": ("lineitem", "orders", "customer"),
     "vitals": ("events",),
     "demographic_dirty": ("demographic",),
     "mil_dirty": ("mil",),
