@@ -25,6 +25,7 @@ GROUP_SLABS = 32
 BLOCK_ANCHORS = 8192  # anchors that go to a task together
 LEAF = 256  # rows of a box without further boxes, inside a task
 FAN = 8
+WAVE = 8
 CHUNK = 128  # anchors that share a queue
 _SALTS = 16
 _LEAST, _MOST = 1 - 2**63, 2**63 - 1  # scores beyond saturate
@@ -460,55 +461,51 @@ def search(
 
     ``anchors`` as from ``pack``'s tiles, with arrays ``lows`` and ``highs`` of score windows;
     place counts them. ``same`` looks among rows of the anchor's label, else among the others.
-    Every block of anchors first searches the node with the highest bound. The k-th scores found
-    there are floors for the second round, which leaves out nodes and boxes strictly below.
+    Nodes are visited in rounds, those with the highest bounds first, ``WAVE`` times as many in
+    each: the k-th scores found so far are floors for the next round, which leaves out nodes and
+    boxes strictly below. So a window gets few rows that others push out again.
     """
     anchors = scratch.save("asking", anchors)
     blocks = scratch.save("blocks", _block_boxes(anchors))
-    pairs = scratch.save("pairs", _reachable(blocks, nodes, same))
-    best = pairs.groupBy("block", "size").agg(F.max_by("node", "upper").alias("node"))
+    nearest = Window.partitionBy("block", "size").orderBy(F.desc("upper"), "node")
+    ranked = _reachable(blocks, nodes, same).withColumn("rank", F.row_number().over(nearest))
+    pairs = scratch.save("pairs", ranked)
     held = tiles.select("node", "ids", "labels", "rows", "vectors")
-
-    def visit(asking: DataFrame, which: DataFrame) -> DataFrame:
-        which = which.select("block", "size", "node")
-        left = asking.join(which, ["block", "size"]).groupBy("block", "node")
-        right = held.join(which, "node").groupBy("block", "node")
-        found = left.cogroup(right).applyInArrow(
-            _searcher(same, k), "row long, anchor_id long, place long, found_id long, score long"
-        )
-        return scratch.save("visited", found)
-
-    nothing = F.transform("lows", lambda _: F.lit(_LEAST))
-    first = visit(anchors.withColumn("floors", nothing), best)
-    full = (
-        _first(first, k)
-        .filter(f"rank = {k}")
-        .groupBy("row")
-        .agg(F.map_from_entries(F.collect_list(F.struct("place", "score"))).alias("kth"))
+    last = pairs.agg(F.max("rank")).first()[0] or 0
+    found = anchors.sparkSession.createDataFrame(
+        [], "row long, anchor_id long, place long, found_id long, score long"
     )
-    floored = scratch.save(
-        "floored",
-        anchors.join(full, "row", "left")
-        .withColumn(
-            "floors",
-            F.expr(
-                f"transform(lows, (x, i) -> coalesce(try_element_at(kth, CAST(i AS LONG)), {_LEAST}L))"
-            ),
+    begin, end = 1, 1
+    while begin <= last:
+        kth = (
+            _first(found, k)
+            .filter(f"rank = {k}")
+            .groupBy("row")
+            .agg(F.map_from_entries(F.collect_list(F.struct("place", "score"))).alias("kth"))
         )
-        .drop("kth"),
-    )
-    # A window without end points (low above high) asks for nothing.
-    wanted = F.expr(
-        "array_min(transform(filter(arrays_zip(lows, highs, floors), w -> w.lows <= w.highs), "
-        "w -> w.floors))"
-    )
-    least = floored.groupBy("block", "size").agg(F.min(wanted).alias("floor"))
-    rest = (
-        pairs.join(best, ["block", "size", "node"], "left_anti")
-        .join(least, ["block", "size"])
-        .filter("upper >= floor")
-    )
-    return _first(first.unionByName(visit(floored, rest)), k)
+        floors = f"transform(lows, (x, i) -> coalesce(try_element_at(kth, CAST(i AS LONG)), {_LEAST}L))"
+        floored = scratch.save(
+            "floored",
+            anchors.join(kth, "row", "left").withColumn("floors", F.expr(floors)).drop("kth"),
+        )
+        # A window without end points (low above high) asks for nothing.
+        wanted = (
+            "array_min(transform(filter(arrays_zip(lows, highs, floors), w -> w.lows <= w.highs), "
+            "w -> w.floors))"
+        )
+        least = floored.groupBy("block", "size").agg(F.min(F.expr(wanted)).alias("floor"))
+        chosen = (
+            pairs.filter(F.col("rank").between(begin, end))
+            .join(least, ["block", "size"])
+            .filter("upper >= floor")
+            .select("block", "size", "node")
+        )
+        left = floored.join(chosen, ["block", "size"]).groupBy("block", "node")
+        right = held.join(chosen, "node").groupBy("block", "node")
+        visited = left.cogroup(right).applyInArrow(_searcher(same, k), found.schema)
+        found = scratch.save("found", _first(found.unionByName(visited), k).drop("rank"))
+        begin, end = end + 1, end * WAVE
+    return _first(found, k)
 
 
 def hard_negatives(
