@@ -68,7 +68,9 @@ class GridOrderJoin:
     """Links between vectors in epsilon grid order, by recursion over sequence intervals."""
 
     def __init__(self, vectors: np.ndarray, weights: np.ndarray, axes: np.ndarray, cosine: float):
-        self.vectors, self.cosine = vectors, cosine
+        # Scaled by powers of two, which changes no cosine, so that products stay finite.
+        powers = np.frexp(np.abs(vectors).max(1, initial=0))[1]
+        self.vectors, self.cosine = np.ldexp(vectors, -powers[:, None]), cosine
         self.units = _normalized(vectors)
         self.eps = math.sqrt(max(0.0, 2 - 2 * cosine)) + _SAFE
         self.space = self.units @ axes[:, :BOX]
@@ -259,7 +261,9 @@ def embedding_components(
 
     Needs vec_id (long) and embedding (array of float or double). A vector that is null, empty,
     zero or has null or non-finite components links with nothing, nor does a row without vec_id,
-    whose component is null and which is not kept. A repeated row is a copy.
+    whose component is null and which is not kept. A repeated row is a copy. Rows that share a
+    vec_id but not the vector are vectors of their own, each with its own links, and belong to
+    one component, as they have one vec_id.
     """
     digest = [F.xxhash64("embedding"), F.xxhash64("embedding", F.lit(1))]
     rows = embeddings.select(
@@ -273,29 +277,44 @@ def embedding_components(
     groups = good.groupBy("h1", "h2").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies")
     )
+    # Items have numbers of their own: one vec_id may stand for several of them.
+    groups = scratch.save("groups", groups.withColumn("item", F.monotonically_increasing_id()))
     mapped = scratch.save(
         "mapped",
         good.join(groups, ["h1", "h2"]).select(
             "vec_id",
             "rep",
+            "item",
             "copies",
             F.when(F.col("vec_id") == F.col("rep"), F.col("embedding")).alias("embedding"),
         ),
     )
-    items = mapped.filter("embedding IS NOT NULL").select("rep", "copies", "embedding")
+    items = mapped.filter("embedding IS NOT NULL").select(
+        F.col("item").alias("rep"), "copies", "embedding"
+    )
     sizes = [r[0] for r in items.select(F.size("embedding")).distinct().collect()]
     parts = [p for s in sizes if (p := _join_size(items, scratch, s, cosine, block)) is not None]
     joined = embeddings.sparkSession.createDataFrame([], "a long, b long, n long")
     for part in parts:
         joined = joined.unionByName(part)
-    numbers = joined.filter("n IS NOT NULL").groupBy(F.col("a").alias("rep")).agg(
+    numbers = joined.filter("n IS NOT NULL").groupBy(F.col("a").alias("item")).agg(
         F.sum("n").alias("n")
     )
     edges = joined.filter("b IS NOT NULL").select("a", "b")
+    for end in ("a", "b"):
+        named = groups.select(F.col("item").alias(end), F.col("rep").alias(f"{end}_rep"))
+        edges = edges.join(named, end).drop(end)
+    # A vec_id whose rows hold different vectors ties their items together.
+    several = mapped.groupBy("vec_id").agg(F.min("item").alias("low"), F.max("item").alias("high"))
+    several = several.filter("low <> high").select("vec_id")
+    ties = mapped.join(several, "vec_id").select(
+        F.col("vec_id").alias("a"), F.col("rep").alias("b")
+    )
+    edges = edges.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).unionByName(ties)
     found = components(edges, scratch, "found").withColumnRenamed("id", "rep")
     linked = (
-        mapped.select("vec_id", "rep", "copies")
-        .join(numbers, "rep", "left")
+        mapped.select("vec_id", "rep", "item", "copies")
+        .join(numbers, "item", "left")
         .join(found, "rep", "left")
         .select(
             "vec_id",

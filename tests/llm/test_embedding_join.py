@@ -23,6 +23,11 @@ def by_hand(rows, cosine):
                 if a_ @ b_ / math.sqrt((a_ @ a_) * (b_ @ b_)) >= cosine:
                     links[i] += 1
                     pairs.append((i, j))
+    # Rows of one vec_id are in one component, whatever their vectors.
+    pairs += [
+        (i, j) for i in range(len(rows)) for j in range(len(rows))
+        if good[i] is not None and good[j] is not None and label[i] == label[j]
+    ]
     changed = True
     while changed:
         changed = False
@@ -63,3 +68,17 @@ def test_repeated_rows_are_copies(spark, scratch):
 def test_no_vectors(spark, scratch):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_components(frame, scratch).collect() == []
+
+
+def test_one_vec_id_with_several_vectors(spark, scratch):
+    a, b = [1.0, 0.0, 0.1], [0.0, 1.0, 0.2]
+    near = lambda v: [x + 0.01 for x in v]
+    rows = [
+        (1, a), (1, b), (2, near(a)), (3, near(b)), (4, [0.0, 0.0, 1.0]), (5, b), (5, [0.0, -1.0, 0.0]),
+        (6, [0.0, -1.0, 0.0]), (6, None), (7, [-1.0, 0.0, 0.0]), (7, [-1.0, 0.001, 0.0]), (8, [-1.0, -1.0, 0.0]),
+        (9, [1e200, 1e200, 0.0]), (9, [-1e-170, 0.0, 0.0]),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = embedding_components(frame, scratch).collect()
+    assert sorted((str(r[0]), r[1], str(r[2]), r[3]) for r in got) == by_hand(rows, 0.95)
+    assert {r["vec_id"]: r["n_links"] for r in got}[3] == 2
