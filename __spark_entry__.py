@@ -189,10 +189,31 @@ def _compare_status(spark: SparkSession, d: str) -> DataFrame:
         "first_varies_reordered": partial(compare_tables, kept.select("b", "a"), moved, 1.0),
         "first_varies_too_far": partial(compare_tables, kept, moved, 0.5),
     }
+    # Two numbers vary, and sorted by either, rows meet others than those they came from.
+    parts = table(spark, d, "lineitem").selectExpr(*_TWO_NUMBERS)
+    comparisons |= {
+        f"two_vary_{name}": partial(compare_tables, parts, parts.selectExpr(*moved), 2.0)
+        for name, moved in _TWO_MOVED.items()
+    }
     outcomes = side_by_side(spark, 4, comparisons)
     return outcome_frame(spark, outcomes).drop("details")
 
 
+# Rows of one key and mode lie 100 apart in q or 10 in p; every other one moves in q, the rest in p.
+_TWO_NUMBERS = (
+    "l_orderkey % 50 AS k",
+    "l_returnflag AS mode",
+    "CAST(l_linenumber AS DOUBLE) * 10 AS p",
+    "l_orderkey * 100 AS q",
+)
+_TWO_MOVED = {
+    "near": ("k", "mode", "p + CASE WHEN q % 200 = 0 THEN 1.5 ELSE 0 END AS p",
+             "q + CASE WHEN q % 200 = 0 THEN 0L ELSE 2L END AS q"),
+    "far": ("k", "mode", "p + CASE WHEN q % 200 = 0 THEN 1.5 ELSE 0 END AS p",
+            "q + CASE WHEN q % 7000 = 0 THEN 3L ELSE 2L END AS q"),
+}
+
+
 def _differing_rows(spark: SparkSession, d: str) -> DataFrame:
     prices = _prices(spark, d)
     other = prices.union(prices.filter("o_orderkey % 100 = 0")).filter("o_orderkey % 77 <> 0")
@@ -583,6 +604,21 @@ def _compare_sql() -> str:
                            row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS place
                     FROM lineitem) AS q USING (l_orderkey, place)
                  WHERE abs(p.a - q.a) > tolerance) AS unlike)""")
+    # Moved rows are 2 apart at most, all others 10 or more in p or 100 in q, so a row matches
+    # if it has as many neighbours in the other table as equals in its own.
+    for name, moved in _TWO_MOVED.items():
+        rows = "(SELECT " + ", ".join(_TWO_NUMBERS) + " FROM lineitem)"
+        theirs = f"(SELECT {', '.join(m.replace('L ', ' ') for m in moved)} FROM {rows})"
+        parts.append(f"""
+            SELECT 'two_vary_{name}',
+                   CASE WHEN unlike = 0 THEN 'numeric_tolerance_match' ELSE 'value_difference' END,
+                   (SELECT count(*) FROM (FROM {rows} EXCEPT ALL FROM {theirs})),
+                   (SELECT count(*) FROM (FROM {theirs} EXCEPT ALL FROM {rows}))
+            FROM (SELECT count(*) AS unlike FROM (
+                SELECT k, mode, p, q, count(*) AS n FROM {rows} GROUP BY ALL) AS a
+                LEFT JOIN (SELECT k, mode, p, q, count(*) AS n FROM {theirs} GROUP BY ALL) AS b
+                ON a.k = b.k AND a.mode = b.mode AND abs(a.p - b.p) <= 2 AND abs(a.q - b.q) <= 2
+                WHERE a.n IS DISTINCT FROM b.n)""")
     return " UNION ALL ".join(parts)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Mapping
 from functools import partial
 
 from pyspark.errors import AnalysisException
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, FractionalType, IntegralType, NumericType
 
 from cohortspark.jobs import side_by_side
+from cohortspark.operators.matching import MATCH_ROWS, matched
 from cohortspark.sources.scratch import Scratch
 
 # The outcomes of a comparison.
@@ -60,16 +61,22 @@ def differing_rows(actual: DataFrame, reference: DataFrame) -> DataFrame:
 
 
 def compare_tables(
-    actual: DataFrame, reference: DataFrame, tolerance: float = 0.0, tile_bits: int = TILE_BITS
+    actual: DataFrame,
+    reference: DataFrame,
+    tolerance: float = 0.0,
+    tile_bits: int = TILE_BITS,
+    match_rows: int = MATCH_ROWS,
 ) -> dict[str, object]:
     """Status of one pair of tables, the number of surplus rows of either side and details.
 
     With a tolerance, numbers may be up to ``tolerance`` apart, everything else has to be
-    equal. If some numeric column is all that varies (without it the tables are equal as
-    multisets), rows are paired in the order of that column among rows that agree otherwise,
-    which finds a match whenever there is one. If several columns vary, all rows are paired
-    in one order, by name: columns that are not numeric, whole numbers, fractions. That can
-    miss a match, and the details say so. The order of the columns never matters.
+    equal, and the tables match if all rows can be paired so. If some numeric column seems to be
+    all that varies (without it, sums over row hashes are equal), rows are first paired in the
+    order of that column among rows that agree otherwise. If that does not work out, or several
+    columns vary, ``matching.matched`` finds a pairing whenever there is one, but for
+    blocks of more than ``match_rows`` distinct rows whose numbers run into each other in
+    several columns: those are paired by order, and the details say so if no pairing was found.
+    The order of the columns never matters.
     """
     findings = schema_differences(actual, reference)
     if findings:
@@ -89,18 +96,25 @@ def compare_tables(
     # Unequal surpluses mean unequal row counts, which no tolerance can make good.
     if tolerance > 0 and ours == theirs:
         with Scratch(actual.sparkSession) as scratch:
-            one_varies = False
+
+            def by_order(left: DataFrame, right: DataFrame, order: list[str]) -> bool:
+                return _within(left, right, order, tolerance, tile_bits, scratch)
+
             for column in _varying_alone(actual, reference):
-                one_varies = True
                 order = [c for c in _general_order(actual) if c != column] + [column]
-                if _within(actual, reference, order, tolerance, tile_bits, scratch):
+                if by_order(actual, reference, order):
                     return _outcome(WITHIN_TOLERANCE, ours, theirs)
-            order = _general_order(actual)
-            matched = _within(actual, reference, order, tolerance, tile_bits, scratch)
+
+            def near(left: Column, right: Column, kind: DataType) -> Column:
+                return _close(left, right, kind, tolerance)
+
+            found = matched(actual, reference, near, tolerance, scratch, by_order, match_rows)
+            if found:
+                return _outcome(WITHIN_TOLERANCE, ours, theirs)
             counts = _outcome(VALUES_DIFFER, ours, theirs)["details"]
-            paired = "" if one_varies else "; several columns vary, rows were paired by order"
+            doubt = "; undecided: large blocks of close rows were paired by order only"
             return _outcome(
-                WITHIN_TOLERANCE if matched else VALUES_DIFFER, ours, theirs, f"{counts}{paired}"
+                VALUES_DIFFER, ours, theirs, counts + (doubt if found is None else "")
             )
     return _outcome(VALUES_DIFFER, ours, theirs)
 
@@ -115,16 +129,26 @@ def _general_order(table: DataFrame) -> list[str]:
     return [f.name for f in sorted(table.schema, key=place)]
 
 
-def _varying_alone(actual: DataFrame, reference: DataFrame) -> Iterator[str]:
-    """Numeric columns without which the tables are equal as multisets."""
-    for column in _general_order(actual):
-        if not isinstance(actual.schema[column].dataType, NumericType):
-            continue
-        others = [c for c in actual.columns if c != column]
-        if not others or differing_rows(
-            actual.select(*others), reference.select(*others)
-        ).isEmpty():
-            yield column
+def _varying_alone(actual: DataFrame, reference: DataFrame) -> list[str]:
+    """Numeric columns without which the tables seem equal, by sums over hashes of their rows.
+
+    One pass over both tables serves all columns. Equal sums prove nothing, so the caller pairs.
+    """
+    columns = actual.columns
+    numeric = [c for c in _general_order(actual) if isinstance(actual.schema[c].dataType, NumericType)]
+    signed = actual.withColumn("sign", F.lit(1)).unionByName(
+        reference.withColumn("sign", F.lit(-1))
+    )
+    sums = []
+    for i, column in enumerate(numeric):
+        rest = F.xxhash64(*[c for c in columns if c != column], F.lit(0))
+        for bits in (40, 16):
+            part = F.shiftright(F.shiftleft(rest, 40 - bits), 40)
+            sums.append(F.sum(F.col("sign") * part).alias(f"s{i}_{bits}"))
+    if not sums:
+        return []
+    found = signed.agg(*sums).first()
+    return [c for i, c in enumerate(numeric) if found[f"s{i}_40"] == found[f"s{i}_16"] == 0]
 
 
 def _outcome(status: str, ours: int = 0, theirs: int = 0, details: str = "") -> dict[str, object]:
