@@ -205,9 +205,9 @@ def _op1_sql() -> str:
     )
     places = ", ".join(
         f"[i FOR i IN range(0, len(words) - {len(p.split()) - 1}) IF "
-        + " AND ".join(f"words[i + {k + 1}] = '{w}'" for w, k in words)
+        + " AND ".join(f"words[i + {k + 1}] = '{w}'" for k, w in enumerate(p.split()))
         + f"] AS {name[p]}"
-        for p, words in kept.items()
+        for p in kept
     )
 
     def share(t: licenses.Template) -> str:

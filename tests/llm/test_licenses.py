@@ -1,6 +1,9 @@
 import re
+import time
 
-from cohortspark.llm.licenses import BASE, scan_licenses
+import pytest
+
+from cohortspark.llm.licenses import BASE, Template, scan_licenses
 
 COLUMNS = ["n_words", "n_base", "first_word", "last_word", "base_labels"]
 
@@ -55,5 +58,32 @@ def test_labels_of_the_method(docs, scratch):
     assert 0 < rows[2]["score"] < 1
 
 
+def test_every_word_of_a_phrase_counts(docs, scratch):
+    texts = [
+        "licensed under the apache", "licensed under banana apache", "licensed under apache",
+        "released into the public domain", "released x y public domain", "into the public domain",
+        "released into the the public domain", "the released into", "under the apache license",
+    ]
+    got = scan_licenses(docs(*enumerate(texts)), scratch).collect()
+    labels = {r["doc_id"]: r["labels"] for r in got}
+    assert labels == {0: "apache", 1: "", 2: "", 3: "unlicense", 4: "", 5: "", 6: "", 7: "", 8: "apache"}
+
+
+def test_phrases_of_common_words_are_refused(docs, scratch):
+    odd = Template("odd", (("license of the and", 0),))
+    with pytest.raises(ValueError, match="license of the and"):
+        scan_licenses(docs((1, "x")), scratch, templates=(odd,))
+
+
+def test_a_megabyte_of_license_words(docs, scratch):
+    n = 90_000
+    text = "mit license " * n + "source code must retain binary form must reproduce " * 5000
+    started = time.monotonic()
+    (row,) = scan_licenses(docs((1, text)), scratch).collect()
+    assert time.monotonic() - started < 60
+    assert (row["n_base"], row["first_word"], row["last_word"]) == (n, 0, 2 * n - 2)
+    assert row["labels"] == "bsd,mit" and row["score"] == 1
+
+
 def test_no_documents(docs, scratch):
     assert scan_licenses(docs(), scratch).collect() == []
