@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortspark.llm.session import releasing
@@ -18,7 +18,7 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 TREES, TREE_ROWS = 100, 256
-SAMPLE_ROWS = 8192  # labelled good documents (or any, without labels) the forest is grown from
+SAMPLE_ROWS = 8192  # labelled good documents the forest is grown from
 MARGIN = 0.5  # standard deviations over all documents
 MAX_GOOD_REJECTED = 0.002  # share of labelled good documents that the threshold may reject
 DEFAULT_THRESHOLD = 0.60  # without labelled rows
@@ -117,23 +117,29 @@ class Forest:
     norm: float
 
     @classmethod
-    def grow(cls, rows: np.ndarray, margin: np.ndarray, seed: int = 7) -> Forest:
-        """Trees over random rows. A split falls anywhere between ``margin`` below a node's
+    def grow(
+        cls, rows: np.ndarray, margin: np.ndarray, seed: int = 7, drawn: list | None = None
+    ) -> Forest:
+        """Trees over random ``rows``, or each over rows ``drawn`` for it. A split falls anywhere between ``margin`` below a node's
         smallest value and as far above its largest, so that values the rows do not have at
         all (symbols, where good text has none) are set apart by empty nodes."""
         rng = np.random.default_rng(seed)
-        size = min(TREE_ROWS, len(rows))
+        size = min(TREE_ROWS, len(rows)) if drawn is None else max(map(len, drawn), default=0)
         limit = max(1, math.ceil(math.log2(max(2, size))))
         trees = []
-        for _ in range(TREES):
+        for tree in range(TREES):
             nodes: list[list[float]] = [[0, 0.0, -1, 0.0]]
-            stack = [(0, rows[rng.choice(len(rows), size, replace=False)], 0)] if size else []
+            stack = []
+            if drawn is not None:
+                stack = [(0, drawn[tree], 0)]
+            elif size:
+                stack = [(0, rows[rng.choice(len(rows), size, replace=False)], 0)]
             while stack:
                 at, part, depth = stack.pop()
                 if depth >= limit or not len(part):
                     nodes[at][3] = depth + _mean_path(len(part))
                     continue
-                f = int(rng.integers(rows.shape[1]))
+                f = int(rng.integers(part.shape[1]))
                 low, high = part[:, f].min() - margin[f], part[:, f].max() + margin[f]
                 split = float(rng.uniform(low, high))
                 below = part[:, f] < split
@@ -209,7 +215,8 @@ def fit_quality(counts: DataFrame, labels: DataFrame | None, scratch: Scratch) -
     """Grow the forest and choose the threshold.
 
     The forest grows from at most ``SAMPLE_ROWS`` documents, those of smallest hash among the
-    ones labelled good that pass the fixed rules (among all documents without such labels). How
+    ones labelled good that pass the fixed rules. Without such labels, each tree draws its rows
+    by hash from all documents that pass the fixed rules, in one pass for all trees. How
     far splits may fall outside a node's values follows from all documents, also those that fail
     the fixed rules: what only one of them has still gets a margin.
     The threshold is the score above which most labelled bad documents lie while at most
@@ -230,10 +237,37 @@ def fit_quality(counts: DataFrame, labels: DataFrame | None, scratch: Scratch) -
         found = np.asarray([tuple(r) for r in few.collect()], np.int64).reshape(-1, len(_KEPT))
         return features(found[~base_failed(found)])
 
+    def draw() -> list[np.ndarray]:
+        passing = counts.filter(
+            f"n_words >= {MIN_WORDS} AND 100 * n_repeat_words <= {MAX_REPEAT_PERCENT} * n_words"
+        )
+        # Somewhat more than a tree takes; the smallest hashes of each are its rows.
+        share = min(1.0, 1.5 * (TREE_ROWS + 30) / max(1, passing.count()))
+        most = int(share * (1 << 30))
+        hashes = F.transform(
+            F.sequence(F.lit(0), F.lit(TREES - 1)),
+            lambda tree: F.struct(
+                tree.alias("tree"), F.xxhash64(tree, "doc_id", *_KEPT).alias("h")
+            ),
+        )
+        some = passing.select(
+            *_KEPT, F.inline(F.filter(hashes, lambda x: F.pmod(x["h"], F.lit(1 << 30)) <= most))
+        )
+        order = Window.partitionBy("tree").orderBy("h", *_KEPT)
+        few = some.withColumn("place", F.row_number().over(order)).filter(f"place <= {TREE_ROWS}")
+        # TREES * TREE_ROWS rows of counts come to the driver.
+        found = few.select("tree", "place", *_KEPT).orderBy("tree", "place").collect()
+        drawn: list[list] = [[] for _ in range(TREES)]
+        for tree, _, *values in found:
+            drawn[tree].append(values)
+        return [features(np.asarray(d, np.int64).reshape(-1, len(_KEPT))) for d in drawn]
+
+    margin = MARGIN * feature_spread(counts)
     rows = sample(known.filter("quality = 1"))
-    if not len(rows):
-        rows = sample(counts)
-    forest = Forest.grow(rows, MARGIN * feature_spread(counts))
+    if len(rows):
+        forest = Forest.grow(rows, margin)
+    else:
+        forest = Forest.grow(rows, margin, drawn=draw())
     binned = (
         _scored(known, forest)
         .filter("NOT base_failed")

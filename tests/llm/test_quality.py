@@ -110,3 +110,56 @@ def test_margins_come_from_all_documents(spark, scratch):
     plain[2] = 0
     score, usual = forest.scores(quality.features(np.stack((rows[odd], plain))))
     assert score > usual + 0.05
+
+
+def plain_score(forest, row):
+    """The forest walked node by node."""
+    total = 0.0
+    for tree in range(quality.TREES):
+        node = 0
+        while forest.left[tree][node] > 0:
+            right = row[forest.feature[tree][node]] >= forest.split[tree][node]
+            node = int(forest.left[tree][node]) + int(right)
+        total += forest.path[tree][node]
+    return 2.0 ** -(total / quality.TREES / forest.norm)
+
+
+@pytest.mark.parametrize("labelled", [True, False])
+def test_kept_equals_a_plain_walk(docs, labels, scratch, labelled):
+    rng = np.random.default_rng(5)
+    rows = [(i, synthetic(rng, i % 9 == 0)) for i in range(150)] + [(200, None), (201, "a b")]
+    marks = labels(*[(i, int(i % 9 != 0)) for i in range(0, 150, 3)]) if labelled else None
+    judged = quality.judge_documents(docs(*rows), marks, scratch).collect()
+    counts = scratch.save("again", quality.document_counts(docs(*rows)))
+    model = quality.fit_quality(counts, marks, scratch)
+    for r in judged:
+        text = dict(rows)[r["doc_id"]] or ""
+        values = np.asarray([quality.text_counts(text)])
+        score = plain_score(model.forest, quality.features(values)[0])
+        assert r["anomaly"] == pytest.approx(score)
+        assert r["kept"] == (not r["base_failed"] and score <= model.threshold)
+
+
+def test_unlabelled_trees_draw_from_all_documents(spark, scratch):
+    """Beyond any fixed sample of documents; every tree has its own rows."""
+    n = 30_000
+    words = np.arange(n) + 10
+    columns = {c: np.zeros(n, np.int64) for c in quality._KEPT} | {
+        "n_words": words, "word_chars": words * 5, "n_upper": np.arange(n) % 97,
+    }
+    counts = scratch.save("all", spark.createDataFrame(pa.table({"doc_id": np.arange(n)} | columns)))
+    drawn = []
+    grow = quality.Forest.grow
+
+    def watched(rows, margin, seed=7, drawn_rows=None, **named):
+        drawn.extend(named["drawn"])
+        return grow(rows, margin, seed, **named)
+
+    quality.Forest.grow = watched
+    try:
+        quality.fit_quality(counts, None, scratch)
+    finally:
+        quality.Forest.grow = grow
+    assert [len(d) for d in drawn] == [quality.TREE_ROWS] * quality.TREES
+    distinct = {tuple(r) for d in drawn for r in d.tolist()}
+    assert len(distinct) > 12_000
