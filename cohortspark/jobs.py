@@ -1,10 +1,12 @@
-"""Submitting independent Spark jobs together."""
+"""Submitting independent Spark jobs together, and what their tasks need."""
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor, as_completed, wait
+from pathlib import Path
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -13,6 +15,14 @@ from pyspark.sql import SparkSession
 T = TypeVar("T")
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Tell Python workers started from now on where this package lies, as tasks import it."""
+    root, environment = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def side_by_side(
     spark: SparkSession, threads: int, jobs: Mapping[str, Callable[[], T]]
 ) -> dict[str, T]:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType, NumericType
 
+from cohortspark.jobs import let_workers_import
 from cohortspark.sources.scratch import Scratch
 
 #: Distinct rows of a block that is matched in one task; larger ones are paired by order.
@@ -247,6 +248,7 @@ def matched(
         fits_task = fits_task & inside
     sized = open_blocks.withColumn("fits_task", fits_task)
     lows = [f"low{i}" for i in range(len(values))]
+    let_workers_import(rows.sparkSession)
     small = rows.join(sized.filter("fits_task").select("block", *lows), "block")
     unmatched = (
         small.select("block", "n_ours", "n_theirs", *shipped)
