@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from cohortspark.llm.session import releasing
+from cohortspark.llm.session import hold_alone, releasing
 
 # Letters, digits and white space up to U+017F, as Unicode has them. Texts beyond
 # take the general pattern.
@@ -281,13 +281,17 @@ class WordCodec:
         separators that only Python takes for white space also go to the library.)
         """
         slow = [self._by_library(t) for t in texts]
-        split = [[] if s else t.lower().split() for t, s in zip(texts, slow)]
-        known = self.words.holding(set().union(*split), self._by_pieces)
+        wanted: set[str] = set()
+        for text, by_library in zip(texts, slow):
+            if not by_library:
+                wanted.update(text.lower().split())
+        known = self.words.holding(wanted, self._by_pieces)
+        # Split again: all words of all texts at once take ten times the texts' memory.
         return [
             np.asarray(self.library.encode(t, add_special_tokens=False).ids, np.int32)
             if s
-            else np.frombuffer(b"".join(map(known.__getitem__, p)), np.int32)
-            for t, s, p in zip(texts, slow, split)
+            else np.frombuffer(b"".join(map(known.__getitem__, t.lower().split())), np.int32)
+            for t, s in zip(texts, slow)
         ]
 
 
@@ -298,14 +302,18 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
-@lru_cache(maxsize=2)
+_byte_codec = lru_cache(maxsize=2)(ByteCodec)
+_word_codec = lru_cache(maxsize=2)(WordCodec)
+
+
 def byte_codec(path: str, pattern: str) -> ByteCodec:
-    return ByteCodec(path, pattern)
+    hold_alone("byte codec", _byte_codec.cache_clear)
+    return _byte_codec(path, pattern)
 
 
-@lru_cache(maxsize=2)
 def word_codec(path: str) -> WordCodec:
-    return WordCodec(path)
+    hold_alone("word codec", _word_codec.cache_clear)
+    return _word_codec(path)
 
 
 def small_batches(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -30,3 +30,14 @@ def releasing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     worker stays for other tasks."""
     yield from batches
     pa.default_memory_pool().release_unused()
+
+
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold_alone(owner: str, release: Callable[[], None]) -> None:
+    """Inside a task: the worker is to keep caches of ``owner`` between tasks, which ``release``
+    frees. What it kept for other operators goes, as one worker serves many jobs."""
+    for other in [name for name in _held if name != owner]:
+        _held.pop(other)()
+    _held[owner] = release

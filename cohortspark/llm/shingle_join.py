@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortspark.llm.components import components
-from cohortspark.llm.session import releasing
+from cohortspark.llm.session import hold_alone, releasing
 from cohortspark.sources.scratch import Scratch
 
 WORDS = 5  # of a shingle, unless the caller says otherwise
@@ -22,6 +22,7 @@ LEAF = 32  # documents of a leaf
 FAN = 8  # children of an inner node
 _COLUMNS = 4096  # tokens of two leaves that are looked at at once
 _KNOWN_WORDS = 200_000  # hashes of words that a worker remembers
+_SIGNATURE_BYTES = 32 << 20  # of a task's bitmaps, unless 256 bits a set take more
 
 
 class _WordHashes(dict):
@@ -110,19 +111,21 @@ class _Tree:
                 ]
             )
         self.info = []
-        ordered, size = signatures[self.members], sizes[self.members]
-        for level in self.levels:
-            self.info.append(
-                [
-                    (
-                        np.bitwise_or.reduce(ordered[i:j]),
-                        np.bitwise_and.reduce(ordered[i:j]),
-                        int(size[i:j].min()),
-                        int(size[i:j].max()),
-                    )
-                    for i, j, _ in level
-                ]
-            )
+        for number, level in enumerate(self.levels):
+            if number == 0:
+                leaves = (self.members[i:j] for i, j, _ in level)
+                self.info.append([self._bounds(signatures[m], sizes[m]) for m in leaves])
+            else:
+                self.info.append([self._joint(number - 1, below) for _, _, below in level])
+
+    @staticmethod
+    def _bounds(signatures: np.ndarray, sizes: np.ndarray) -> tuple:
+        every, common = np.bitwise_or.reduce(signatures), np.bitwise_and.reduce(signatures)
+        return every, common, int(sizes.min()), int(sizes.max())
+
+    def _joint(self, level: int, children: tuple[int, int]) -> tuple:
+        every, common, low, high = zip(*self.info[level][slice(*children)])
+        return np.bitwise_or.reduce(every), np.bitwise_and.reduce(common), min(low), max(high)
 
     def children(self, level: int, node: int) -> range:
         first, last = self.levels[level][node][2]
@@ -150,6 +153,9 @@ class SignatureJoin:
         self.counts = np.zeros(len(sets), np.int64)
         self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
         bits = 1 << int(np.clip(8 * self.sizes.max(initial=1) - 1, 255, 65535)).bit_length()
+        # Shorter bitmaps only leave more pairs to the exact comparison.
+        while bits > 256 and bits // 8 * len(sets) > _SIGNATURE_BYTES:
+            bits //= 2
         self.signatures = np.zeros((len(sets), bits // 64), np.uint64)
         for row, tokens in zip(self.signatures, sets):
             bit = tokens & np.uint64(bits - 1)
@@ -271,6 +277,7 @@ def _described(documents: DataFrame, schema: str, describe) -> DataFrame:
     """Rows made of the texts of every batch by ``describe``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_alone("word hashes", _HASHES.clear)
         for batch in releasing(batches):
             texts = (text.as_py() or "" for text in batch.column("text"))
             yield describe(batch.column("doc_id"), texts)
@@ -314,17 +321,19 @@ def _block_joiner(words: int, percent: int, count: bool):
     def join(table: pa.Table) -> pa.Table:
         """Links that connect (n null) and, if asked for, numbers of links (b null) of one task:
         inside its clusters, or between two blocks of one cluster."""
-        table = table.sort_by([("cluster", "ascending"), ("doc_id", "ascending")])
-        docs = table.column("doc_id").to_numpy()
-        cluster, block = table.column("cluster").to_numpy(), table.column("block").to_numpy()
-        texts, copies = table.column("text"), table.column("copies").to_numpy()
+        hold_alone("word hashes", _HASHES.clear)
+        names = ("doc_id", "cluster", "block", "copies")
+        columns = [table.column(c).to_numpy() for c in names]
+        order = np.lexsort((columns[0], columns[1]))
+        docs, cluster, block, copies = (c[order] for c in columns)
+        texts = table.column("text")  # stay where they are: sorted, they would be there twice
         rows: list[tuple[int, int | None, int | None]] = []
         starts = np.flatnonzero(np.concatenate(([True], cluster[1:] != cluster[:-1])))
         for i, j in zip(starts, [*starts[1:], len(docs)]):
             sets: list[np.ndarray] = []
             own: list[int] = []
             for k in range(i, j):
-                tokens = shingle_set(texts[k].as_py() or "", words)
+                tokens = shingle_set(texts[order[k]].as_py() or "", words)
                 if own and docs[own[-1]] == docs[k] and np.array_equal(sets[-1], tokens):
                     continue  # a repeated row is the same document
                 sets.append(tokens)
@@ -335,6 +344,7 @@ def _block_joiner(words: int, percent: int, count: bool):
             of = docs[own].tolist()
             rows += [(of[x], of[y], None) for x, y in work.run(*pieces)]
             rows += [(of[x], None, int(work.counts[x])) for x in np.flatnonzero(work.counts)]
+        _HASHES.clear()
         columns = zip(*rows) if rows else ([], [], [])
         return pa.table({c: pa.array(v, pa.int64()) for c, v in zip("abn", columns)})
 

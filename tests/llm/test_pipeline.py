@@ -38,5 +38,5 @@ def test_stages_take_odd_tables(spark, scratch, stage):
 
 def test_all_operators_are_registered():
     names = registry.queries()
-    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in names} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
     assert set(names) <= set(driver.queries()) and set(registry.oracle_sql()) <= set(driver.oracle_sql())
