@@ -66,6 +66,10 @@ def _op6(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def _op6_base(spark: SparkSession, d: str) -> DataFrame:
+    return _op6(spark, d).select("doc_id", *quality.COUNTS, "base_failed")
+
+
 def _op7(spark: SparkSession, d: str) -> DataFrame:
     documents = _table(spark, d, "documents", "doc_id", "text")
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -87,6 +91,13 @@ def _op9(spark: SparkSession, d: str) -> DataFrame:
     return ctw.score_documents(documents, Scratch(spark))
 
 
+def _op9_base(spark: SparkSession, d: str) -> DataFrame:
+    # Doubles summed in another order differ behind the tenth digit.
+    base = F.round("base_score", 4).alias("base_score")
+    columns = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens")
+    return _op9(spark, d).select(*columns, base)
+
+
 def _op10(spark: SparkSession, d: str) -> DataFrame:
     documents = _table(spark, d, "documents", "doc_id", "text")
     kept = lines.drop_repeated_lines(documents, Scratch(spark), report=True)
@@ -125,7 +136,8 @@ def _op13(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    """One query per operator, over its whole table, and op8 again with numbers of links."""
+    """One query per operator, over its whole table; op8 again with numbers of links, and those
+    columns of op6 and op9 that SQL can express."""
     return {
         "op1_license_scan": _op1,
         "op2_embedding_dedup": _op2,
@@ -133,10 +145,12 @@ def queries() -> dict[str, Query]:
         "op4_chat_format": _op4,
         "op5_byte_bpe": _op5,
         "op6_quality_rules": _op6,
+        "op6_base": _op6_base,
         "op7_best_fit_packing": _op7,
         "op8_jaccard_join": _op8,
         "op8_jaccard_links": _op8_links,
         "op9_context_tree_score": _op9,
+        "op9_base": _op9_base,
         "op10_line_dedup": _op10,
         "op11_decontamination": _op11,
         "op12_hard_negatives": _op12,
@@ -442,6 +456,50 @@ _OP13_SQL = f"""
     LEFT JOIN nodes AS p ON n.depth > 0 AND p.key = n.key[1:n.depth - 1]"""
 
 
+_OP6_BASE_SQL = r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+               list_filter(string_split(coalesce(text, ''), chr(10)),
+                           lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        FROM documents),
+    windows AS (
+        SELECT r, i, words[i:i + 4] AS w
+        FROM docs, LATERAL unnest(range(1, len(words) - 3)) AS t(i)),
+    repeated AS (
+        SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1),
+    inside AS (
+        SELECT r, count(DISTINCT i + k) AS n
+        FROM repeated, LATERAL unnest(range(0, 5)) AS t(k) GROUP BY r),
+    counts AS (
+        SELECT doc_id, len(words) AS n_words,
+               length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+               length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+               CAST(len(lines) - list_unique(lines) AS BIGINT) AS n_dup_lines,
+               coalesce(n, 0) AS n_repeat_words
+        FROM docs LEFT JOIN inside USING (r))
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts"""
+
+_OP9_BASE_SQL = rf"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS r, doc_id, {_CRC32.replace("conv_id", "doc_id")} % 5 = 1 AS held_out,
+               regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS words
+        FROM documents),
+    tokens AS (  -- the end, which no word can be, is the empty string
+        SELECT r, held_out, unnest(list_append(words, '')) AS token FROM docs),
+    model AS (SELECT token, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY token),
+    sums AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM model),
+    scored AS (
+        SELECT r, count(*) AS n_tokens, count(c) AS n_known,
+               sum(log10((coalesce(c, 0) + 0.5::DOUBLE) / (n + 0.5::DOUBLE * (v + 1)))) AS score
+        FROM tokens LEFT JOIN model USING (token), sums GROUP BY r)
+    SELECT doc_id, held_out, n_tokens, n_known, CAST(n AS BIGINT) AS train_tokens,
+           round(score, 4) AS base_score
+    FROM docs JOIN scored USING (r), sums"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that it can express."""
     sql = {
@@ -449,8 +507,10 @@ def oracle_sql() -> dict[str, str]:
         "op2_embedding_dedup": _OP2_SQL,
         "op3_url_filter": _OP3_SQL,
         "op4_chat_format": _OP4_SQL,
+        "op6_base": _OP6_BASE_SQL,
         "op8_jaccard_join": _OP8_SQL,
         "op8_jaccard_links": _OP8_LINKS_SQL,
+        "op9_base": _OP9_BASE_SQL,
         "op10_line_dedup": _OP10_SQL,
         "op11_decontamination": _OP11_SQL,
         "op12_hard_negatives": _OP12_SQL,
