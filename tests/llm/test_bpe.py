@@ -79,3 +79,13 @@ def test_documents_round_trip(docs, corpus, reference):
 
 def test_no_documents(docs):
     assert bpe.round_trip_digests(docs(), PATH, PATTERN).count() == 0
+
+
+def test_a_worker_keeps_the_caches_of_one_operator():
+    words = public_tokenizers.path("word_bpe_49k.json")
+    first = bpe.byte_codec(PATH, PATTERN)
+    assert bpe.byte_codec(PATH, PATTERN) is first
+    bpe.word_codec(words)
+    assert bpe._byte_codec.cache_info().currsize == 0
+    assert bpe.byte_codec(PATH, PATTERN) is not first
+    assert bpe._word_codec.cache_info().currsize == 0
