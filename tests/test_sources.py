@@ -153,6 +153,23 @@ def test_a_cluster_does_not_use_its_machines_own_disks(spark, monkeypatch):
     assert scratch_module.shared_folder(Cluster("file:/mnt/x/")) == "file:/mnt/x"
 
 
+def test_the_executors_of_a_local_cluster_share_its_disk(spark):
+    class OneMachine:
+        _jvm, _jsc = spark._jvm, spark._jsc
+
+        class sparkContext:
+            master = "local-cluster[3,2,3000]"
+
+        def __init__(self, **conf):
+            self.conf = conf
+
+    configured = OneMachine(**{"spark.checkpoint.dir": "/tmp/x/"})
+    assert scratch_module.shared_folder(configured) == "/tmp/x"
+    # Temporary folders may differ from process to process.
+    with pytest.raises(RuntimeError, match="set spark.checkpoint.dir"):
+        scratch_module.shared_folder(OneMachine())
+
+
 def test_names_of_stored_tables_may_repeat(spark):
     with Scratch(spark) as scratch:
         one, two = (scratch.save("t", spark.range(n)) for n in (1, 2))
