@@ -7,8 +7,10 @@ import hashlib
 import heapq
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,13 @@ _BEYOND = re.compile("[^\u0000-ſ]")
 _PIECES = re.compile(
     f" ?[{_L}]+| ?[{_N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 )
-_WORDS = re.compile(f"[{_L}]+|'(?:s|t|re|ve|m|ll|d)|[{_N}]|[^{_S}{_L}{_N}]+")
+_WORDS = re.compile(f"[{_L}]+|'(?:s|t|re|ve|m|ll|d)|[{_N}]|[^{_S}{_L}{_N}]+|\n")
 _LOWER_APART = re.compile("[^\u0000-\u001b -įı-ſ]")  # texts with others go to the library
 _SPREAD = re.compile(f"[{_S}][{_S}]|\\A[{_S}]|[{_S}]\\Z|[\t\v\f\r\u0085\u00a0]")
 
 BATCH_BYTES = 8 << 20  # of text whose distinct pieces are replayed together
 CACHE_PIECES = 300_000  # pieces that each of a Python worker's caches remembers at most
+GATHERED = 1 << 20  # runs of ids copied at a time
 _NONE = np.int32(2**31 - 1)
 
 
@@ -77,6 +80,13 @@ class Merges:
         """Token ids (32 bits each) of every word; no word may be empty."""
         if not words:
             return []
+        ids, counts = self.replay_flat(words)
+        packed, bounds = ids.tobytes(), [0, *(4 * np.cumsum(counts)).tolist()]
+        return [packed[i:j] for i, j in zip(bounds, bounds[1:])]
+
+    def replay_flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all words, one after the other, and their number in every word. There has
+        to be a word, and none may be empty."""
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         letters = np.frombuffer(b"".join(words), np.uint8)
         n = len(letters)
@@ -149,12 +159,16 @@ class Merges:
                     odd.update(np.searchsorted(ends, touched[lower], "right").tolist())
                 enter(touched)
 
-        bounds = [0, *(4 * np.cumsum(alive)[ends - 1]).tolist()]
-        packed = token[alive].tobytes()
-        ids = [packed[i:j] for i, j in zip(bounds, bounds[1:])]
-        for w in odd:
-            ids[w] = np.asarray(self._alone(words[w]), np.int32).tobytes()
-        return ids
+        bounds = np.cumsum(alive)[ends - 1]
+        ids, counts = token[alive], np.diff(bounds, prepend=0)
+        if odd:
+            parts, done = [], 0
+            for w in sorted(odd):
+                alone = np.asarray(self._alone(words[w]), np.int32)
+                parts += [ids[done : bounds[w] - counts[w]], alone]
+                done, counts[w] = bounds[w], len(alone)
+            ids = np.concatenate([*parts, ids[done:]])
+        return ids, counts
 
 
 class _Cache:
@@ -256,45 +270,85 @@ class WordCodec:
         self.merges = Merges(
             pairs, [vocabulary[c] for c in shown], [vocabulary[c + end] for c in shown]
         )
-        self.words = _Cache()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows: defaultdict[str, int] = defaultdict(count().__next__)  # in order of entry
+        self.ids, self.starts = np.empty(0, np.int32), np.empty(0, np.int64)
+        self.counts = np.empty(0, np.int64)
 
     def _by_library(self, text: str) -> bool:
         return bool(_LOWER_APART.search(text)) or (
             "<|" in text and any(s in text for s in self.special)
         )
 
-    def _by_pieces(self, words: list[str]) -> list[bytes]:
-        """Bytes of the ids of words. A word of letters is one piece; the pieces of others are
-        remembered as words too, which they are to the pattern."""
-        known = self.words.recent
-        cut = {w: _WORDS.findall(w) for w in words if not w.isalpha()}
-        new = {p for pieces in cut.values() for p in pieces}.difference(known)
-        new.update(w for w in words if w not in cut)
-        listed = list(new)
-        known.update(zip(listed, self.merges.replay([p.encode() for p in listed])))
-        return [b"".join(map(known.__getitem__, cut[w])) if w in cut else known[w] for w in words]
+    def _learn(self, words: list[str]) -> None:
+        """Add the ids of words, which hold no white space, behind those that are known.
+
+        They are cut into pieces in one go, a line each, and the distinct pieces are replayed.
+        """
+        pieces: defaultdict[str, int] = defaultdict(count().__next__)
+        line_end = pieces["\n"]
+        cut = _WORDS.findall("\n".join(words) + "\n")
+        at = np.fromiter(map(pieces.__getitem__, cut), np.int32, len(cut))
+        ids, counts = self.merges.replay_flat(list(map(str.encode, pieces)))
+        starts = np.cumsum(counts) - counts
+        counts[line_end] = 0
+        ends = np.cumsum(counts[at])[at == line_end]
+        self.counts = np.concatenate((self.counts, np.diff(ends, prepend=0)))
+        self.starts = np.concatenate((self.starts, len(self.ids) + ends - np.diff(ends, prepend=0)))
+        self.ids = np.concatenate((self.ids, _gathered(ids, starts[at], counts[at])))
+
+    def _by_words(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.rows) > CACHE_PIECES:
+            self._forget()
+        known = len(self.rows)
+        rows = [np.empty(0, np.int32)]
+        try:
+            for text in texts:
+                words = text.lower().split()
+                rows.append(np.fromiter(map(self.rows.__getitem__, words), np.int32, len(words)))
+            if len(self.rows) > known:
+                self._learn(list(islice(self.rows, known, None)))
+        except BaseException:
+            self._forget()  # The worker may go on with words that have no ids yet.
+            raise
+        ends = np.cumsum([len(r) for r in rows[1:]], dtype=np.int64)
+        of = np.concatenate(rows)
+        counts = self.counts[of]
+        ids = _gathered(self.ids, self.starts[of], counts)
+        ends = np.concatenate(([0], np.cumsum(counts)))[ends].tolist()
+        return [ids[i:j] for i, j in zip([0, *ends], ends)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, without special tokens around it.
 
         No piece reaches across white space, so what stands between it is remembered. (The
-        separators that only Python takes for white space also go to the library.)
+        separators that only Python takes for white space also go to the library.) Texts are
+        split once, into numbers of words: the words themselves take ten times the texts' memory.
         """
         slow = [self._by_library(t) for t in texts]
-        wanted: set[str] = set()
-        for text, by_library in zip(texts, slow):
-            if not by_library:
-                wanted.update(text.lower().split())
-        known = self.words.holding(wanted, self._by_pieces)
-        # Split again: all words of all texts at once take ten times the texts' memory.
+        others = iter(self._by_words([t for t, s in zip(texts, slow) if not s]))
         return [
             np.asarray(self.library.encode(t, add_special_tokens=False).ids, np.int32)
             if s
-            else np.frombuffer(b"".join(map(known.__getitem__, t.lower().split())), np.int32)
+            else next(others)
             for t, s in zip(texts, slow)
         ]
 
 
+def _gathered(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs of values that start there and are so long, one after the other."""
+    parts = []
+    for i in range(0, len(starts), GATHERED):
+        start, n = starts[i : i + GATHERED], counts[i : i + GATHERED]
+        ends = np.cumsum(n)
+        places = np.repeat(start - (ends - n), n)
+        places += np.arange(len(places))
+        parts.append(values[places])
+    return np.concatenate(parts) if parts else values[:0]
+
+
 def _byte_letters() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}

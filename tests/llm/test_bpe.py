@@ -6,6 +6,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from cohortspark.llm import bpe
 
@@ -89,3 +90,34 @@ def test_a_worker_keeps_the_caches_of_one_operator():
     assert bpe._byte_codec.cache_info().currsize == 0
     assert bpe.byte_codec(PATH, PATTERN) is not first
     assert bpe._word_codec.cache_info().currsize == 0
+
+
+def _word_ids(texts):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_texts_are_split_into_words_once():
+    lowered = []
+
+    class Text(str):
+        def lower(self):
+            lowered.append(str(self))
+            return str.lower(self)
+
+    texts = ["The cat's hat, it's 42!", "", "a b", "Ωmega stays", "the THE café..."]
+    found = bpe.WordCodec(public_tokenizers.path("word_bpe_49k.json")).encode(list(map(Text, texts)))
+    assert [ids.tolist() for ids in found] == _word_ids(texts)
+    # The one beyond Latin letters goes to the library.
+    assert lowered == [t for t in texts if t != "Ωmega stays"]
+
+
+def test_words_without_ids_do_not_outlast_a_failure(monkeypatch):
+    codec = bpe.WordCodec(public_tokenizers.path("word_bpe_49k.json"))
+    codec.encode(["some words"])
+    with monkeypatch.context() as broken:
+        broken.setattr(codec.merges, "replay_flat", lambda words: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            codec.encode(["other words"])
+    texts = ["other words", "some more"]
+    assert [ids.tolist() for ids in codec.encode(texts)] == _word_ids(texts)
