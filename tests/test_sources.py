@@ -170,6 +170,35 @@ def test_the_executors_of_a_local_cluster_share_its_disk(spark):
         scratch_module.shared_folder(OneMachine())
 
 
+def test_a_cluster_takes_a_folder_where_all_its_files_come_together(spark, monkeypatch):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert configured.startswith("/")
+    before = os.listdir(configured)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://somewhere:7077")
+    with Scratch(spark) as scratch:
+        assert os.path.dirname(scratch.path) == configured
+        assert rows(scratch.save("t", spark.range(2))) == [(0,), (1,)]
+    assert os.listdir(configured) == before
+
+
+def test_a_cluster_refuses_a_folder_where_a_file_is_missing(spark, tmp_path):
+    class OwnDisks:
+        _jvm, _jsc = spark._jvm, spark._jsc
+        conf = {"spark.checkpoint.dir": str(tmp_path)}
+
+        class sparkContext:
+            master, defaultParallelism = "spark://somewhere:7077", 4
+
+        @staticmethod
+        def range(start, end, step, parts):
+            """The driver never sees what the task of the last row wrote."""
+            return spark.range(start, end, step, parts).filter(f"id < {end - 1}")
+
+    with pytest.raises(RuntimeError, match="own disk"):
+        scratch_module.shared_folder(OwnDisks())
+    assert os.listdir(tmp_path) == []
+
+
 def test_names_of_stored_tables_may_repeat(spark):
     with Scratch(spark) as scratch:
         one, two = (scratch.save("t", spark.range(n)) for n in (1, 2))
